@@ -11,6 +11,7 @@ OPS = {
     "op5_decontaminate": ("decontaminate", True),
     "op6_bpe": ("bpe", False),
     "op7_toxicity": ("toxicity", False),
+    "op9_hmm_lm": ("hmm_lm", False),
     "op10_jaccard_join": ("jaccard_join", False),
 }
 
