@@ -6,11 +6,14 @@ import importlib
 
 #: query name -> (module, whether it has SQL)
 OPS = {
+    "op1_quality": ("quality", False),
     "op2_exact_dedup": ("exact_dedup", True),
+    "op3_suffix_dedup": ("suffix_dedup", False),
     "op4_chat_format": ("chat_format", True),
     "op5_decontaminate": ("decontaminate", True),
     "op6_bpe": ("bpe", False),
     "op7_toxicity": ("toxicity", False),
+    "op8_license_scan": ("license_scan", False),
     "op9_hmm_lm": ("hmm_lm", False),
     "op10_jaccard_join": ("jaccard_join", False),
 }

@@ -24,6 +24,8 @@ THRESHOLD = 0.7
 #: Bound on labelled rows used to learn: a hash sample beyond it.
 MAX_LABELLED = 1_000_000
 MAX_ARCS = 2000
+#: Bound on distinct (rounded) feature vectors that are fitted, the most frequent first.
+MAX_VECTORS = 50_000
 MIN_DOCS, MIN_LOG_ODDS = 5, 2.5
 
 # Closed word classes of the grammar.
@@ -95,14 +97,14 @@ def _feature_frame(docs: DataFrame, arcs: dict[str, float], extra: list[str]) ->
     return docs.select(*extra, lower_az(F.col("text")).alias("text")).mapInPandas(run, schema)
 
 
-def fit_weights(rows: np.ndarray, y: np.ndarray, steps: int = 30):
+def fit_weights(rows: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int = 30):
     """Ridge logistic weights over log1p clause features, by Newton's method."""
     x = np.c_[np.log1p(rows), np.ones(len(rows))]
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + 0.05 * w
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(x.shape[1])
+        g = x.T @ (times * (p - y)) + 0.05 * w
+        h = (x * (times * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(x.shape[1])
         w -= np.linalg.solve(h, g)
     return w
 
@@ -121,12 +123,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     known = materialise(known.select("text", "toxic"), "known")
     arcs = learn_arcs(known)
     # Equal feature vectors are one row with counts, so the driver sees a bounded table.
-    feats = _feature_frame(known, arcs, ["toxic"]).select("toxic", F.transform("x", lambda v: F.round(v, 1)).alias("x")).groupBy("x", "toxic").count().orderBy(F.desc("count"), "x", "toxic").limit(50_000).collect()
+    feats = _feature_frame(known, arcs, ["toxic"]).select("toxic", F.transform("x", lambda v: F.round(v, 1)).alias("x")).groupBy("x", "toxic").count().orderBy(F.desc("count"), "x", "toxic").limit(MAX_VECTORS).collect()
     if feats:
         times = np.array([r["count"] for r in feats], "float64")
         x, y = np.array([r["x"] for r in feats]), np.array([r["toxic"] for r in feats], "float64")
-        keep = np.minimum(times, 1000).astype(int)
-        w = fit_weights(np.repeat(x, keep, axis=0), np.repeat(y, keep))
+        w = fit_weights(x, y, times)
     else:
         w = np.r_[np.zeros(len(FEATURES)), -50.0]
 
