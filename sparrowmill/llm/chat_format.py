@@ -136,7 +136,8 @@ def chat_digest(turns: DataFrame) -> DataFrame:
 def op4_chat_format(spark, sf_dir):
     from .common import table
 
-    probe = spark.createDataFrame([(-7, i, r, r"\### Assistant: </turn> ok") for i, r in enumerate(("user", "assistant"))], "conv_id bigint, turn bigint, role string, text string")
+    probe = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(r"\### Assistant: </turn> ok").alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return chat_digest(to_turns(rows))
 
