@@ -1,10 +1,14 @@
 """Removal of byte strings of 100 or more that start earlier in the corpus.
 
-The result is that of a suffix order cut at 100 bytes: a byte goes if a 100-byte string
-over it also starts earlier. It is found in two passes instead of a merged
-Burrows-Wheeler transform (see the README): every 100-byte window has a minimiser, the
-least hash of its 32-byte strings, so only windows whose minimiser occurs in two
-documents can repeat across documents; those windows alone are compared, by 128 bits.
+Every 100-byte window has a minimiser, the least hash of its 32-byte strings. A maximal run
+of windows with one minimiser is a piece: its windows can repeat only in pieces of the same
+minimiser, and an equal piece in an earlier document settles all of them at once. What is
+left, pieces that differ but share a minimiser, is compared by Burrows-Wheeler transforms:
+each partition builds one transform per bucket of minimisers, and a bucket merges the
+transforms of all partitions by refining their interleave once per compared byte. The
+blocks left after 100 rounds are the suffixes with a common prefix of 100 bytes, so no
+merged suffix is sorted again. Minimisers with very many or very long pieces exceed a
+bucket; their windows are grouped by 128-bit keys instead, which is exact in the same way.
 Repeats inside a document are found there. Exact copies are set aside first.
 """
 
@@ -20,32 +24,127 @@ from pyspark.sql import functions as F
 from .common import materialise, skew_join
 
 LENGTH, GRAM = 100, 32
+#: A minimiser of more pieces, or of one longer piece (bytes), takes the way by windows.
+MANY, LONG = 1000, 4096
+BUCKET_BYTES = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
+_PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
-def _join_hash(a: np.ndarray, b: np.ndarray, lb: int) -> np.ndarray:
-    """Hashes of strings of length la + lb from those of the parts."""
-    return a * np.uint64(pow(int(_P), lb, 2**64)) + b
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
-def window_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of a 100-byte string: its hash and its minimiser (both as int64)."""
-    n = len(data) - LENGTH + 1
-    if n <= 0:
-        return np.empty(0, "int64"), np.empty(0, "int64")
-    h = {1: np.frombuffer(data, "uint8").astype("uint64") + np.uint64(1)}
-    for k in (1, 2, 4, 8, 16, 32):
-        h[2 * k] = _join_hash(h[k][:-k], h[k][k:], k)
-    whole = _join_hash(_join_hash(h[64][:n], h[32][64:64 + n], 32), h[4][96:96 + n], 4)
-    g = h[GRAM].copy()
-    g ^= g >> np.uint64(29)
-    g *= np.uint64(0xBF58476D1CE4E5B9)
-    g ^= g >> np.uint64(32)
-    low = g
-    for k in (1, 2, 4, 8, 16, 32):
-        low = np.minimum(low[:-k], low[k:])
-    low = np.minimum(low[:n], low[5:5 + n])  # two windows of 64 cover the 69 grams
-    return whole.view("int64"), low.view("int64")
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    p = np.full(n, base, "uint64")
+    p[:1] = 1
+    return np.multiply.accumulate(p)
+
+
+class Windows:
+    """Hashes of a document's 100-byte windows (`whole`) and its pieces: first window,
+    window count, minimiser and hash, all hashes as int64."""
+
+    def __init__(self, data: bytes):
+        n = len(data) - LENGTH + 1
+        if n <= 0:
+            self.whole = self.low = self.first = self.count = self.v = self.key = np.empty(0, "int64")
+            return
+        up, down = _powers(_P, len(data)), _powers(_PINV, len(data))
+        sums = np.r_[np.zeros(1, "uint64"), np.cumsum((np.frombuffer(data, "uint8").astype("uint64") + np.uint64(1)) * up)]
+        g = _mix((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
+        self.whole = _mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n]).view("int64")
+        low = g
+        for k in (1, 2, 4, 8, 16, 32):
+            low = np.minimum(low[:-k], low[k:])
+        low = np.minimum(low[:n], low[5:5 + n])  # two windows of 64 cover the 69 grams
+        self.low = low.view("int64")
+        self.first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        self.count = np.diff(np.r_[self.first, n])
+        self.v = self.low[self.first]
+        size = self.count + LENGTH - 1
+        self.key = _mix((sums[self.first + size] - sums[self.first]) * down[self.first] + size.astype("uint64") * _P).view("int64")
+
+
+def shard_transform(strings: list[bytes]) -> np.ndarray:
+    """Burrows-Wheeler transform of strings with one terminator each (0; byte b is b + 1,
+    UTF-8 has no 255). Row i below len(strings) is the terminator of string i."""
+    m = len(strings)
+    text = np.concatenate([np.r_[np.frombuffer(s, "uint8") + np.uint8(1), np.uint8(0)] for s in strings]).astype("uint8")
+    n, k = len(text), 1
+    rank = text.astype("int64") + m
+    rank[text == 0] = np.arange(m)
+    while True:
+        key = rank * (n + m + 300) + np.r_[rank[k:], np.zeros(min(k, n), "int64")][:n]
+        order = np.argsort(key)
+        sorted_ = key[order]
+        new = np.cumsum(np.r_[0, sorted_[1:] != sorted_[:-1]])
+        rank = np.empty(n, "int64")
+        rank[order] = new
+        if new[-1] == n - 1:
+            return text[order - 1]
+        k *= 2
+
+
+def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> np.ndarray:
+    """Blocks of suffixes with a common prefix of `depth`: for each row of the shards, one
+    after another, its block. Each round reads the merged transform under the present
+    interleave and deals its rows by that symbol, which makes the interleave right for one
+    more byte; a row starts a block when its symbol or the block it came from changes."""
+    flat = np.concatenate(shards)
+    ends = [int((s == 0).sum()) for s in shards]
+    top, m = np.repeat(np.arange(len(shards), dtype="uint16"), ends), sum(ends)
+    z = np.repeat(np.arange(len(shards), dtype="uint16"), [len(s) for s in shards])
+    block = np.zeros(len(flat), "int32")
+    rows = np.arange(len(flat))
+    for _ in range(depth):
+        merged = np.empty_like(flat)
+        merged[rows] = flat
+        order = np.argsort(merged, kind="stable")[m:]
+        symbol, came = merged[order], block[order]
+        edge = np.ones(len(flat), bool)
+        edge[m + 1:] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
+        z, block = np.r_[top, z[order]], np.cumsum(edge, dtype="int32")
+        rows = np.argsort(z, kind="stable")
+    return block[rows]
+
+
+def places(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """String and distance from its end of each row, by walking all strings backwards."""
+    m = int((shard == 0).sum())
+    back = np.zeros(len(shard), "int64")
+    back[np.argsort(shard, kind="stable")[m:]] = np.arange(m, len(shard))
+    string, dist = np.empty(len(shard), "int64"), np.empty(len(shard), "int64")
+    lane, row, step = np.arange(m), np.arange(m), 0
+    while len(row):
+        string[row], dist[row] = lane, step
+        on = shard[row] != 0
+        lane, row, step = lane[on], back[row[on]], step + 1
+    return string, dist
+
+
+def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Windows of a bucket that also start in an earlier document: row, key, offsets."""
+    shards = [np.frombuffer(b, "uint8") for b in pdf["bwt"]]
+    block = merge_transforms(shards)
+    string, dist, base = [], [], 0
+    for s in shards:
+        a, d = places(s)
+        string.append(a + base)
+        dist.append(d)
+        base += int((s == 0).sum())
+    string, dist = np.concatenate(string), np.concatenate(dist)
+    row, key, ord_ = (np.concatenate(pdf[c].tolist()) for c in ("rows", "keys", "ords"))
+    size = np.zeros(base, "int64")
+    np.maximum.at(size, string, dist)
+    least = np.full(block.max() + 1, np.iinfo("int64").max)
+    np.minimum.at(least, block, ord_[string])
+    bad = np.flatnonzero((dist >= LENGTH) & (ord_[string] > least[block]))
+    bad = bad[np.argsort(string[bad], kind="stable")]
+    s, at = string[bad], (size[string] - dist)[bad]
+    cuts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, int)
+    return pd.DataFrame({"row": row[s[cuts]], "key": key[s[cuts]], "offs": pd.Series([x.astype("int32") for x in np.split(at, cuts[1:])] if len(s) else [], dtype=object)})
 
 
 def covered(starts: np.ndarray, size: int) -> np.ndarray:
@@ -62,7 +161,79 @@ def _later_inside(whole: np.ndarray) -> np.ndarray:
     return later
 
 
-def suffix_dedup(docs: DataFrame) -> DataFrame:
+def _pieces(batches):
+    for b in batches:
+        out, n = [], 0
+        for row, ord_, t in zip(b["row"], b["ord"], b["text"]):
+            w = Windows(t.encode())
+            pick = np.unique(w.key, return_index=True)[1]
+            out.append(pd.DataFrame({"row": row, "ord": ord_, "v": w.v[pick], "key": w.key[pick], "size": w.count[pick] + LENGTH - 1}))
+            n += len(pick)
+            if n > 100_000:
+                yield pd.concat(out)
+                out, n = [], 0
+        if out:
+            yield pd.concat(out)
+
+
+def _shards(buckets: int):
+    def build(batches):
+        held, n = {}, 0
+
+        def flush():
+            return pd.DataFrame([(k, shard_transform([x[0] for x in v]).tobytes(), *([x[i] for x in v] for i in (1, 2, 3))) for k, v in held.items()], columns=["bucket", "bwt", "rows", "keys", "ords"])
+
+        for b in batches:
+            for row, ord_, t, keys in zip(b["row"], b["ord"], b["text"], b["keys"]):
+                data, keys = t.encode(), np.asarray(keys, "int64")
+                w = Windows(data)
+                pick = np.unique(w.key, return_index=True)[1]
+                for i in pick[np.isin(w.key[pick], keys)]:
+                    s = data[w.first[i]:w.first[i] + w.count[i] + LENGTH - 1]
+                    held.setdefault(int(w.v[i]) % buckets, []).append((s, row, int(w.key[i]), ord_))
+                    n += len(s)
+                if n > 16 * BUCKET_BYTES:
+                    yield flush()
+                    held, n = {}, 0
+        if held:
+            yield flush()
+
+    return build
+
+
+def _loose_windows(batches):
+    for b in batches:
+        for row, ord_, t, keys in zip(b["row"], b["ord"], b["text"], b["keys"]):
+            w = Windows(t.encode())
+            at = np.repeat(np.isin(w.key, np.asarray(keys, "int64")), w.count)
+            h, first = np.unique(w.whole[at], return_index=True)
+            yield pd.DataFrame({"row": row, "ord": ord_, "h": h, "v": w.low[at][first]})
+
+
+def _cut(batches):
+    for b in batches:
+        out = []
+        for row, t, pieces, hs in zip(b["row"], b["text"], b["pieces"], b["hs"]):
+            data = t.encode()
+            w = Windows(data)
+            bad = _later_inside(w.whole) if len(w.whole) else np.empty(0, bool)
+            if hs is not None and len(hs):
+                bad |= np.isin(w.whole, np.asarray(hs, "int64"))
+            if pieces is not None:
+                where = {}
+                for i, k in enumerate(w.key.tolist()):
+                    where.setdefault(k, []).append(i)
+                for p in pieces:
+                    for i in where[p["key"]]:
+                        offs = np.arange(w.count[i]) if p["offs"] is None else np.asarray(p["offs"])
+                        bad[w.first[i] + offs] = True
+            m = covered(np.flatnonzero(bad), len(data))
+            kept = np.frombuffer(data, "uint8")[~m].tobytes()
+            out.append((row, int(m.sum()), int(np.count_nonzero(np.diff(np.r_[0, m.astype("int8")]) == 1)), hashlib.sha256(kept).hexdigest()))
+        yield pd.DataFrame(out, columns=["row", "n_removed", "n_spans", "kept_sha256"])
+
+
+def suffix_dedup(docs: DataFrame, many: int = MANY, long: int = LONG) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Null text counts as empty; texts below 100 bytes lose nothing; of exact copies the
@@ -73,44 +244,28 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     n = base.count()
     heads = base.groupBy("key").agg(F.min(F.struct("ord", "row")).alias("m")).select(F.col("m.row").alias("row"))
     heads = materialise(base.join(heads, "row", "left_semi").select("row", "ord", "doc_id", "text"), "heads")
-    big = heads.where(F.octet_length("text") >= LENGTH)
-
-    def minimisers(batches):
-        for b in batches:
-            for row, t in zip(b["row"], b["text"]):
-                yield pd.DataFrame({"row": row, "v": np.unique(window_hashes(t.encode())[1])})
+    big = heads.where(F.octet_length("text") >= LENGTH).select("row", "ord", "text")
 
-    spots = materialise(big.select("row", "text").mapInPandas(minimisers, "row bigint, v bigint"), "spots")
-    shared = spots.groupBy("v").agg(F.count(F.lit(1)).alias("_w")).where("_w > 1")
-    per_doc = skew_join(spots, shared, ["v"], "_w", "row", n).groupBy("row").agg(F.collect_list("v").alias("vs"))
+    pieces = materialise(big.mapInPandas(_pieces, "row bigint, ord bigint, v bigint, key bigint, size bigint"), "pieces")
+    same = materialise(pieces.groupBy("v", "key").agg(F.min("ord").alias("least"), F.count(F.lit(1)).alias("_w"), F.max("size").alias("size")), "same")
+    kinds = same.groupBy("v").agg(F.count(F.lit(1)).alias("d"), F.max("size").alias("size")).where("d > 1").select("v", F.when((F.col("d") > many) | (F.col("size") > long), "loose").otherwise("shard").alias("kind"), F.col("d").alias("_d"))
+    open_ = skew_join(same.drop("size"), kinds, ["v"], "_d", "key", n).select("v", "key", "least", "_w", "kind")
+    settled = same.where("_w > 1").select("v", "key", "least", "_w").join(kinds.select("v"), "v", "left_anti").withColumn("kind", F.lit(None).cast("string"))
+    tagged = skew_join(pieces, open_.unionByName(settled), ["v", "key"], "_w", "row", n)
+    tagged = materialise(tagged.select("row", "key", "size", F.when(F.col("ord") > F.col("least"), "gone").otherwise(F.col("kind")).alias("kind")).where("kind is not null"), "tagged")
 
-    def windows(batches):
-        for b in batches:
-            for row, ord_, t, vs in zip(b["row"], b["ord"], b["text"], b["vs"]):
-                whole, low = window_hashes(t.encode())
-                at = np.isin(low, np.asarray(vs, "int64"))
-                h, first = np.unique(whole[at], return_index=True)
-                yield pd.DataFrame({"row": row, "ord": ord_, "h": h, "v": low[at][first]})
-
-    seen = materialise(big.select("row", "ord", "text").join(per_doc, "row").mapInPandas(windows, "row bigint, ord bigint, h bigint, v bigint"), "seen")
+    per_doc = lambda kind: big.join(tagged.where(F.col("kind") == kind).groupBy("row").agg(F.collect_list("key").alias("keys")), "row")
+    open_bytes = tagged.where("kind = 'shard'").agg(F.sum("size")).first()[0] or 0
+    buckets = 1 + open_bytes // BUCKET_BYTES
+    shards = per_doc("shard").mapInPandas(_shards(buckets), "bucket bigint, bwt binary, rows array<bigint>, keys array<bigint>, ords array<bigint>")
+    found = shards.groupBy("bucket").applyInPandas(repeats, "row bigint, key bigint, offs array<int>")
+    seen = materialise(per_doc("loose").mapInPandas(_loose_windows, "row bigint, ord bigint, h bigint, v bigint"), "seen")
     least = seen.groupBy("h", "v").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("_w")).where("least < most").drop("most")
-    gone = skew_join(seen, least, ["h", "v"], "_w", "row", n).where("ord > least").groupBy("row").agg(F.collect_list("h").alias("hs"))
+    loose = skew_join(seen, least, ["h", "v"], "_w", "row", n).where("ord > least").groupBy("row").agg(F.collect_list("h").alias("hs"))
 
-    def cut(batches):
-        for b in batches:
-            out = []
-            for row, t, hs in zip(b["row"], b["text"], b["hs"]):
-                data = t.encode()
-                whole, _ = window_hashes(data)
-                bad = _later_inside(whole) if len(whole) else np.empty(0, bool)
-                if hs is not None and len(hs):
-                    bad |= np.isin(whole, np.asarray(hs, "int64"))
-                m = covered(np.flatnonzero(bad), len(data))
-                kept = np.frombuffer(data, "uint8")[~m].tobytes()
-                out.append((row, int(m.sum()), int(np.count_nonzero(np.diff(np.r_[0, m.astype("int8")]) == 1)), hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["row", "n_removed", "n_spans", "kept_sha256"])
-
-    done = heads.select("row", "text").join(gone, "row", "left").mapInPandas(cut, "row bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    gone = tagged.where("kind = 'gone'").select("row", "key", F.lit(None).cast("array<int>").alias("offs")).unionByName(found)
+    gone = gone.groupBy("row").agg(F.collect_list(F.struct("key", "offs")).alias("pieces"))
+    done = heads.select("row", "text").join(gone, "row", "left").join(loose, "row", "left").mapInPandas(_cut, "row bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     size = F.octet_length("text").cast("long")
     gone_whole = size >= LENGTH
     copies = base.select("row", "doc_id", size.alias("n_bytes"), F.when(gone_whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("key")).alias("key")).join(done, "row", "left")

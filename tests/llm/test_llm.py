@@ -53,8 +53,9 @@ def test_filters_merge_losslessly(spark):
     assert got == {v: values.count(v) for v in set(values)}
 
 
-def test_suffix(docs, empty):
-    got = sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs).collect()), key=str)
+@pytest.mark.parametrize("many", [1000, 1])
+def test_suffix(docs, empty, many):
+    got = sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs, many).collect()), key=str)
     seen, want = set(), []
     for d, t in sorted(TEXTS, key=lambda x: -1 if x[0] is None else x[0]):
         b, m = (t or "").encode(), bytearray(len((t or "").encode()))
@@ -67,6 +68,25 @@ def test_suffix(docs, empty):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+def test_merged_transforms():
+    shards = [[b"banana", b"bandana"], [b"ana", b"", b"banana"], [b"nab"]]
+    texts = [t for s in shards for t in s]
+    bwts = [suffix_dedup.shard_transform(s) for s in shards]
+    block, base, got = suffix_dedup.merge_transforms(bwts, 3), 0, {}
+    at = 0
+    for s, b in zip(shards, bwts):
+        string, dist = suffix_dedup.places(b)
+        for t, d in zip(string, dist):
+            got.setdefault(int(block[at]), set()).add((base + int(t), int(d)))
+            at += 1
+        base += len(s)
+    want = {}
+    for i, t in enumerate(texts):
+        for d in range(len(t) + 1):
+            want.setdefault(t[len(t) - d:][:3] if d >= 3 else (i, d), set()).add((i, d))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def test_decontaminate(spark, docs, empty):
     bench = spark.createDataFrame([(1, " ".join(BASE.split()[:20])), (2, "one"), (3, None), (4, ""), (1, "idiot")], "item_id bigint, text string")
     got = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
