@@ -1,6 +1,6 @@
 """Removal of byte strings of 100 or more that start earlier in the corpus.
 
-Every 100-byte window has a minimiser, the least hash of its 32-byte strings. A maximal run
+Every 100-byte window has a minimiser, the least hash of its 48-byte strings. A maximal run
 of windows with one minimiser is a piece: its windows can repeat only in pieces of the same
 minimiser, and an equal piece in an earlier document settles all of them at once. What is
 left, pieces that differ but share a minimiser, is compared by Burrows-Wheeler transforms:
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, skew_join
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 48
 #: A minimiser of more pieces, or of one longer piece (bytes), takes the way by windows.
 MANY, LONG = 1000, 4096
 BUCKET_BYTES = 1 << 20
@@ -55,10 +55,10 @@ class Windows:
         sums = np.r_[np.zeros(1, "uint64"), np.cumsum((np.frombuffer(data, "uint8").astype("uint64") + np.uint64(1)) * up)]
         g = _mix((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
         self.whole = _mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n]).view("int64")
-        low = g
-        for k in (1, 2, 4, 8, 16, 32):
-            low = np.minimum(low[:-k], low[k:])
-        low = np.minimum(low[:n], low[5:5 + n])  # two windows of 64 cover the 69 grams
+        low, k, span = g, 1, LENGTH - GRAM + 1
+        while 2 * k <= span:
+            low, k = np.minimum(low[:-k], low[k:]), 2 * k
+        low = np.minimum(low[:n], low[span - k:span - k + n])
         self.low = low.view("int64")
         self.first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
         self.count = np.diff(np.r_[self.first, n])
@@ -87,34 +87,39 @@ def shard_transform(strings: list[bytes]) -> np.ndarray:
         k *= 2
 
 
-def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> np.ndarray:
-    """Blocks of suffixes with a common prefix of `depth`: for each row of the shards, one
-    after another, its block. Each round reads the merged transform under the present
-    interleave and deals its rows by that symbol, which makes the interleave right for one
-    more byte; a row starts a block when its symbol or the block it came from changes."""
+def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (counted through the shards, one after another) of the suffixes that share a
+    prefix of `depth` with another one, in merged order, and their blocks.
+
+    Each round reads the symbols under the present interleave and deals the rows before
+    them by symbol, stably, which makes the interleave right for one more byte; a row starts
+    a block when its symbol or the block it came from changes. What precedes a suffix alone
+    in its block is alone too, so such rows are settled and set aside."""
     flat = np.concatenate(shards)
-    ends = [int((s == 0).sum()) for s in shards]
-    top, m = np.repeat(np.arange(len(shards), dtype="uint16"), ends), sum(ends)
-    z = np.repeat(np.arange(len(shards), dtype="uint16"), [len(s) for s in shards])
-    block = np.zeros(len(flat), "int32")
-    rows = np.arange(len(flat))
+    back = np.concatenate([_before(s) for s in shards]) + np.repeat(np.cumsum([0, *map(len, shards[:-1])]), [len(s) for s in shards])
+    rows, block = np.arange(len(flat)), np.zeros(len(flat), "int32")
     for _ in range(depth):
-        merged = np.empty_like(flat)
-        merged[rows] = flat
-        order = np.argsort(merged, kind="stable")[m:]
-        symbol, came = merged[order], block[order]
-        edge = np.ones(len(flat), bool)
-        edge[m + 1:] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
-        z, block = np.r_[top, z[order]], np.cumsum(edge, dtype="int32")
-        rows = np.argsort(z, kind="stable")
-    return block[rows]
+        symbol = flat[rows]
+        order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0):]
+        symbol, came = symbol[order], block[order]
+        edge = np.ones(len(order) + 1, bool)
+        edge[1:-1] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
+        shared = ~(edge[:-1] & edge[1:])
+        rows, block = back[rows[order[shared]]], np.cumsum(edge[:-1][shared], dtype="int32")
+    return rows, block
+
+
+def _before(shard: np.ndarray) -> np.ndarray:
+    """Row of the suffix one byte longer; 0 where a string starts."""
+    m = np.count_nonzero(shard == 0)
+    back = np.zeros(len(shard), "int64")
+    back[np.argsort(shard, kind="stable")[m:]] = np.arange(m, len(shard))
+    return back
 
 
 def places(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """String and distance from its end of each row, by walking all strings backwards."""
-    m = int((shard == 0).sum())
-    back = np.zeros(len(shard), "int64")
-    back[np.argsort(shard, kind="stable")[m:]] = np.arange(m, len(shard))
+    m, back = np.count_nonzero(shard == 0), _before(shard)
     string, dist = np.empty(len(shard), "int64"), np.empty(len(shard), "int64")
     lane, row, step = np.arange(m), np.arange(m), 0
     while len(row):
@@ -127,22 +132,23 @@ def places(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     """Windows of a bucket that also start in an earlier document: row, key, offsets."""
     shards = [np.frombuffer(b, "uint8") for b in pdf["bwt"]]
-    block = merge_transforms(shards)
+    at, block = merge_transforms(shards)
     string, dist, base = [], [], 0
     for s in shards:
         a, d = places(s)
         string.append(a + base)
         dist.append(d)
         base += int((s == 0).sum())
-    string, dist = np.concatenate(string), np.concatenate(dist)
     row, key, ord_ = (np.concatenate(pdf[c].tolist()) for c in ("rows", "keys", "ords"))
+    string, dist = np.concatenate(string), np.concatenate(dist)
     size = np.zeros(base, "int64")
     np.maximum.at(size, string, dist)
-    least = np.full(block.max() + 1, np.iinfo("int64").max)
-    np.minimum.at(least, block, ord_[string])
-    bad = np.flatnonzero((dist >= LENGTH) & (ord_[string] > least[block]))
-    bad = bad[np.argsort(string[bad], kind="stable")]
-    s, at = string[bad], (size[string] - dist)[bad]
+    s, offs = string[at], (size[string] - dist)[at]
+    least = np.full(block.max(initial=0) + 1, np.iinfo("int64").max)
+    np.minimum.at(least, block, ord_[s])
+    bad = np.flatnonzero(ord_[s] > least[block])
+    bad = bad[np.argsort(s[bad], kind="stable")]
+    s, at = s[bad], offs[bad]
     cuts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, int)
     return pd.DataFrame({"row": row[s[cuts]], "key": key[s[cuts]], "offs": pd.Series([x.astype("int32") for x in np.split(at, cuts[1:])] if len(s) else [], dtype=object)})
 
@@ -161,19 +167,26 @@ def _later_inside(whole: np.ndarray) -> np.ndarray:
     return later
 
 
+def _frame(parts: list[tuple], names: list[str]) -> pd.DataFrame:
+    """Parts are (row, ord, array, ...): scalars are repeated along their arrays."""
+    sizes = [len(p[2]) for p in parts]
+    cols = [np.repeat([p[i] for p in parts], sizes) if i < 2 else np.concatenate([p[i] for p in parts]) for i in range(len(names))]
+    return pd.DataFrame(dict(zip(names, cols)))
+
+
 def _pieces(batches):
     for b in batches:
         out, n = [], 0
         for row, ord_, t in zip(b["row"], b["ord"], b["text"]):
             w = Windows(t.encode())
             pick = np.unique(w.key, return_index=True)[1]
-            out.append(pd.DataFrame({"row": row, "ord": ord_, "v": w.v[pick], "key": w.key[pick], "size": w.count[pick] + LENGTH - 1}))
+            out.append((row, ord_, w.v[pick], w.key[pick], w.count[pick] + LENGTH - 1))
             n += len(pick)
             if n > 100_000:
-                yield pd.concat(out)
+                yield _frame(out, ["row", "ord", "v", "key", "size"])
                 out, n = [], 0
         if out:
-            yield pd.concat(out)
+            yield _frame(out, ["row", "ord", "v", "key", "size"])
 
 
 def _shards(buckets: int):
@@ -203,11 +216,18 @@ def _shards(buckets: int):
 
 def _loose_windows(batches):
     for b in batches:
+        out, n = [], 0
         for row, ord_, t, keys in zip(b["row"], b["ord"], b["text"], b["keys"]):
             w = Windows(t.encode())
             at = np.repeat(np.isin(w.key, np.asarray(keys, "int64")), w.count)
             h, first = np.unique(w.whole[at], return_index=True)
-            yield pd.DataFrame({"row": row, "ord": ord_, "h": h, "v": w.low[at][first]})
+            out.append((row, ord_, h, w.low[at][first]))
+            n += len(h)
+            if n > 100_000:
+                yield _frame(out, ["row", "ord", "h", "v"])
+                out, n = [], 0
+        if out:
+            yield _frame(out, ["row", "ord", "h", "v"])
 
 
 def _cut(batches):
