@@ -261,17 +261,19 @@ def suffix_dedup(docs: DataFrame, many: int = MANY, long: int = LONG) -> DataFra
     of which one stays; rows of a null id come first in order. Extra columns are ignored."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.sha2(F.encode("text", "UTF-8"), 256))
     base = materialise(base.withColumn("ord", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))).withColumn("row", F.monotonically_increasing_id()), "base")
-    n = base.count()
     heads = base.groupBy("key").agg(F.min(F.struct("ord", "row")).alias("m")).select(F.col("m.row").alias("row"))
     heads = materialise(base.join(heads, "row", "left_semi").select("row", "ord", "doc_id", "text"), "heads")
     big = heads.where(F.octet_length("text") >= LENGTH).select("row", "ord", "text")
 
     pieces = materialise(big.mapInPandas(_pieces, "row bigint, ord bigint, v bigint, key bigint, size bigint"), "pieces")
+    n_pieces = pieces.count()
+    common = pieces.groupBy("v").agg(F.count(F.lit(1)).alias("_w")).where("_w > 1")  # a minimiser met once repeats nowhere else
+    pieces = materialise(skew_join(pieces, common, ["v"], "_w", "row", n_pieces).drop("_w"), "common")
     same = materialise(pieces.groupBy("v", "key").agg(F.min("ord").alias("least"), F.count(F.lit(1)).alias("_w"), F.max("size").alias("size")), "same")
     kinds = same.groupBy("v").agg(F.count(F.lit(1)).alias("d"), F.max("size").alias("size")).where("d > 1").select("v", F.when((F.col("d") > many) | (F.col("size") > long), "loose").otherwise("shard").alias("kind"), F.col("d").alias("_d"))
-    open_ = skew_join(same.drop("size"), kinds, ["v"], "_d", "key", n).select("v", "key", "least", "_w", "kind")
+    open_ = skew_join(same.drop("size"), kinds, ["v"], "_d", "key", n_pieces).select("v", "key", "least", "_w", "kind")
     settled = same.where("_w > 1").select("v", "key", "least", "_w").join(kinds.select("v"), "v", "left_anti").withColumn("kind", F.lit(None).cast("string"))
-    tagged = skew_join(pieces, open_.unionByName(settled), ["v", "key"], "_w", "row", n)
+    tagged = skew_join(pieces, open_.unionByName(settled), ["v", "key"], "_w", "row", n_pieces)
     tagged = materialise(tagged.select("row", "key", "size", F.when(F.col("ord") > F.col("least"), "gone").otherwise(F.col("kind")).alias("kind")).where("kind is not null"), "tagged")
 
     per_doc = lambda kind: big.join(tagged.where(F.col("kind") == kind).groupBy("row").agg(F.collect_list("key").alias("keys")), "row")
@@ -281,7 +283,7 @@ def suffix_dedup(docs: DataFrame, many: int = MANY, long: int = LONG) -> DataFra
     found = shards.groupBy("bucket").applyInPandas(repeats, "row bigint, key bigint, offs array<int>")
     seen = materialise(per_doc("loose").mapInPandas(_loose_windows, "row bigint, ord bigint, h bigint, v bigint"), "seen")
     least = seen.groupBy("h", "v").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("_w")).where("least < most").drop("most")
-    loose = skew_join(seen, least, ["h", "v"], "_w", "row", n).where("ord > least").groupBy("row").agg(F.collect_list("h").alias("hs"))
+    loose = skew_join(seen, least, ["h", "v"], "_w", "row", seen.count()).where("ord > least").groupBy("row").agg(F.collect_list("h").alias("hs"))
 
     gone = tagged.where("kind = 'gone'").select("row", "key", F.lit(None).cast("array<int>").alias("offs")).unionByName(found)
     gone = gone.groupBy("row").agg(F.collect_list(F.struct("key", "offs")).alias("pieces"))
