@@ -1,10 +1,11 @@
 import duckdb
 import pytest
 
+from sparrowmill.plans import more  # noqa: F401
 from sparrowmill.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings conversations labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings conversations labels pages".split()
 
 
 def rows(names, values):
@@ -30,3 +31,47 @@ def test_draws_do_not_depend_on_partitions(spark):
 
     make = lambda n: {tuple(r) for r in spark.range(500).repartition(n).select("id", keyed_u(1, F.col("id"), "a"), hash_split(F.col("id"))).collect()}
     assert make(1) == make(7)
+
+
+def test_media_and_sinks(spark, tmp_path):
+    import struct
+    import wave
+
+    from sparrowmill.sources import files
+
+    (tmp_path / "in" / "a").mkdir(parents=True)
+    with wave.open(str(tmp_path / "in" / "a" / "x.wav"), "wb") as w:
+        w.setnchannels(2)
+        w.setsampwidth(2)
+        w.setframerate(16000)
+        w.writeframes(struct.pack("<hh", 16384, 0) * 16000)
+    (tmp_path / "in" / "bad.wav").write_bytes(b"junk")
+    found = files.scan_media(spark, str(tmp_path / "in"))
+    got = {r.path.rsplit("/", 1)[1]: r for r in files.probe_media(found).collect()}
+    assert (got["x.wav"].frames, got["x.wav"].rate, got["x.wav"].seconds, got["bad.wav"].frames) == (16000, 16000, 1.0, None)
+    cut = {r.path.rsplit("/", 1)[1]: r.samples for r in files.decode_media(found, 8000, 0.25, 0.75).collect()}
+    assert len(cut["x.wav"]) == 4000 and set(cut["x.wav"]) == {0.25} and cut["bad.wav"] is None
+    files.write_frozen(spark.range(3), str(tmp_path / "set"))
+    with pytest.raises(Exception):
+        files.write_frozen(spark.range(3), str(tmp_path / "set"))
+    with pytest.raises(ValueError):
+        files.read_manifest(spark, str(tmp_path / "set"), ["id", "split"])
+
+
+def test_segments_of_a_stream_equal_the_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sparrowmill.streaming import events
+
+    src = spark.read.parquet(f"{SF}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    end = src.agg(F.max("ts")).first()[0]
+    src.write.parquet(str(tmp_path / "a"))
+    late = src.select(F.lit(-1).cast("long").alias("user_id"), (F.lit(end) + F.expr("interval 3 days")).alias("ts")).limit(1)
+    stream = spark.readStream.schema(src.schema).parquet(str(tmp_path / "a"))
+    q = events.segments(stream, "user_id", "ts", "30 minutes").writeStream.format("memory").queryName("seg").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    late.write.mode("append").parquet(str(tmp_path / "a"))
+    q.processAllAvailable()
+    q.stop()
+    want = {tuple(r) for r in events.segments(src, "user_id", "ts", "30 minutes").collect()}
+    assert {tuple(r) for r in spark.table("seg").collect() if r.user_id >= 0} == want
