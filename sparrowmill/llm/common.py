@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import string
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparrowmill.functions.shared import materialise, shared_dir  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,22 +23,6 @@ def salts(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shared_dir(spark: SparkSession, own: str | None = None) -> str:
-    """The folder all executors see; `own` only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or own
-    if not root:
-        root = "/tmp/sparrowmill"  # single-machine sessions only: a cluster sets spark.checkpoint.dir
-    return f"{root}/{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, tag: str = "t") -> DataFrame:
-    """Write to the shared folder and reread: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}-{tag}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, id_col: str, n: int) -> DataFrame:
     """Inner join of `left` to `right`, which holds one row per key and in `weight`
     the number of left rows of that key. Keys heavier than n/(4*salts) are dealt over

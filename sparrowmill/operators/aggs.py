@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparrowmill.functions.shared import materialise
+
 
 def hours(df: DataFrame, by: list[str], seconds: str) -> DataFrame:
     return df.groupBy(*by).agg((F.sum(seconds) / 3600.0).alias("hours"))
@@ -24,10 +26,27 @@ def rate_pct(df: DataFrame, pred: Column, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg((F.avg(pred.cast("double")) * 100).alias("pct"))
 
 
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """Rows in the shared folder with `_part`, the number of their range in `order`."""
+    return materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+
+
 def quantiles(df: DataFrame, col: str, ps: list[float]) -> DataFrame:
-    """Exact, with linear interpolation."""
-    q = df.agg(F.percentile(col, F.array(*map(F.lit, ps))).alias("q"))
-    return q.select(*[F.col("q")[i].alias(f"p{round(p * 100):02d}") for i, p in enumerate(ps)])
+    """Exact, with linear interpolation; nulls are left out. Values are counted and dealt by
+    range, and ranks come from the counts of the ranges before, so no task sees all rows."""
+    v = _ranged(df.select(F.col(col).cast("double").alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n")), "v")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    parts = v.groupBy("_part").agg(F.sum("n").alias("m")).select("_part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"), F.sum("m").over(Window.partitionBy()).alias("total"))
+    run = F.sum("n").over(Window.partitionBy("_part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = v.withColumn("run", run).join(F.broadcast(parts), "_part").withColumn("end", F.col("base") + F.col("run"))
+
+    def at(k):
+        return F.max(F.when((F.col("end") - F.col("n") <= k) & (k < F.col("end")), F.col("v")))
+
+    pos = [(F.col("total") - 1) * F.lit(float(p)) for p in ps]
+    q = ranked.agg(F.max("total").alias("total"), *[at(f(x)).alias(f"{k}{i}") for i, x in enumerate(pos) for k, f in (("lo", F.floor), ("hi", F.ceil))])
+    return q.select(*[F.when(F.floor(x) == F.ceil(x), F.col(f"lo{i}")).otherwise((F.ceil(x) - x) * F.col(f"lo{i}") + (x - F.floor(x)) * F.col(f"hi{i}")).alias(f"p{round(p * 100):02d}")
+                      for i, (p, x) in enumerate(zip(ps, pos))])
 
 
 def histogram_left(df: DataFrame, col: str, edges: list[float]) -> DataFrame:
@@ -72,8 +91,17 @@ def occurrence(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def number_in(df: DataFrame, prefix: str, order: str) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy(prefix).orderBy(order))
-    return df.withColumn("name", F.concat(prefix, F.lit("_"), F.lpad(n.cast("string"), 4, "0")))
+    """Names `<prefix>_<n>`, n counted from 1 in `order` and padded to four digits, never cut.
+    Rows are dealt by range and counted from the rows of the ranges before, so no prefix
+    passes through one task; equal rows are told apart by a row number."""
+    t = _ranged(df.withColumn("_row", F.monotonically_increasing_id()), prefix, order, "_row")
+    before = Window.partitionBy(prefix).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    base = t.groupBy("_part", prefix).agg(F.count(F.lit(1)).alias("_m")).select(
+        F.col("_part").alias("_p"), F.col(prefix).alias("_g"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
+    t = t.withColumn("_n", F.row_number().over(Window.partitionBy("_part", prefix).orderBy(order, "_row")))
+    n = (F.col("_base") + F.col("_n")).cast("string")
+    t = t.join(base, (F.col("_part") == F.col("_p")) & F.col(prefix).eqNullSafe(F.col("_g")))
+    return t.withColumn("name", F.concat(prefix, F.lit("_"), F.lpad(n, F.greatest(F.lit(4), F.length(n)), F.lit("0")))).select(*df.columns, "name")
 
 
 def first_k(df: DataFrame, by: str, order: str, k: int) -> DataFrame:

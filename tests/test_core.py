@@ -75,3 +75,42 @@ def test_segments_of_a_stream_equal_the_batch(spark, tmp_path):
     q.stop()
     want = {tuple(r) for r in events.segments(src, "user_id", "ts", "30 minutes").collect()}
     assert {tuple(r) for r in spark.table("seg").collect() if r.user_id >= 0} == want
+
+
+@pytest.fixture
+def ranges(spark):
+    """Keeps small ranges apart, so that offsets between them count."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_numbers_over_four_digits_are_not_cut(spark, ranges):
+    from pyspark.sql import functions as F
+
+    from sparrowmill.operators import aggs
+
+    n = 10_050
+    df = spark.range(n).select(F.when(F.col("id") < n - 3, "hot").when(F.col("id") < n - 1, "b").alias("source"), (F.lit(n) - F.col("id")).alias("doc_id"), F.lit("x").alias("kept")).repartition(7)
+    out = aggs.number_in(df, "source", "doc_id")
+    got = {r.doc_id: r.name for r in out.collect()}
+    want = {n - i: f"hot_{n - i - 3:04d}" for i in range(n - 3)} | {3: "b_0002", 2: "b_0001", 1: None}
+    assert got == want and out.columns == ["source", "doc_id", "kept", "name"]
+    twice = aggs.number_in(df.where("source = 'b'").select("source", F.lit(1).alias("doc_id")), "source", "doc_id")
+    assert sorted(r.name for r in twice.collect()) == ["b_0001", "b_0002"]
+
+
+def test_quantiles_rank_over_ranges(spark, ranges):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from sparrowmill.operators import aggs
+
+    ps = [0.0, 0.02, 0.5, 0.77, 1.0]
+    df = spark.range(3001).select(F.when(F.col("id") % 3 == 0, 7.5).otherwise((F.col("id") * 7919 % 1009).cast("double")).alias("x")).union(spark.sql("select cast(null as double)"))
+    got = aggs.quantiles(df, "x", ps)
+    x = [r.x for r in df.collect() if r.x is not None]
+    assert list(got.first()) == pytest.approx(list(np.quantile(x, ps)))
+    plan = got._jdf.queryExecution().toString()
+    assert "percentile" not in plan
+    assert list(aggs.quantiles(df.limit(0), "x", ps).first()) == [None] * 5
