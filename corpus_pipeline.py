@@ -6,30 +6,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.bpe import encode_decode
-from sparrowmill.llm.common import materialise, table
+from sparrowmill.llm.common import materialise, table, with_key
 from sparrowmill.llm.decontaminate import decontaminate
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.jaccard_join import jaccard_join
 from sparrowmill.llm.toxicity import score_toxicity
 
 
+#: Number of a row: ids may be null, repeated or shared by different texts, so stages
+#: judge rows by this. The first stage writes it, later ones carry it.
+KEY = "_row_key"
+
+
+def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    return docs.join(bad.select(KEY), KEY, "left_anti").select(docs.columns)
+
+
+def _by_key(docs: DataFrame) -> DataFrame:
+    """The key in the place of the id, for operators that look at nothing else of a row."""
+    return docs.select(F.col(KEY).alias("doc_id"), "text")
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar predicts as toxic go."""
-    bad = score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    docs = with_key(docs, KEY)
+    return _without(docs, score_toxicity(docs, table(spark, sf_dir, "labels"), key=KEY).where("predicted = 1"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.join(exact_dedup(docs).where("not kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """One row of each text stays."""
+    docs = with_key(docs, KEY)
+    return _without(docs, exact_dedup(docs, key=KEY).where("not kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.join(jaccard_join(docs).where("not is_class_head").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """The row with the largest id of each class stays, the largest key among equal ids."""
+    docs = with_key(docs, KEY)
+    classes = jaccard_join(_by_key(docs)).select(F.col("doc_id").alias(KEY), "class_id")
+    members = materialise(classes.join(docs.select(KEY, F.col("doc_id").alias("_id")), KEY), "members")
+    heads = members.groupBy("class_id").agg(F.max(F.struct("_id", KEY)).alias("m")).select(f"m.{KEY}")
+    return _without(docs, members.join(heads, KEY, "left_anti"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    docs = with_key(docs, KEY)
+    return _without(docs, decontaminate(_by_key(docs), table(spark, sf_dir, "benchmark")).where("contaminated").withColumnRenamed("doc_id", KEY))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, own: str | None = None) -> str:
@@ -21,3 +22,9 @@ def materialise(df: DataFrame, tag: str = "t") -> DataFrame:
     path = f"{shared_dir(spark)}-{tag}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def with_key(df: DataFrame, key: str) -> DataFrame:
+    """`df` with a number of its own for each row, written once so that every reader sees
+    the same; a table that has the column already keeps it."""
+    return df if key in df.columns else materialise(df.withColumn(key, F.monotonically_increasing_id()), "keyed")

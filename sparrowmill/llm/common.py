@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparrowmill.functions.shared import materialise, shared_dir  # noqa: F401
+from sparrowmill.functions.shared import materialise, shared_dir, with_key  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, skew_join
+from .common import lower_az, materialise, skew_join, with_key
 
 FILTER = "quotient int, remainders array<bigint>, counts array<bigint>"
 
@@ -60,28 +60,36 @@ def merge_filters(filters: DataFrame, quotient_bits: int) -> DataFrame:
     return filters.groupBy("quotient").applyInPandas(merge, "fp bigint, n bigint")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
+    """Per row: doc_id, keep_id, group_size, kept, text_sha256, and `key` if a column of that
+    name is given, which must tell rows apart.
 
-    Nulls count as empty text; empty texts form one group. The largest id of a group
-    stays; rows with a null id are grouped but never chosen unless alone. Repeated rows
-    with one id are all reported as kept when that id is. An empty table gives no rows;
-    extra columns are ignored."""
+    Nulls count as empty text; empty texts form one group. Exactly one row of a group is
+    kept: one with its largest id, or any one if all its ids are null; among rows with that id
+    the largest key decides. An empty table gives no rows; extra columns are ignored."""
     norm = lower_az(F.col(text_col))
-    base = docs.select(F.col(id_col).alias("doc_id"), norm.alias("_norm")).select(
-        "doc_id", "_norm", F.shiftrightunsigned(F.xxhash64("_norm"), 1).alias("fp"), F.sha2(F.encode("_norm", "UTF-8"), 256).alias("text_sha256"))
+    own = [key] if key else []
+    base = docs.select(F.col(id_col).alias("doc_id"), *own, norm.alias("_norm")).select(
+        "doc_id", *own, "_norm", F.shiftrightunsigned(F.xxhash64("_norm"), 1).alias("fp"), F.sha2(F.encode("_norm", "UTF-8"), 256).alias("text_sha256"))
     n = docs.count()
     bits = max(4, int(np.ceil(np.log2(max(1, n) / 20_000 + 1))) + 1)
     counted = merge_filters(build_filters(base.select("fp"), bits), bits)
     counted = counted.persist()
-    tagged = skew_join(base.drop("_norm"), counted, ["fp"], "n", "doc_id", n)
-    suspects = skew_join(base.select("doc_id", "fp", "_norm"), counted.where("n > 1"), ["fp"], "n", "doc_id", n)
+    salt = key or "doc_id"
+    tagged = skew_join(base.drop("_norm"), counted, ["fp"], "n", salt, n)
+    suspects = skew_join(base.select("doc_id", *own, "fp", "_norm"), counted.where("n > 1"), ["fp"], "n", salt, n)
     groups = suspects.groupBy("fp", "_norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(
         "fp", F.sha2(F.encode("_norm", "UTF-8"), 256).alias("text_sha256"), "keep_id", "group_size")
-    many = skew_join(tagged.where("n > 1").drop("n"), groups, ["fp", "text_sha256"], "group_size", "doc_id", n)
-    out = many.select("doc_id", "keep_id", "group_size", "text_sha256").unionByName(
-        tagged.where("n = 1").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"))
-    return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("group_size") == 1).alias("kept"), "text_sha256")
+    many = skew_join(tagged.where("n > 1").drop("n"), groups, ["fp", "text_sha256"], "group_size", salt, n)
+    cols = ["doc_id", *own, "keep_id", "group_size", "text_sha256"]
+    out = many.select(cols).unionByName(tagged.where("n = 1").select(
+        "doc_id", *own, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"))
+    # Thin rows without text: written once, so that the row chosen in a group is the same for all readers.
+    row = key or "_row"
+    out = with_key(out, row) if not key else materialise(out, "groups")
+    best = out.where((F.col("group_size") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256").agg(F.max(row).alias(row))
+    out = out.join(best.select(row, F.lit(True).alias("_best")), row, "left")
+    return out.select("doc_id", *own, "keep_id", "group_size", F.coalesce("_best", F.col("group_size") == 1).alias("kept"), "text_sha256")
 
 
 def op2_exact_dedup(spark, sf_dir):

@@ -85,8 +85,8 @@ def learn_arcs(train: DataFrame) -> dict[str, float]:
 
 
 def _feature_frame(docs: DataFrame, arcs: dict[str, float], extra: list[str]) -> DataFrame:
-    fields = {"doc_id": "bigint", "toxic": "int"}
-    schema = ", ".join([f"{c} {fields[c]}" for c in extra] + ["x array<double>"])
+    fields = {"toxic": "int"}
+    schema = ", ".join([f"`{c}` {fields.get(c, 'bigint')}" for c in extra] + ["x array<double>"])
 
     def run(batches):
         for b in batches:
@@ -109,8 +109,8 @@ def fit_weights(rows: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int =
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, held_out, score (0 to 1), predicted.
+def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, key: str | None = None) -> DataFrame:
+    """Per row: doc_id, held_out, score (0 to 1), predicted, and `key` if a column of that name is given.
 
     Null text counts as empty and gets the base score; a null id is not held out; repeated
     rows score alike; without usable labels the score is 0; several labels of one document
@@ -137,7 +137,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
         z = np.c_[np.log1p(m), np.ones(len(m))] @ w
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    out = _feature_frame(docs, arcs, ["doc_id"]).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), logistic("x").alias("score"))
+    own = [key] if key else []
+    out = _feature_frame(docs, arcs, ["doc_id", *own]).select("doc_id", *own, F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), logistic("x").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
