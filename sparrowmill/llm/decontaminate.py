@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from .common import materialise, with_key
+
 WINDOW = 13
 WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SHARD_WORDS = 400_000
 BLOCK_BYTES = 8 << 20
-MATCHES = "doc_id bigint, n_words bigint, starts array<int>, lengths array<int>, items array<string>"
+MATCHES = "n_words bigint, starts array<int>, lengths array<int>, items array<string>"
 
 
 def words(text) -> list[str]:
@@ -47,7 +49,7 @@ def _suffix_keys(ids: np.ndarray, stops: np.ndarray, window: int) -> np.ndarray:
     return out.view(f"S{4 * window}").ravel()
 
 
-def _search(docs: list[tuple[int, list[str]]], windows, window: int):
+def _search(docs: list[tuple[list, list[str]]], windows, window: int):
     """Matches of all windows in one shard: per document (start, length, item)."""
     vocab: dict[str, int] = {}
     for _, ws in windows:
@@ -77,9 +79,11 @@ def _search(docs: list[tuple[int, list[str]]], windows, window: int):
     return found
 
 
-def find_matches(docs: DataFrame, items: list[tuple[str, list[str]]], window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Every occurrence of the benchmark windows of one block, a row per document."""
+def find_matches(docs: DataFrame, items: list[tuple[str, list[str]]], window: int = WINDOW, shard_words: int = SHARD_WORDS, key: str | None = None) -> DataFrame:
+    """Every occurrence of the benchmark windows of one block, a row per row of `docs`, with
+    its `key` if that is given."""
     windows = list(_windows(items, window))
+    ids = ["doc_id", key] if key else ["doc_id"]
 
     def run(batches):
         shard, size = [], 0
@@ -89,13 +93,13 @@ def find_matches(docs: DataFrame, items: list[tuple[str, list[str]]], window: in
             rows = []
             for d, (doc, ws) in enumerate(shard):
                 m = found.get(d, [])
-                rows.append((doc, len(ws), [x[0] for x in m], [x[1] for x in m], sorted({x[2] for x in m})))
-            return pd.DataFrame(rows, columns=["doc_id", "n_words", "starts", "lengths", "items"]).astype({"doc_id": "Int64"})
+                rows.append((*doc, len(ws), [x[0] for x in m], [x[1] for x in m], sorted({x[2] for x in m})))
+            return pd.DataFrame(rows, columns=[*ids, "n_words", "starts", "lengths", "items"]).astype(dict.fromkeys(ids, "Int64"))
 
         for b in batches:
-            for doc, text in zip(b["doc_id"], b["text"]):
+            for *doc, text in zip(*(b[c] for c in ids), b["text"]):
                 ws = words(text)
-                shard.append((None if pd.isna(doc) else int(doc), ws))
+                shard.append(([None if pd.isna(x) else int(x) for x in doc], ws))
                 size += len(ws)
                 if size >= shard_words or len(shard) >= 5000:
                     yield flush()
@@ -103,7 +107,7 @@ def find_matches(docs: DataFrame, items: list[tuple[str, list[str]]], window: in
         if shard:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInPandas(run, MATCHES)
+    return docs.select(*ids, "text").mapInPandas(run, ", ".join([f"`{c}` bigint" for c in ids] + [MATCHES]))
 
 
 def _hits(starts, lengths) -> int:
@@ -133,19 +137,27 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     Null or empty text has no words and is clean; null items are skipped; repeated items
-    count once by id; repeated documents are judged row by row when the benchmark is one block; an empty benchmark marks
-    nothing. Extra columns are ignored."""
+    count once by id; each row is judged by its own text, whatever its id and the number of
+    benchmark blocks; an empty benchmark marks nothing. Extra columns are ignored."""
     docs = docs.select("doc_id", "text")
-    parts = [find_matches(docs, b, window) for b in benchmark_blocks(benchmark)] or [find_matches(docs, [], window)]
+    blocks = benchmark_blocks(benchmark)
+    first, after = next(blocks, []), next(blocks, None)
     hits = F.pandas_udf(lambda s, n: pd.Series([_hits(a, b) for a, b in zip(s, n)], dtype="int64"), "long")
-    out = parts[0]
-    if len(parts) > 1:  # a row per block and document; with several blocks, repeated ids become one row
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out = out.groupBy("doc_id").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    if after is None:
+        out = find_matches(docs, first, window)
+    else:  # rows are numbered once; a block's matches are a table before the next block is read
+        docs = with_key(docs, "_row")
+        out = materialise(find_matches(docs, first, window, key="_row"), "matches")
+        found = out.drop("doc_id", "n_words")
+        out = out.select("_row", "doc_id", "n_words")
+        while after is not None:
+            found = found.unionByName(materialise(find_matches(docs, after, window, key="_row").drop("doc_id", "n_words").where(F.size("starts") > 0), "matches"))
+            after = next(blocks, None)
+        found = found.where(F.size("starts") > 0).groupBy("_row").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        out = out.join(found, "_row", "left").select("doc_id", "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("starts", "array<int>"), ("lengths", "array<int>"), ("items", "array<string>"))])
     out = out.withColumn("n_hit", hits("starts", "lengths"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),

@@ -103,6 +103,17 @@ def test_blocks_of_the_benchmark_agree(spark, docs, monkeypatch):
     assert {(r.doc_id, r.n_hit, r.items_sha256) for r in decontaminate.decontaminate(docs, bench).collect()} == one
 
 
+def test_blocks_judge_rows_one_by_one(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, " ".join(BASE.split()[i:i + 15])) for i in range(8)], "item_id bigint, text string")
+    rows = [(1, BASE), (1, BASE), (1, "clean words"), (None, BASE), (None, "other clean words here"), (2, " ".join(BASE.split()[:14])), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one = sorted(map(str, decontaminate.decontaminate(docs, bench).collect()))
+    whole = decontaminate.benchmark_blocks
+    assert len(list(whole(bench, 100))) > 2
+    monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda b: whole(b, 100))
+    assert len(one) == len(rows) and sorted(map(str, decontaminate.decontaminate(docs, bench).collect())) == one
+
+
 def test_bpe(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
