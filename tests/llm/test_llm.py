@@ -182,6 +182,17 @@ def test_licences(spark, empty):
     assert license_scan.scan_licences(files.limit(0)).count() == 0
 
 
+def test_licence_texts_headers_and_tags(spark):
+    whole = dict(license_scan.TEXTS)
+    wrapped = "# Licensed under the Apache License,\n# Version 2.0 (the \"License\"); you may not use this\n# file except in compliance with the License.\n\nimport os\n"
+    files = [(1, "/m/LICENSE", whole["MIT"].replace("<year> <copyright holders>", "2020 A B")), (2, "/m/x.py", "print(1)"), (3, "/t.py", "# SPDX-License-Identifier: MIT\nx = 1"),
+             (4, "/u.py", "// SPDX-License-Identifier: ISC"), (5, "/w.py", wrapped), (6, "/g/COPYING", whole["GPL-3.0"]), (7, "/v.txt", "a long line of prose here. Released under the MIT License. and more of the prose"),
+             (8, "/s/LICENSE", whole["MIT"].split("\n\n", 2)[2]), (8, "/s/LICENSE", whole["MIT"].split("\n\n", 2)[2]), (9, "/n/LICENSE", "my own words on other things entirely"), (10, "/o.txt", "MIT License"), (11, "/p/LICENSE", None)]
+    got = {r.file_id: (r.own, r.licence) for r in license_scan.scan_licences(spark.createDataFrame(files, "file_id bigint, path string, text string")).collect()}
+    mit = ("MIT", "MIT")
+    assert got == {1: mit, 2: (None, "MIT"), 3: mit, 4: (None, None), 5: ("Apache-2.0",) * 2, 6: ("GPL-3.0",) * 2, 7: mit, 8: mit, 9: (None, None), 10: mit, 11: (None, None)}
+
+
 def test_language_model(docs, empty):
     rows = hmm_lm.score_lm(docs).collect()
     assert len(rows) == len(TEXTS) and all(r.score <= 0 for r in rows)
