@@ -1,11 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
-
-Every distinct word sequence gets a signature of `TREES` x `DEPTH` minima. A tree orders
-the texts by its part of the signature, a trie of prefixes; matched prefixes are shortened
-from the full depth until a pair at the threshold is met with the target recall, which
-fixes the depth of the prefixes used as keys. Texts that meet anywhere form a cluster, and
-a cluster is verified in pairs of blocks of bounded size with exact set overlaps, so each
-shingle set travels once per partner block and no pair becomes a row.
+"""N-gram Jaccard join by MinHash banding and exact verification.
+
+Every distinct word sequence gets a signature of `TREES` x `DEPTH` minima. Of each part of
+`DEPTH` minima the first few are hashed to one key, and texts with an equal key meet: plain
+banding at a fixed depth, the longest at which a pair at the threshold meets with the target
+recall. There is no LSH forest: no sorted prefixes are compared. Texts that meet anywhere
+form a cluster, and a cluster is verified in pairs of blocks of bounded size with exact set
+overlaps, so each shingle set travels once per partner block and no pair becomes a row.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ BLOCK = 256
 
 
 def stop_depth(threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL) -> int:
-    """Longest prefix at which a pair at the threshold shares a trie node with the recall."""
+    """Longest prefix at which a pair at the threshold shares a key with the recall."""
     d = depth
     while d > 1 and 1 - (1 - threshold**d) ** trees < recall:
         d -= 1
@@ -46,7 +46,7 @@ def _family(k: int):
 
 
 def tree_keys(h: np.ndarray, trees=TREES, depth=DEPTH, stop=None) -> np.ndarray:
-    """One 64-bit key per tree: its signature part shortened to the stop depth."""
+    """One 64-bit key per tree (band): its signature part cut at the stop depth."""
     a, b = _family(trees * depth)
     low = np.full(trees * depth, np.iinfo("uint64").max, "uint64")
     for i in range(0, len(h), 2048):
