@@ -19,22 +19,28 @@ def lower_az(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
+def utf8(col: str = "text") -> Column:
+    """A text as bytes for Arrow; null counts as empty."""
+    return F.coalesce(F.col(col), F.lit("")).cast("binary").alias(col)
+
+
 def salts(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, id_col: str, n: int) -> DataFrame:
-    """Inner join of `left` to `right`, which holds one row per key and in `weight`
-    the number of left rows of that key. Keys heavier than n/(4*salts) are dealt over
-    all salts on the left and repeated on the right; there are at most 4*salts of
-    them, so the list of heavy keys that is broadcast has a proven bound."""
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, salt: str, n: int, how: str = "inner") -> DataFrame:
+    """Join of `left` to `right`, which holds one row per key and in `weight` the number of
+    left rows of that key. Keys heavier than n/(4*salts) are dealt over all salts on the
+    left and repeated on the right; there are at most 4*salts of them, so the list of heavy
+    keys that is broadcast has a proven bound. `right` is read twice and should be a written
+    table; `salt` must tell rows of a key apart. `how` may be inner or left."""
     s = salts(left.sparkSession)
     limit = max(1000, n // (4 * s))
     heavy = right.where(F.col(weight) > limit).select(*keys, F.lit(True).alias("_heavy"))
     left = left.join(F.broadcast(heavy), keys, "left").withColumn(
-        "_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(id_col), F.lit(s))).otherwise(F.lit(0)).cast("int")
+        "_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(salt), F.lit(s))).otherwise(F.lit(0)).cast("int")
     ).drop("_heavy")
     right = right.withColumn(
         "_salt", F.explode(F.when(F.col(weight) > limit, F.sequence(F.lit(0), F.lit(s - 1))).otherwise(F.array(F.lit(0))))
     )
-    return left.join(right, [*keys, "_salt"]).drop("_salt")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -8,12 +8,17 @@ counts. Only fingerprints whose merged count is above one are compared byte by b
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, materialise, skew_join, with_key
+from .common import materialise, skew_join, utf8
+from .scan import columns, runs
 
 FILTER = "quotient int, remainders array<bigint>, counts array<bigint>"
 
@@ -60,6 +65,19 @@ def merge_filters(filters: DataFrame, quotient_bits: int) -> DataFrame:
     return filters.groupBy("quotient").applyInPandas(merge, "fp bigint, n bigint")
 
 
+def _digests(names: list[str], with_text: bool):
+    """Fingerprint and SHA-256 of each lower-cased text, with the text itself when asked."""
+    def run(batches):
+        for b in batches:
+            for lo, hi in runs(b.column("text"), 32 << 20):
+                part = b.slice(lo, hi - lo)
+                texts = [t.lower() for t in part.column("text").to_pylist()]  # of bytes: A-Z only
+                fp = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], "uint64") >> np.uint64(1)
+                out = {"fp": fp.view("int64"), "text_sha256": [hashlib.sha256(t).hexdigest() for t in texts]}
+                yield columns(part, names, out | ({"norm": pa.array(texts, pa.binary())} if with_text else {}))
+    return run
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256, and `key` if a column of that
     name is given, which must tell rows apart.
@@ -67,32 +85,29 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Nulls count as empty text; empty texts form one group. Exactly one row of a group is
     kept: one with its largest id, or any one if all its ids are null; among rows with that id
     the largest key decides. An empty table gives no rows; extra columns are ignored."""
-    norm = lower_az(F.col(text_col))
-    own = [key] if key else []
-    base = docs.select(F.col(id_col).alias("doc_id"), *own, norm.alias("_norm")).select(
-        "doc_id", *own, "_norm", F.shiftrightunsigned(F.xxhash64("_norm"), 1).alias("fp"), F.sha2(F.encode("_norm", "UTF-8"), 256).alias("text_sha256"))
-    n = docs.count()
-    bits = max(4, int(np.ceil(np.log2(max(1, n) / 20_000 + 1))) + 1)
-    counted = merge_filters(build_filters(base.select("fp"), bits), bits)
-    counted = counted.persist()
-    salt = key or "doc_id"
-    tagged = skew_join(base.drop("_norm"), counted, ["fp"], "n", salt, n)
-    suspects = skew_join(base.select("doc_id", *own, "fp", "_norm"), counted.where("n > 1"), ["fp"], "n", salt, n)
-    groups = suspects.groupBy("fp", "_norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(
-        "fp", F.sha2(F.encode("_norm", "UTF-8"), 256).alias("text_sha256"), "keep_id", "group_size")
-    many = skew_join(tagged.where("n > 1").drop("n"), groups, ["fp", "text_sha256"], "group_size", salt, n)
-    cols = ["doc_id", *own, "keep_id", "group_size", "text_sha256"]
-    out = many.select(cols).unionByName(tagged.where("n = 1").select(
-        "doc_id", *own, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"))
-    # Thin rows without text: written once, so that the row chosen in a group is the same for all readers.
     row = key or "_row"
-    out = with_key(out, row) if not key else materialise(out, "groups")
-    best = out.where((F.col("group_size") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("text_sha256").agg(F.max(row).alias(row))
-    out = out.join(best.select(row, F.lit(True).alias("_best")), row, "left")
-    return out.select("doc_id", *own, "keep_id", "group_size", F.coalesce("_best", F.col("group_size") == 1).alias("kept"), "text_sha256")
+    src = docs.select(F.col(id_col).alias("doc_id"), *([key] if key else []), utf8(text_col).alias("text"))
+    src = src if key else src.withColumn(row, F.monotonically_increasing_id())
+    kinds = "fp bigint, text_sha256 string"
+    # Thin rows are written once: the number of a row is the same for all that read them.
+    thin = materialise(src.mapInArrow(_digests(["doc_id", row], False), f"doc_id bigint, `{row}` bigint, {kinds}"), "thin")
+    n = thin.count()
+    bits = max(4, int(np.ceil(np.log2(max(1, n) / 20_000 + 1))) + 1)
+    counted = merge_filters(build_filters(thin.select("fp"), bits), bits)
+    suspects = materialise(counted.where("n > 1"), "suspects")
+    # Byte verification: only texts whose fingerprint was met again are grouped by their bytes.
+    texts = src.select(F.xxhash64(row).alias("_deal"), "text").mapInArrow(_digests(["_deal"], True), f"_deal bigint, {kinds}, norm binary")
+    same = skew_join(texts, suspects, ["fp"], "n", "_deal", n).groupBy("fp", "text_sha256", "norm").agg(F.count(F.lit(1)).alias("group_size"))
+    groups = materialise(same.where("group_size > 1").select("text_sha256", "group_size"), "groups")
+    best = skew_join(thin, groups, ["text_sha256"], "group_size", row, n).groupBy("text_sha256", "group_size").agg(F.max(F.struct("doc_id", row)).alias("_best"))
+    out = skew_join(thin, materialise(best, "best"), ["text_sha256"], "group_size", row, n, "left")
+    alone = F.col("group_size").isNull()
+    return out.select("doc_id", *([key] if key else []), F.when(alone, F.col("doc_id")).otherwise(F.col("_best.doc_id")).alias("keep_id"),
+                      F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col(row) == F.col(f"_best.{row}"))).alias("kept"), "text_sha256")
 
 
 def op2_exact_dedup(spark, sf_dir):
+    """Every document with its group of equal texts; edge cases as in `exact_dedup`."""
     from .common import table
 
     return exact_dedup(table(spark, sf_dir, "documents"))
