@@ -1,117 +1,160 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Documents are cut into shards of bounded size. A shard sorts the suffixes of its word
-sequence (to the window length, suffixes end with their document) and every benchmark
-suffix is looked up by binary search, which gives all places of its longest verbatim
-match up to the window. Documents are whole rows of a shard, so no match crosses a cut.
+Documents are cut into shards of bounded bytes. A shard sorts the suffixes of its word
+sequence and looks every benchmark suffix up by binary search, which gives all places where
+its next 13 words occur; places that follow one another on a diagonal are one longest
+verbatim match. Suffixes whose first words start no benchmark window are left out of the
+array: they can match none. Documents are whole rows of a shard, so no match crosses a cut.
+Words are compared as ids of 64-bit hashes, and a hash that meets the benchmark's is checked
+byte by byte.
 """
 
 from __future__ import annotations
 
-import string
-
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import materialise, with_key
+from .common import materialise, utf8, with_key
+from .scan import Words, columns, grams, runs, scan
 
 WINDOW = 13
-WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
-SHARD_WORDS = 400_000
+#: Words of a window that are tried before its suffix enters an array.
+PROBE = 4
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 8 << 20
-MATCHES = "n_words bigint, starts array<int>, lengths array<int>, items array<string>"
-
-
-def words(text) -> list[str]:
-    return WORD.findall(text.translate(LOWER)) if text else []
-
-
-def _windows(items: list[tuple[str, list[str]]], window: int):
-    """Benchmark suffixes as (item, words of the window)."""
-    for item, ws in items:
-        k = min(window, len(ws))
-        for i in range(len(ws) - k + 1 if k else 0):
-            yield item, ws[i:i + k]
-
-
-def _suffix_keys(ids: np.ndarray, stops: np.ndarray, window: int) -> np.ndarray:
-    """For each position the next `window` word ids as big-endian bytes, zero after the document's end."""
-    pad = np.r_[ids, np.zeros(window, "int64")]
-    out = np.empty((len(ids), window), ">u4")
-    at = np.arange(len(ids))
-    for j in range(window):
-        out[:, j] = np.where(at + j < stops, pad[j:j + len(ids)], 0)
-    return out.view(f"S{4 * window}").ravel()
-
-
-def _search(docs: list[tuple[list, list[str]]], windows, window: int):
-    """Matches of all windows in one shard: per document (start, length, item)."""
-    vocab: dict[str, int] = {}
-    for _, ws in windows:
-        for w in ws:
-            vocab.setdefault(w, len(vocab) + 1)
-    sizes = np.array([len(ws) for _, ws in docs], "int64")
-    begin = np.r_[0, np.cumsum(sizes)]
-    ids = np.fromiter((vocab.get(w, 0) for _, ws in docs for w in ws), "int64", int(begin[-1]))
-    stops = np.repeat(begin[1:], sizes)
-    # A suffix whose first word is in no benchmark item matches nothing: leave it out of the array.
-    starts = np.flatnonzero(ids)
-    keys = _suffix_keys(ids, stops, window)[starts]
-    order = np.argsort(keys, kind="stable")
-    keys, starts = keys[order], starts[order]
-    q = np.zeros((len(windows), window), ">u4")
-    top = np.full((len(windows), window), 0xFFFFFFFF, ">u4")
-    for i, (_, ws) in enumerate(windows):
-        q[i, :len(ws)] = top[i, :len(ws)] = [vocab[w] for w in ws]
-    lo = np.searchsorted(keys, q.view(f"S{4 * window}").ravel(), "left")
-    hi = np.searchsorted(keys, top.view(f"S{4 * window}").ravel(), "right")
-    found: dict[int, list] = {}
-    for i in np.flatnonzero(hi > lo):
-        item, ws = windows[i]
-        for s in starts[lo[i]:hi[i]]:
-            d = int(np.searchsorted(begin, s, "right")) - 1
-            found.setdefault(d, []).append((int(s - begin[d]), len(ws), item))
-    return found
-
-
-def find_matches(docs: DataFrame, items: list[tuple[str, list[str]]], window: int = WINDOW, shard_words: int = SHARD_WORDS, key: str | None = None) -> DataFrame:
-    """Every occurrence of the benchmark windows of one block, a row per row of `docs`, with
-    its `key` if that is given."""
-    windows = list(_windows(items, window))
+FOUND = "n_words bigint, n_hit bigint, starts array<int>, lengths array<int>, items array<string>, longest struct<words:int,start:int,item:string>"
+
+
+def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Place of each value in the sorted `known`, -1 if it is not there."""
+    if not len(known):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, at, -1)
+
+
+class Probe:
+    """Set of hashes; a table of their low bits settles most misses."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.known = np.unique(hashes)
+        self.mask = np.uint64((1 << max(10, int(8 * len(self.known)).bit_length())) - 1)
+        self.low = np.zeros(int(self.mask) + 1, bool)
+        self.low[self.known & self.mask] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(self.low[values & self.mask])
+        return at[_within(values[at], self.known) >= 0]
+
+
+class Block:
+    """Benchmark suffixes of one block, for binary search."""
+
+    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+        self.window, self.items = window, sorted({i for i, _ in items})
+        w = scan([t for _, t in items])
+        self.vocab, at = np.unique(w.hash, return_index=True)
+        self.words = [w.word(i) for i in at]
+        size = np.diff(w.first)
+        k = np.minimum(size, window)
+        n = np.where(k > 0, size - k + 1, 0)
+        self.text, self.k = np.repeat(np.arange(len(items)), n), np.repeat(k, n)
+        self.item = np.searchsorted(self.items, [i for i, _ in items])[self.text] if items else self.text
+        self.pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        begin = np.repeat(w.first[:-1], n) + self.pos
+        ids = np.r_[np.searchsorted(self.vocab, w.hash) + 1, np.zeros(window, "int64")]
+        part = np.arange(window)[None, :] < self.k[:, None]
+        q = ids[begin[:, None] + np.arange(window)]
+        self.low, self.high = self._keys(np.where(part, q, 0)), self._keys(np.where(part, q, 0xFFFFFFFF))
+        self.probes = {}
+        for size in range(1, min(PROBE, window) + 1):
+            g = grams(w.hash, size)
+            use = begin[(self.k == size) | (self.k > size) & (size == min(PROBE, window))]
+            if len(use):
+                self.probes[size] = Probe(g[use])
+
+    def _keys(self, ids: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(ids.astype(">u4")).view(f"S{4 * self.window}").ravel()
+
+    def word_ids(self, w: Words, at: np.ndarray) -> np.ndarray:
+        """Benchmark word numbers (from 1) of the words at `at`; 0 where the bytes differ."""
+        ids = _within(w.hash[at], self.vocab) + 1
+        for i in np.flatnonzero(ids):
+            if w.word(at[i]) != self.words[ids[i] - 1]:
+                ids[i] = 0
+        return ids
+
+    def search(self, w: Words):
+        """All places of all windows: word number in the shard, window number."""
+        starts = np.unique(np.concatenate([p.places(grams(w.hash, n)) for n, p in self.probes.items()])) if self.probes else np.empty(0, "int64")
+        if not len(starts):
+            return starts, starts
+        stop = w.first[np.searchsorted(w.first, starts, "right")]
+        reach = starts[:, None] + np.arange(self.window)
+        near, back = np.unique(np.minimum(reach, len(w.hash) - 1), return_inverse=True)
+        ids = self.word_ids(w, near)[back.reshape(reach.shape)]
+        keys = self._keys(np.where(reach < stop[:, None], ids, 0))
+        order = np.argsort(keys, kind="stable")
+        keys, starts = keys[order], starts[order]
+        lo, hi = np.searchsorted(keys, self.low, "left"), np.searchsorted(keys, self.high, "right")
+        n = np.maximum(hi - lo, 0)
+        spot = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return starts[spot], np.repeat(np.arange(len(n)), n)
+
+    def judge(self, w: Words) -> dict:
+        """Per text: words, words hit, hit runs, items with an occurring window, longest verbatim match."""
+        docs = len(w.first) - 1
+        at, win = self.search(w)
+        out = {"n_words": np.diff(w.first), "n_hit": np.zeros(docs, "int64"), "starts": [[]] * docs, "lengths": [[]] * docs, "items": [[]] * docs, "longest": [None] * docs}
+        if not len(at):
+            return out
+        step = np.bincount(at, minlength=len(w.hash) + 1) - np.bincount(at + self.k[win], minlength=len(w.hash) + 1)
+        hit = np.cumsum(step)[:-1] > 0
+        out["n_hit"] = np.diff(np.r_[0, np.cumsum(hit)][w.first])
+        order = np.lexsort((at, at - self.pos[win], self.text[win]))
+        at, win = at[order], win[order]
+        doc, item, diagonal, k = np.searchsorted(w.first, at, "right") - 1, self.item[win], at - self.pos[win], self.k[win]
+        cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(diagonal) != 0) | (np.diff(self.text[win]) != 0) | (np.diff(doc) != 0)])
+        size = np.diff(np.r_[cut, len(at)]) - 1 + k[cut]
+        for i in np.argsort(size, kind="stable"):  # the longest of a text comes last and stays
+            d = doc[cut[i]]
+            out["longest"][d] = {"words": int(size[i]), "start": int(at[cut[i]] - w.first[d]), "item": self.items[item[cut[i]]]}
+        for d in np.unique(doc):
+            h = np.diff(np.r_[0, hit[w.first[d]:w.first[d + 1]].view("int8"), 0])
+            out["starts"][d] = np.flatnonzero(h == 1)
+            out["lengths"][d] = np.flatnonzero(h == -1) - out["starts"][d]
+        pairs = np.unique(doc * len(self.items) + item)
+        for d in np.unique(pairs // len(self.items)):
+            out["items"][d] = []
+        for x in pairs:
+            out["items"][x // len(self.items)].append(self.items[x % len(self.items)])
+        return out
+
+
+def find_matches(docs: DataFrame, items: list[tuple[str, bytes]], window: int = WINDOW, key: str | None = None) -> DataFrame:
+    """Matches of the benchmark windows of one block, a row per row of `docs`, with its `key`
+    if that is given."""
     ids = ["doc_id", key] if key else ["doc_id"]
+    block = Block(items, window)
+    kinds = {"n_words": pa.int64(), "n_hit": pa.int64(), "starts": pa.list_(pa.int32()), "lengths": pa.list_(pa.int32()), "items": pa.list_(pa.string()),
+             "longest": pa.struct([("words", pa.int32()), ("start", pa.int32()), ("item", pa.string())])}
 
     def run(batches):
-        shard, size = [], 0
-
-        def flush():
-            found = _search(shard, windows, window) if windows else {}
-            rows = []
-            for d, (doc, ws) in enumerate(shard):
-                m = found.get(d, [])
-                rows.append((*doc, len(ws), [x[0] for x in m], [x[1] for x in m], sorted({x[2] for x in m})))
-            return pd.DataFrame(rows, columns=[*ids, "n_words", "starts", "lengths", "items"]).astype(dict.fromkeys(ids, "Int64"))
-
         for b in batches:
-            for *doc, text in zip(*(b[c] for c in ids), b["text"]):
-                ws = words(text)
-                shard.append(([None if pd.isna(x) else int(x) for x in doc], ws))
-                size += len(ws)
-                if size >= shard_words or len(shard) >= 5000:
-                    yield flush()
-                    shard, size = [], 0
-        if shard:
-            yield flush()
+            for lo, hi in runs(b.column("text"), SHARD_BYTES):
+                part = b.slice(lo, hi - lo)
+                found = block.judge(scan(part.column("text").to_pylist()))
+                yield columns(part, ids, {c: pa.array(found[c], t) for c, t in kinds.items()})
 
-    return docs.select(*ids, "text").mapInPandas(run, ", ".join([f"`{c}` bigint" for c in ids] + [MATCHES]))
+    return docs.select(*ids, utf8()).mapInArrow(run, ", ".join([f"`{c}` bigint" for c in ids] + [FOUND]))
 
 
-def _hits(starts, lengths) -> int:
-    """Words inside any match."""
+def _union(starts, lengths) -> int:
+    """Words inside any run."""
     total, reach = 0, 0
     for s, n in sorted(zip(starts, lengths)):
         total += max(0, s + n - max(reach, s))
@@ -133,11 +176,13 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
     for k in range(int(last) + 1):
         rows = placed.where(F.col("_k") == k).select("item_id", "text").collect()
         if rows:
-            yield [(r.item_id, words(r.text)) for r in rows]
+            yield [(r.item_id, r.text.encode()) for r in rows]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the longest
+    verbatim match of the window length or more (a whole item if that is shorter): its words,
+    first word and item.
 
     Null or empty text has no words and is clean; null items are skipped; repeated items
     count once by id; each row is judged by its own text, whatever its id and the number of
@@ -145,29 +190,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     docs = docs.select("doc_id", "text")
     blocks = benchmark_blocks(benchmark)
     first, after = next(blocks, []), next(blocks, None)
-    hits = F.pandas_udf(lambda s, n: pd.Series([_hits(a, b) for a, b in zip(s, n)], dtype="int64"), "long")
     if after is None:
         out = find_matches(docs, first, window)
     else:  # rows are numbered once; a block's matches are a table before the next block is read
         docs = with_key(docs, "_row")
+        parts = ["n_hit", "starts", "lengths", "items", "longest"]
         out = materialise(find_matches(docs, first, window, key="_row"), "matches")
-        found = out.drop("doc_id", "n_words")
-        out = out.select("_row", "doc_id", "n_words")
+        found = out.where("n_hit > 0").select("_row", *parts)
         while after is not None:
-            found = found.unionByName(materialise(find_matches(docs, after, window, key="_row").drop("doc_id", "n_words").where(F.size("starts") > 0), "matches"))
+            found = found.unionByName(materialise(find_matches(docs, after, window, key="_row").where("n_hit > 0").select("_row", *parts), "matches"))
             after = next(blocks, None)
-        found = found.where(F.size("starts") > 0).groupBy("_row").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-        out = out.join(found, "_row", "left").select("doc_id", "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("starts", "array<int>"), ("lengths", "array<int>"), ("items", "array<string>"))])
-    out = out.withColumn("n_hit", hits("starts", "lengths"))
+        union = F.pandas_udf(lambda s, n: pd.Series([_union(a, b) for a, b in zip(s, n)], dtype="int64"), "long")
+        found = found.groupBy("_row").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "lengths", "items")], F.max("longest").alias("longest"))
+        found = found.select("_row", union("starts", "lengths").alias("n_hit"), F.array_distinct("items").alias("items"), "longest")
+        out = out.select("_row", "doc_id", "n_words").join(found, "_row", "left").withColumns({"n_hit": F.coalesce("n_hit", F.lit(0)), "items": F.coalesce("items", F.array().cast("array<string>"))})
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-                      ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+                      ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+                      F.coalesce("longest.words", F.lit(0)).alias("longest_words"), F.col("longest.start").alias("longest_start"), F.col("longest.item").alias("longest_item"))
 
 
 def op5_decontaminate(spark, sf_dir):
+    """Every document against the whole benchmark; edge cases as in `decontaminate`."""
     from .common import table
 
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    # The longest match is left to callers of the operator: SQL has no row for it.
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest_words", "longest_start", "longest_item")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

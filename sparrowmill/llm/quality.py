@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .decontaminate import words
+from .scan import words
 
 BUCKETS = 1 << 13
 #: Bound on labelled rows that are fitted, a hash sample beyond it.

@@ -104,3 +104,9 @@ def columns(batch: pa.RecordBatch, names, extra: dict[str, pa.Array | list]) ->
     """Columns of `batch` handed on as they are, so that no id goes through a float, and new ones."""
     cols = {c: batch.column(c) for c in names} | {k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in extra.items()}
     return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+
+def words(text: str | None) -> list[str]:
+    """Words of one text."""
+    w = scan([(text or "").encode()])
+    return [w.word(i).decode() for i in range(len(w.hash))]
