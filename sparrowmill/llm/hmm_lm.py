@@ -212,7 +212,7 @@ class Coder:
         codes = np.full(len(back) + n, END_CLASS, "int16")
         codes[np.arange(len(back)) + doc] = cls[back]
         ends = w.first[1:] + np.arange(1, n + 1)
-        per = lambda x, keep: np.bincount(doc[keep], x[back[keep]], n)
+        per = lambda x, keep: np.bincount(doc[keep], x[back[keep]], n).astype("float64")  # noqa: E731  (of nothing: integers)
         frequent, rare = np.flatnonzero(hot[back]), np.flatnonzero(~hot[back])
         pair, times = np.unique(doc[rare] * max(1, len(h)) + back[rare], return_counts=True)
         word_no, cut = pair % max(1, len(h)), np.searchsorted(pair, np.arange(n + 1) * max(1, len(h)))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2_000_000
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 2**64)
 
