@@ -1,70 +1,93 @@
 """Removal of byte strings of 100 or more that start earlier in the corpus.
 
-Every 100-byte window has a minimiser, the least hash of its 48-byte strings. A maximal run
+Every 100-byte window has a minimiser, the least hash of its 32-byte strings. A maximal run
 of windows with one minimiser is a piece: its windows can repeat only in pieces of the same
-minimiser, and an equal piece in an earlier document settles all of them at once. What is
-left, pieces that differ but share a minimiser, is compared by Burrows-Wheeler transforms:
-each partition builds one transform per bucket of minimisers, and a bucket merges the
-transforms of all partitions by refining their interleave once per compared byte. The
-blocks left after 100 rounds are the suffixes with a common prefix of 100 bytes, so no
-merged suffix is sorted again. Minimisers with very many or very long pieces exceed a
-bucket; their windows are grouped by 128-bit keys instead, which is exact in the same way.
-Repeats inside a document are found there. Exact copies are set aside first.
+minimiser. Minimisers of one text alone repeat nowhere else and are set aside first. Of the
+others, an equal piece (by a 128-bit cryptographic digest of its bytes) in an earlier document
+settles all its windows; pieces that differ but share a minimiser are compared by
+Burrows-Wheeler transforms: each partition builds one transform per bucket of minimisers, and
+a bucket merges the transforms of all partitions by refining their interleave once per
+compared byte. The blocks left after 100 rounds are the suffixes with a common prefix of 100
+bytes, so no merged suffix is sorted again. Pieces of one minimiser that together exceed
+`LIMIT` bytes have their windows grouped by digests instead, which is exact in the same way,
+so no task depends on how often a passage repeats. Repeats inside a document are found there
+and compared byte by byte.
+
+Texts are kept once, compressed, in a table bucketed by their key; what later steps learn is
+joined to it in place, so text is shuffled once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, skew_join
+from .common import materialise, salts, shared_dir, skew_join, utf8
+from .scan import columns, mix, powers, runs
 
-LENGTH, GRAM = 100, 48
-#: A minimiser of more pieces, or of one longer piece (bytes), takes the way by windows.
-MANY, LONG = 1000, 4096
-BUCKET_BYTES = 1 << 20
-_P = np.uint64(0x9E3779B97F4A7C15)
-_PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+LENGTH, GRAM = 100, 32
+#: Bytes of the different pieces of one minimiser that are compared in one task, and of a bucket of minimisers.
+LIMIT, BUCKET_BYTES = 4 << 20, 1 << 20
+#: Texts that a worker remembers while it drops copies.
+MEMO = 200_000
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    p = np.full(n, base, "uint64")
-    p[:1] = 1
-    return np.multiply.accumulate(p)
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 class Windows:
-    """Hashes of a document's 100-byte windows (`whole`) and its pieces: first window,
-    window count, minimiser and hash, all hashes as int64."""
+    """A document's 100-byte windows: `whole` (hash of each), `first`, `count` and `v` (first
+    window, number of windows and minimiser of each piece)."""
 
     def __init__(self, data: bytes):
+        self.data = data
         n = len(data) - LENGTH + 1
         if n <= 0:
-            self.whole = self.low = self.first = self.count = self.v = self.key = np.empty(0, "int64")
+            self.whole = self.first = self.count = self.v = np.empty(0, "int64")
             return
-        up, down = _powers(_P, len(data)), _powers(_PINV, len(data))
-        sums = np.r_[np.zeros(1, "uint64"), np.cumsum((np.frombuffer(data, "uint8").astype("uint64") + np.uint64(1)) * up)]
-        g = _mix((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
-        self.whole = _mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n]).view("int64")
-        low, k, span = g, 1, LENGTH - GRAM + 1
+        up, down = powers(len(data) + 1)
+        sums = np.empty(len(data) + 1, "uint64")
+        sums[0] = 0
+        np.cumsum((np.frombuffer(data, "uint8") + np.uint64(1)) * up[:-1], out=sums[1:])
+        low = mix((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
+        self.whole = (sums[LENGTH:] - sums[:-LENGTH]) * down[:n]
+        grams, k, span = low, 1, LENGTH - GRAM + 1
         while 2 * k <= span:
-            low, k = np.minimum(low[:-k], low[k:]), 2 * k
-        low = np.minimum(low[:n], low[span - k:span - k + n])
-        self.low = low.view("int64")
-        self.first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+            grams, k = np.minimum(grams[:-k], grams[k:]), 2 * k
+        least = np.minimum(grams[:n], grams[span - k:span - k + n])
+        self.first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         self.count = np.diff(np.r_[self.first, n])
-        self.v = self.low[self.first]
-        size = self.count + LENGTH - 1
-        self.key = _mix((sums[self.first + size] - sums[self.first]) * down[self.first] + size.astype("uint64") * _P).view("int64")
+        self.v = least[self.first].view("int64")
+
+    def piece(self, i: int) -> bytes:
+        return self.data[self.first[i]:self.first[i] + self.count[i] + LENGTH - 1]
+
+    def later_inside(self) -> np.ndarray:
+        """Windows that start earlier in the document too: found by hash, then compared byte by byte."""
+        later = np.zeros(len(self.whole), bool)
+        if not len(self.whole):
+            return later
+        _, first, back = np.unique(self.whole, return_index=True, return_inverse=True)
+        at = np.flatnonzero(first[back] != np.arange(len(back)))
+        if len(at):
+            data, from_ = np.frombuffer(self.data, "uint8"), first[back[at]]
+            cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(from_) != 1), True])
+            for a, b in zip(cut[:-1], cut[1:]):  # a run of windows with a run of sources
+                same = data[at[a]:at[b - 1] + LENGTH] == data[from_[a]:from_[b - 1] + LENGTH]
+                if same.all():
+                    later[at[a]:at[b - 1] + 1] = True
+                else:
+                    bad = np.r_[0, np.cumsum(~same)]
+                    later[at[a:b]] = bad[LENGTH:] == bad[:-LENGTH]
+        return later
 
 
 def shard_transform(strings: list[bytes]) -> np.ndarray:
@@ -130,7 +153,7 @@ def places(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Windows of a bucket that also start in an earlier document: row, key, offsets."""
+    """Windows of a bucket that also start in an earlier document: text, piece, offsets."""
     shards = [np.frombuffer(b, "uint8") for b in pdf["bwt"]]
     at, block = merge_transforms(shards)
     string, dist, base = [], [], 0
@@ -139,7 +162,7 @@ def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
         string.append(a + base)
         dist.append(d)
         base += int((s == 0).sum())
-    row, key, ord_ = (np.concatenate(pdf[c].tolist()) for c in ("rows", "keys", "ords"))
+    tk, pk, ord_ = np.concatenate(pdf["tks"].tolist()), [x for xs in pdf["pks"] for x in xs], np.concatenate(pdf["ords"].tolist())
     string, dist = np.concatenate(string), np.concatenate(dist)
     size = np.zeros(base, "int64")
     np.maximum.at(size, string, dist)
@@ -150,154 +173,239 @@ def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     bad = bad[np.argsort(s[bad], kind="stable")]
     s, at = s[bad], offs[bad]
     cuts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, int)
-    return pd.DataFrame({"row": row[s[cuts]], "key": key[s[cuts]], "offs": pd.Series([x.astype("int32") for x in np.split(at, cuts[1:])] if len(s) else [], dtype=object)})
+    return pd.DataFrame({"tk": tk[s[cuts]], "pk": [pk[i] for i in s[cuts]], "offs": pd.Series([x.astype("int32") for x in np.split(at, cuts[1:])] if len(s) else [], dtype=object)})
 
 
 def covered(starts: np.ndarray, size: int) -> np.ndarray:
-    d = np.zeros(size + 1, "int32")
-    np.add.at(d, starts, 1)
-    np.add.at(d, np.minimum(starts + LENGTH, size), -1)
+    d = np.bincount(starts, minlength=size + 1) - np.bincount(np.minimum(starts + LENGTH, size), minlength=size + 1)
     return np.cumsum(d[:-1]) > 0
 
 
-def _later_inside(whole: np.ndarray) -> np.ndarray:
-    first = np.unique(whole, return_index=True)[1]
-    later = np.ones(len(whole), bool)
-    later[first] = False
-    return later
+def _documents(batches):
+    """Text key, whole digest and length of every row."""
+    for b in batches:
+        for lo, hi in runs(b.column("text"), 32 << 20):
+            part = b.slice(lo, hi - lo)
+            sha = [hashlib.sha256(t).digest() for t in part.column("text").to_pylist()]
+            yield columns(part, ["row", "doc_id"], {"tk": pa.array([int.from_bytes(h[:8], "little", signed=True) for h in sha]), "sha": pa.array(sha, pa.binary()), "n_bytes": pa.array([len(t) for t in part.column("text").to_pylist()], pa.int64())})
+
+
+def _packed(batches):
+    """Texts long enough to repeat, compressed, without the copies that one task meets."""
+    seen, pack = set(), zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        for lo, hi in runs(b.column("text"), 8 << 20):
+            keys, out = [], []
+            for t in b.column("text").slice(lo, hi - lo).to_pylist():
+                h = hashlib.sha256(t).digest()
+                if len(t) >= LENGTH and h not in seen:
+                    seen.add(h)
+                    keys.append(int.from_bytes(h[:8], "little", signed=True))
+                    out.append(pack.compress(t))
+            if len(seen) > MEMO:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], names=["tk", "z"])
+
+
+def _one_of_each(batches):
+    """All copies of a text come to one partition, one from a task at most."""
+    seen = set()
+    for b in batches:
+        keys = b.column("tk").to_pylist()
+        use = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
+        yield b.take(pa.array(use, pa.int64()))
+
+
+def _each(batch: pa.RecordBatch):
+    """(row number, windows) of a batch of compressed texts."""
+    unpack = zstandard.ZstdDecompressor()
+    z = batch.column("z")
+    for i in range(len(batch)):
+        yield i, Windows(unpack.decompress(z[i].as_py()))
 
 
-def _frame(parts: list[tuple], names: list[str]) -> pd.DataFrame:
-    """Parts are (row, ord, array, ...): scalars are repeated along their arrays."""
-    sizes = [len(p[2]) for p in parts]
-    cols = [np.repeat([p[i] for p in parts], sizes) if i < 2 else np.concatenate([p[i] for p in parts]) for i in range(len(names))]
-    return pd.DataFrame(dict(zip(names, cols)))
+def _minimisers(with_text: bool):
+    """Distinct minimisers of each text, with its key when asked."""
+    def run(batches):
+        for b in batches:
+            tks = b.column("tk").to_numpy()
+            out, n = [], 0
+            for i, w in _each(b):
+                out.append((i, np.unique(w.v)))
+                n += len(out[-1][1])
+                if n > 200_000 or i + 1 == len(b):
+                    cols = {"v": pa.array(np.concatenate([v for _, v in out]))}
+                    if with_text:
+                        cols["tk"] = pa.array(np.repeat(tks[[k for k, _ in out]], [len(v) for _, v in out]))
+                    yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+                    out, n = [], 0
+    return run
 
 
 def _pieces(batches):
+    """Different pieces of the shared minimisers of each text: v, pk, tk, ord, size."""
     for b in batches:
-        out, n = [], 0
-        for row, ord_, t in zip(b["row"], b["ord"], b["text"]):
-            w = Windows(t.encode())
-            pick = np.unique(w.key, return_index=True)[1]
-            out.append((row, ord_, w.v[pick], w.key[pick], w.count[pick] + LENGTH - 1))
-            n += len(pick)
-            if n > 100_000:
-                yield _frame(out, ["row", "ord", "v", "key", "size"])
-                out, n = [], 0
-        if out:
-            yield _frame(out, ["row", "ord", "v", "key", "size"])
+        tks, ords, shared = b.column("tk").to_pylist(), b.column("ord").to_pylist(), b.column("vs").to_pylist()
+        cols = [[], [], [], [], []]
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 1 else pa.int64()) for k, c in enumerate(cols)], names=["v", "pk", "tk", "ord", "size"])
+
+        for i, w in _each(b):
+            seen = set()
+            for k in np.flatnonzero(np.isin(w.v, np.array(shared[i], "int64"))):
+                piece = w.piece(k)
+                pk = digest(piece)
+                if pk not in seen:
+                    seen.add(pk)
+                    for c, x in zip(cols, (int(w.v[k]), pk, tks[i], ords[i], len(piece))):
+                        c.append(x)
+            if len(cols[0]) > 50_000:
+                yield flush()
+                cols = [[], [], [], [], []]
+        yield flush()
+
+
+def _chosen(w: Windows, vs, pks):
+    """(piece number, digest) of the pieces with the given minimisers and digests, each digest once."""
+    want = set(pks)
+    for k in np.flatnonzero(np.isin(w.v, np.array(vs, "int64"))):
+        pk = digest(w.piece(k))
+        if pk in want:
+            want.discard(pk)
+            yield k, pk
 
 
 def _shards(buckets: int):
-    def build(batches):
+    """One transform per bucket of minimisers and run of texts."""
+    def run(batches):
         held, n = {}, 0
 
         def flush():
-            return pd.DataFrame([(k, shard_transform([x[0] for x in v]).tobytes(), *([x[i] for x in v] for i in (1, 2, 3))) for k, v in held.items()], columns=["bucket", "bwt", "rows", "keys", "ords"])
+            rows = [(k, shard_transform([x[0] for x in v]).tobytes(), *([x[i] for x in v] for i in (1, 2, 3))) for k, v in held.items()]
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["bucket", "bwt", "tks", "pks", "ords"])
 
         for b in batches:
-            for row, ord_, t, keys in zip(b["row"], b["ord"], b["text"], b["keys"]):
-                data, keys = t.encode(), np.asarray(keys, "int64")
-                w = Windows(data)
-                pick = np.unique(w.key, return_index=True)[1]
-                for i in pick[np.isin(w.key[pick], keys)]:
-                    s = data[w.first[i]:w.first[i] + w.count[i] + LENGTH - 1]
-                    held.setdefault(int(w.v[i]) % buckets, []).append((s, row, int(w.key[i]), ord_))
-                    n += len(s)
-                if n > 16 * BUCKET_BYTES:
+            tks, ords, vs, pks = (b.column(c).to_pylist() for c in ("tk", "ord", "vs", "pks"))
+            for i, w in _each(b):
+                for k, pk in _chosen(w, vs[i], pks[i]):
+                    held.setdefault(int(w.v[k]) % buckets, []).append((w.piece(k), tks[i], pk, ords[i]))
+                    n += int(w.count[k]) + LENGTH
+                if n > 8 * BUCKET_BYTES:
                     yield flush()
                     held, n = {}, 0
         if held:
             yield flush()
-
-    return build
+    return run
 
 
 def _loose_windows(batches):
+    """Different windows of pieces of very frequent minimisers, by digest."""
     for b in batches:
-        out, n = [], 0
-        for row, ord_, t, keys in zip(b["row"], b["ord"], b["text"], b["keys"]):
-            w = Windows(t.encode())
-            at = np.repeat(np.isin(w.key, np.asarray(keys, "int64")), w.count)
-            h, first = np.unique(w.whole[at], return_index=True)
-            out.append((row, ord_, h, w.low[at][first]))
-            n += len(h)
-            if n > 100_000:
-                yield _frame(out, ["row", "ord", "h", "v"])
-                out, n = [], 0
-        if out:
-            yield _frame(out, ["row", "ord", "h", "v"])
+        tks, ords, vs, pks = (b.column(c).to_pylist() for c in ("tk", "ord", "vs", "pks"))
+        for i, w in _each(b):
+            at = sorted({j for k, _ in _chosen(w, vs[i], pks[i]) for j in range(w.first[k], w.first[k] + w.count[k])})
+            for a in range(0, len(at), 50_000):
+                part = {digest(w.data[j:j + LENGTH]) for j in at[a:a + 50_000]}
+                yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.binary()), pa.array([tks[i]] * len(part), pa.int64()), pa.array([ords[i]] * len(part), pa.int64())], names=["h", "tk", "ord"])
 
 
 def _cut(batches):
+    """Removed bytes, runs and the digest of what is left, for texts that lose any."""
     for b in batches:
+        tks, gone, hs, vs = (b.column(c).to_pylist() for c in ("tk", "gone", "hs", "vs"))
         out = []
-        for row, t, pieces, hs in zip(b["row"], b["text"], b["pieces"], b["hs"]):
-            data = t.encode()
-            w = Windows(data)
-            bad = _later_inside(w.whole) if len(w.whole) else np.empty(0, bool)
-            if hs is not None and len(hs):
-                bad |= np.isin(w.whole, np.asarray(hs, "int64"))
-            if pieces is not None:
-                where = {}
-                for i, k in enumerate(w.key.tolist()):
-                    where.setdefault(k, []).append(i)
-                for p in pieces:
-                    for i in where[p["key"]]:
-                        offs = np.arange(w.count[i]) if p["offs"] is None else np.asarray(p["offs"])
-                        bad[w.first[i] + offs] = True
-            m = covered(np.flatnonzero(bad), len(data))
-            kept = np.frombuffer(data, "uint8")[~m].tobytes()
-            out.append((row, int(m.sum()), int(np.count_nonzero(np.diff(np.r_[0, m.astype("int8")]) == 1)), hashlib.sha256(kept).hexdigest()))
-        yield pd.DataFrame(out, columns=["row", "n_removed", "n_spans", "kept_sha256"])
-
-
-def suffix_dedup(docs: DataFrame, many: int = MANY, long: int = LONG) -> DataFrame:
+        for i, w in _each(b):
+            bad = w.later_inside()
+            if gone[i] or hs[i]:
+                offs: dict[bytes, list] = {}
+                for g in gone[i] or []:
+                    offs.setdefault(g["pk"], []).append(g["offs"])
+                loose = set(hs[i] or [])
+                for k in np.flatnonzero(np.isin(w.v, np.array(vs[i], "int64"))):
+                    first, n = w.first[k], w.count[k]
+                    for o in offs.get(digest(w.piece(k)), []):
+                        bad[first + (np.arange(n) if o is None else np.array(o))] = True
+                    if loose:
+                        for j in range(first, first + n):
+                            if not bad[j] and digest(w.data[j:j + LENGTH]) in loose:
+                                bad[j] = True
+            if bad.any():
+                m = covered(np.flatnonzero(bad), len(w.data))
+                left = np.frombuffer(w.data, "uint8")[~m].tobytes()
+                out.append((tks[i], int(m.sum()), int(np.count_nonzero(np.diff(np.r_[0, m.view("int8")]) == 1)), hashlib.sha256(left).hexdigest()))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["tk", "n_removed", "n_spans", "kept_sha256"])
+
+
+def text_table(docs: DataFrame) -> DataFrame:
+    """Different texts of 100 bytes or more, compressed (tk, z), in a table bucketed by tk."""
+    spark = docs.sparkSession
+    n, name = salts(spark), f"texts_{uuid.uuid4().hex}"
+    texts = docs.select("text").mapInArrow(_packed, "tk bigint, z binary").repartition(n, "tk").mapInArrow(_one_of_each, "tk bigint, z binary")
+    texts.write.bucketBy(n, "tk").option("path", f"{shared_dir(spark)}-texts").saveAsTable(name)
+    return spark.table(name)
+
+
+def suffix_dedup(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Null text counts as empty; texts below 100 bytes lose nothing; of exact copies the
     smallest id stays, all bytes of the others go; repeated rows of one id count as copies
-    of which one stays; rows of a null id come first in order. Extra columns are ignored."""
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.sha2(F.encode("text", "UTF-8"), 256))
-    base = materialise(base.withColumn("ord", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))).withColumn("row", F.monotonically_increasing_id()), "base")
-    heads = base.groupBy("key").agg(F.min(F.struct("ord", "row")).alias("m")).select(F.col("m.row").alias("row"))
-    heads = materialise(base.join(heads, "row", "left_semi").select("row", "ord", "doc_id", "text"), "heads")
-    big = heads.where(F.octet_length("text") >= LENGTH).select("row", "ord", "text")
-
-    pieces = materialise(big.mapInPandas(_pieces, "row bigint, ord bigint, v bigint, key bigint, size bigint"), "pieces")
-    n_pieces = pieces.count()
-    common = pieces.groupBy("v").agg(F.count(F.lit(1)).alias("_w")).where("_w > 1")  # a minimiser met once repeats nowhere else
-    pieces = materialise(skew_join(pieces, common, ["v"], "_w", "row", n_pieces).drop("_w"), "common")
-    same = materialise(pieces.groupBy("v", "key").agg(F.min("ord").alias("least"), F.count(F.lit(1)).alias("_w"), F.max("size").alias("size")), "same")
-    kinds = same.groupBy("v").agg(F.count(F.lit(1)).alias("d"), F.max("size").alias("size")).where("d > 1").select("v", F.when((F.col("d") > many) | (F.col("size") > long), "loose").otherwise("shard").alias("kind"), F.col("d").alias("_d"))
-    open_ = skew_join(same.drop("size"), kinds, ["v"], "_d", "key", n_pieces).select("v", "key", "least", "_w", "kind")
-    settled = same.where("_w > 1").select("v", "key", "least", "_w").join(kinds.select("v"), "v", "left_anti").withColumn("kind", F.lit(None).cast("string"))
-    tagged = skew_join(pieces, open_.unionByName(settled), ["v", "key"], "_w", "row", n_pieces)
-    tagged = materialise(tagged.select("row", "key", "size", F.when(F.col("ord") > F.col("least"), "gone").otherwise(F.col("kind")).alias("kind")).where("kind is not null"), "tagged")
-
-    per_doc = lambda kind: big.join(tagged.where(F.col("kind") == kind).groupBy("row").agg(F.collect_list("key").alias("keys")), "row")
+    of which one stays, and different texts of one id do not count against each other; rows of
+    a null id come first in order. An empty table gives no rows. Extra columns are ignored."""
+    src = docs.select("doc_id", utf8())
+    base = materialise(src.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_documents, "row bigint, doc_id bigint, tk bigint, sha binary, n_bytes bigint"), "base")
+    order = F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
+    heads = base.groupBy("tk", "sha").agg(F.min(F.struct(order.alias("ord"), "row")).alias("m"), F.count(F.lit(1)).alias("_w"))
+    heads = materialise(heads.select("tk", "sha", F.col("m.ord").alias("ord"), F.col("m.row").alias("head"), "_w"), "heads")
+    firsts = heads.groupBy("tk").agg(F.min("ord").alias("ord"))
+    texts = text_table(src)
+
+    # Minimisers of more than one text, and the texts that have them.
+    shared = texts.mapInArrow(_minimisers(False), "v bigint").groupBy("v").agg(F.count(F.lit(1)).alias("_w")).where("_w > 1")
+    shared = materialise(shared, "shared")
+    n = shared.agg(F.coalesce(F.sum("_w"), F.lit(0))).first()[0]
+    known = skew_join(texts.mapInArrow(_minimisers(True), "v bigint, tk bigint"), shared, ["v"], "_w", "tk", n).groupBy("tk").agg(F.collect_list("v").alias("vs"))
+    known = materialise(known.join(firsts, "tk"), "known")
+    pieces = materialise(texts.join(known, "tk").mapInArrow(_pieces, "v bigint, pk binary, tk bigint, ord bigint, size bigint"), "pieces")
+
+    same = materialise(pieces.groupBy("v", "pk").agg(F.min("ord").alias("least"), F.count(F.lit(1)).alias("_w"), F.max("size").alias("size")), "same")
+    kinds = same.groupBy("v").agg(F.count(F.lit(1)).alias("_d"), F.sum("size").alias("bytes"))
+    kinds = materialise(kinds.select("v", F.when(F.col("_d") == 1, F.lit(None)).when(F.col("bytes") > limit, "loose").otherwise("shard").alias("kind"), "_d"), "kinds")
+    judged = skew_join(same.drop("size"), kinds, ["v"], "_d", "pk", n).where("_w > 1 or kind is not null").select("v", "pk", "least", "_w", "kind")
+    tagged = skew_join(pieces, materialise(judged, "judged"), ["v", "pk"], "_w", "tk", n)
+    tagged = tagged.select("v", "pk", "tk", "size", F.when(F.col("ord") > F.col("least"), "gone").otherwise(F.col("kind")).alias("kind")).where("kind is not null")
+    tagged = materialise(tagged, "tagged")
+
+    def texts_of(kind: str) -> DataFrame:
+        per = tagged.where(F.col("kind") == kind).groupBy("tk").agg(F.collect_set("v").alias("vs"), F.collect_list("pk").alias("pks"))
+        return texts.join(per.join(firsts, "tk"), "tk")
+
     open_bytes = tagged.where("kind = 'shard'").agg(F.sum("size")).first()[0] or 0
-    buckets = 1 + open_bytes // BUCKET_BYTES
-    shards = per_doc("shard").mapInPandas(_shards(buckets), "bucket bigint, bwt binary, rows array<bigint>, keys array<bigint>, ords array<bigint>")
-    found = shards.groupBy("bucket").applyInPandas(repeats, "row bigint, key bigint, offs array<int>")
-    seen = materialise(per_doc("loose").mapInPandas(_loose_windows, "row bigint, ord bigint, h bigint, v bigint"), "seen")
-    least = seen.groupBy("h", "v").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("_w")).where("least < most").drop("most")
-    loose = skew_join(seen, least, ["h", "v"], "_w", "row", seen.count()).where("ord > least").groupBy("row").agg(F.collect_list("h").alias("hs"))
-
-    gone = tagged.where("kind = 'gone'").select("row", "key", F.lit(None).cast("array<int>").alias("offs")).unionByName(found)
-    gone = gone.groupBy("row").agg(F.collect_list(F.struct("key", "offs")).alias("pieces"))
-    done = heads.select("row", "text").join(gone, "row", "left").join(loose, "row", "left").mapInPandas(_cut, "row bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    size = F.octet_length("text").cast("long")
-    gone_whole = size >= LENGTH
-    copies = base.select("row", "doc_id", size.alias("n_bytes"), F.when(gone_whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("key")).alias("key")).join(done, "row", "left")
-    removed = F.when(F.col("n_bytes") >= LENGTH, F.col("n_bytes")).otherwise(0)
-    return copies.select("doc_id", "n_bytes", F.coalesce("n_removed", removed).cast("long").alias("n_removed"),
-                         F.coalesce("n_spans", F.when(F.col("n_bytes") >= LENGTH, 1).otherwise(0)).cast("long").alias("n_spans"),
-                         F.coalesce("kept_sha256", "key").alias("kept_sha256"))
+    shards = texts_of("shard").mapInArrow(_shards(1 + open_bytes // BUCKET_BYTES), "bucket bigint, bwt binary, tks array<bigint>, pks array<binary>, ords array<bigint>")
+    found = shards.groupBy("bucket").applyInPandas(repeats, "tk bigint, pk binary, offs array<int>")
+    seen = materialise(texts_of("loose").mapInArrow(_loose_windows, "h binary, tk bigint, ord bigint"), "seen")
+    least = seen.groupBy("h").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count(F.lit(1)).alias("_w")).where("least < most").drop("most")
+    loose = skew_join(seen, materialise(least, "least"), ["h"], "_w", "tk", seen.count()).where("ord > least").groupBy("tk").agg(F.collect_list("h").alias("hs"))
+
+    gone = tagged.where("kind = 'gone'").select("tk", "pk", F.lit(None).cast("array<int>").alias("offs")).unionByName(found)
+    gone = gone.groupBy("tk").agg(F.collect_list(F.struct("pk", "offs")).alias("gone"))
+    found = materialise(gone.join(loose, "tk", "full").join(known.select("tk", "vs"), "tk"), "found")
+    done = texts.join(found, "tk", "left").select("tk", "z", "gone", "hs", "vs").mapInArrow(_cut, "tk bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    heads = materialise(heads.join(done, "tk", "left"), "done")
+
+    out = skew_join(base, heads, ["tk", "sha"], "_w", "row", base.count())
+    first = F.col("row") == F.col("head")
+    long = F.col("n_bytes") >= LENGTH
+    return out.select("doc_id", "n_bytes", F.when(first, F.coalesce("n_removed", F.lit(0))).when(long, F.col("n_bytes")).otherwise(0).cast("long").alias("n_removed"),
+                      F.when(first, F.coalesce("n_spans", F.lit(0))).when(long, 1).otherwise(0).cast("long").alias("n_spans"),
+                      F.when(~first & long, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce(F.when(first, F.col("kept_sha256")), F.lower(F.hex("sha")))).alias("kept_sha256"))
 
 
 def op3_suffix_dedup(spark, sf_dir):
+    """Every document cut; edge cases as in `suffix_dedup`."""
     from .common import table
 
     return suffix_dedup(table(spark, sf_dir, "documents"))
