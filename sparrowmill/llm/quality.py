@@ -6,45 +6,54 @@ ordered thresholds. Gives the expected grade and the tail probability used for s
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import words
+from .common import utf8
+from .scan import columns, runs, scan
 
-BUCKETS = 1 << 13
-#: Bound on labelled rows that are fitted, a hash sample beyond it.
-MAX_LABELLED = 20_000
+BUCKETS = 1 << 12
+#: Bound on labelled rows that are fitted, a hash sample beyond it; a row sends at most 6 bytes a bucket.
+MAX_LABELLED = 10_000
 SHAPES = 6
-
-
-def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed word weights of length one, then shape ratios of the whole text."""
-    ws = words(text)
-    idx, n = np.unique(np.array([zlib.crc32(w.encode()) % BUCKETS for w in ws], "int64"), return_counts=True) if ws else (np.empty(0, "int64"), np.empty(0))
-    v = np.sqrt(n)
-    v = v / (np.linalg.norm(v) or 1.0)
-    size = max(1, len(text))
-    lines = text.split("\n")
-    shape = [sum(not (c.isalnum() or c.isspace()) for c in text) / size * 5, sum(c.isdigit() for c in text) / size * 5,
-             sum(c.isupper() for c in text) / size * 5, np.log1p(len(ws)) / 5, len(set(lines)) / len(lines), len(set(ws)) / max(1, len(ws))]
-    return np.r_[idx, BUCKETS + np.arange(SHAPES)], np.r_[v, shape]
-
-
-def _frame(docs: DataFrame, extra: str) -> DataFrame:
-    names = [c.split()[0] for c in extra.split(", ")]
-
+_PUNCT, _DIGIT, _UPPER = (np.zeros(256, bool) for _ in range(3))
+_PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+_DIGIT[48:58] = True
+_UPPER[65:91] = True
+
+
+def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, feature and value: hashed words of length one, then shape ratios of the whole text."""
+    n, w = len(texts), scan(texts)
+    count = np.diff(w.first)
+    cell, times = np.unique(w.doc * BUCKETS + (w.hash % np.uint64(BUCKETS)).astype("int64"), return_counts=True)
+    doc, v = cell // BUCKETS, np.sqrt(times)
+    v = v / np.sqrt(np.maximum(np.bincount(doc, v * v, n), 1e-12))[doc]
+    size = np.maximum(1, [len(t) for t in texts])
+    kinds = np.unique(np.stack([w.doc.astype("uint64"), w.hash]), axis=1)[0].astype("int64") if len(w.hash) else np.empty(0, "int64")
+    share = lambda table: np.array([table[np.frombuffer(t, "uint8")].sum() for t in texts]) / size * 5
+    lines = [t.split(b"\n") for t in texts]
+    shape = np.stack([share(_PUNCT), share(_DIGIT), share(_UPPER), np.log1p(count) / 5, [len(set(x)) / len(x) for x in lines], np.bincount(kinds, minlength=n) / np.maximum(1, count)], axis=1)
+    doc = np.r_[doc, np.repeat(np.arange(n), SHAPES)]
+    order = np.argsort(doc, kind="stable")
+    return doc[order], np.r_[cell % BUCKETS, np.tile(BUCKETS + np.arange(SHAPES), n)][order], np.r_[v, shape.ravel()][order]
+
+
+def _sample(known: DataFrame) -> list:
+    """Feature rows of the labelled sample: grade, i, v."""
     def run(batches):
         for b in batches:
-            out = b[names].copy()
-            x = [features(t) for t in b["text"]]
-            out["i"], out["v"] = [p[0] for p in x], [p[1] for p in x]
-            yield out
+            for lo, hi in runs(b.column("text")):
+                part = b.slice(lo, hi - lo)
+                doc, i, v = features(part.column("text").to_pylist())
+                cut = np.searchsorted(doc, np.arange(len(part) + 1))
+                cells = [(i[a:z].astype("int16").tobytes(), v[a:z].astype("float32").tobytes()) for a, z in zip(cut[:-1], cut[1:])]
+                yield columns(part, ["grade"], {"i": pa.array([c[0] for c in cells], pa.binary()), "v": pa.array([c[1] for c in cells], pa.binary())})
 
-    return docs.select(*names, F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, f"{extra}, i array<bigint>, v array<double>")
+    rows = known.select("grade", utf8()).mapInArrow(run, "grade int, i binary, v binary").collect()
+    return [(r.grade, np.frombuffer(r.i, "int16").astype("int64"), np.frombuffer(r.v, "float32").astype("float64")) for r in rows]
 
 
 def _cumulative(z, theta):
@@ -76,37 +85,46 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, le
     return p[:m], np.cumsum(np.r_[p[m], np.exp(p[m + 1:])])
 
 
-def score_quality(docs: DataFrame, ratings: DataFrame, min_grade: int | None = None) -> DataFrame:
-    """Per row: doc_id, held_out, expected_grade, tail_prob = P(grade >= min_grade).
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+
 
-    `ratings`: doc_id, grade (integers from 0). Rows whose crc32(doc_id) mod 3 is 1 are never
-    learnt from. Null text counts as empty; null grades are skipped; several grades of one
-    document count by the least; without ratings both outputs are 0. Extra columns are ignored."""
-    held = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
-    r = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
+def score_quality(docs: DataFrame, ratings: DataFrame, min_grade: int | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """Per row: doc_id, held_out, expected_grade, tail_prob = P(grade >= min_grade), by default the best grade.
+
+    `ratings`: doc_id, grade (integers from 0). At most about `max_labelled` rated rows are
+    learnt from, none whose crc32(doc_id) mod 3 is 1. Null text counts as empty; null grades
+    are skipped; several grades of one document count by the least; without two grades both
+    outputs are 0. Repeated rows score alike; an empty table gives none; extra columns are ignored."""
+    r = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade")).where(~held_out(F.col("doc_id")))
     n = r.count()
-    known = docs.select("doc_id", "text").where(~held).join(r, "doc_id")
-    if n > MAX_LABELLED:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * MAX_LABELLED / n))
-    sample = _frame(known, "grade int").collect()
-    levels = max([x.grade for x in sample], default=0) + 1
+    if n > max_labelled:
+        r = r.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * max_labelled / n))
+    # The sample is bounded, so it is sent to the documents and no other text moves.
+    sample = _sample(docs.select("doc_id", "text").join(F.broadcast(r), "doc_id"))
+    held = held_out(F.col("doc_id")).alias("held_out")
+    levels = max([x[0] for x in sample], default=0) + 1
     if levels < 2:
-        return docs.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("expected_grade"), F.lit(0.0).alias("tail_prob"))
-    w, theta = fit_ordinal([(np.array(x.i, "int64"), np.array(x.v)) for x in sample], np.array([x.grade for x in sample]), levels)
+        return docs.select("doc_id", held, F.lit(0.0).alias("expected_grade"), F.lit(0.0).alias("tail_prob"))
+    w, theta = fit_ordinal([(i, v) for _, i, v in sample], np.array([g for g, _, _ in sample]), levels)
     cut = levels - 1 if min_grade is None else min_grade
 
-    @F.pandas_udf("struct<e:double,t:double>")
-    def link(i: pd.Series, v: pd.Series) -> pd.DataFrame:
-        z = np.array([float(b @ w[a]) for a, b in zip(i, v)])
-        above = 1 - _cumulative(z, theta)  # P(grade > k)
-        return pd.DataFrame({"e": above.sum(axis=1), "t": above[:, cut - 1] if cut > 0 else np.ones(len(z))})
+    def score(batches):
+        for b in batches:
+            for lo, hi in runs(b.column("text")):
+                part = b.slice(lo, hi - lo)
+                doc, i, v = features(part.column("text").to_pylist())
+                above = 1 - _cumulative(np.bincount(doc, v * w[i], len(part)), theta)  # P(grade > k)
+                tail = above[:, cut - 1] if cut > 0 else np.ones(len(part))
+                yield columns(part, ["doc_id", "held_out"], {"expected_grade": pa.array(above.sum(axis=1)), "tail_prob": pa.array(tail)})
 
-    out = _frame(docs, "doc_id bigint").select("doc_id", link("i", "v").alias("s"))
-    return out.select("doc_id", held.alias("held_out"), F.col("s.e").alias("expected_grade"), F.col("s.t").alias("tail_prob"))
+    return docs.select("doc_id", held, utf8()).mapInArrow(score, "doc_id bigint, held_out boolean, expected_grade double, tail_prob double")
 
 
 def op1_quality(spark, sf_dir):
+    """Every document scored on three grades: 2 good and not toxic, 1 one of both, 0 neither; edge
+    cases as in `score_quality`."""
     from .common import table
 
-    ratings = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("grade"))
-    return score_quality(table(spark, sf_dir, "documents"), ratings)
+    grade = F.col("quality") + F.when(F.col("toxic") == 1, 0).otherwise(1)
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade")))
