@@ -1,12 +1,13 @@
 """Chat formatting: layouts are recognised by a fingerprint of their nested field paths.
 
-The fingerprint (SHA-256 of the sorted `path:kind` list) selects a declarative mapping
-to canonical turns (conv_id, turn, role, text); a new layout is one more mapping. All
-steps are built-in functions.
+A record's fingerprint is the SHA-256 of the sorted `path:kind` list of its known nested
+fields that are not null; it selects a declarative mapping to canonical turns (conv_id, turn,
+role, text), so one table may mix layouts. A new layout is one more mapping. All steps are
+built-in functions.
 
 Template, a turn each: `### <role>:\\n<text></turn>\\n`. In roles and texts `\\`, `#` and `<`
-become `\\b`, `\\h` and `\\l`, so no text can hold a control string, and reading back
-(`\\h`, `\\l`, then `\\b`) is exact.
+become `\\b`, `\\h` and `\\l`, in roles also the newline and `:` become `\\n` and `\\c`, so no
+text can hold a control string and no role can end its head; reading back is exact.
 """
 
 from __future__ import annotations
@@ -61,79 +62,109 @@ LAYOUTS = [
     _layout(["prompt:string", "response:string"], _fixed(("user", "prompt"), ("assistant", "response"))),
     _layout(["prompt:string", "completion:string"], _fixed(("user", "prompt"), ("assistant", "completion"))),
 ]
-FLAT = ["conv_id:number", "turn:number", "role:string", "text:string"]
-REGISTRY = {fingerprint(p): m for p, m in LAYOUTS} | {fingerprint(FLAT): None}
-_KNOWN = [FLAT, *(p for p, _ in LAYOUTS)]
+#: Single turns, one a record; a turn without a number has no known field.
+FLAT = {"turn:number", "role:string", "text:string"}
+REGISTRY = {fingerprint(p): m for p, m in LAYOUTS}
+FLAT_PRINTS = [fingerprint(["turn:number"]), fingerprint([])]
+#: Paths that count for a fingerprint; all other fields are extra.
+KNOWN = sorted({p for ps, _ in LAYOUTS for p in ps} | {"turn:number"})
 
 
-def layout_of(df: DataFrame) -> str:
-    """Fingerprint of the known layout whose paths are all present; other columns are extra."""
-    have = set(field_paths(df.schema))
-    for paths in sorted(_KNOWN, key=len, reverse=True):
-        if set(paths) <= have and (fp := fingerprint(paths)) in REGISTRY:
-            return fp
-    raise ValueError(f"no mapping for layout {fingerprint(sorted(have))}: {sorted(have)}")
+def record_fingerprint(schema: T.StructType) -> Column:
+    """Fingerprint of a row by the known paths that the table has and the row does not leave null."""
+    have = set(field_paths(schema))
+    present = [F.when(F.col(p.split("[")[0].split(":")[0]).isNotNull(), p) for p in KNOWN if p in have]
+    return F.sha2(F.array_join(F.array_compact(F.array(*present)), "\n"), 256) if present else F.lit(fingerprint([]))
+
+
+def unknown_layouts(df: DataFrame) -> DataFrame:
+    """Fingerprints without a mapping and their rows."""
+    fp = record_fingerprint(df.schema)
+    known = [*REGISTRY, *(FLAT_PRINTS if FLAT <= set(field_paths(df.schema)) else [])]
+    return df.select(fp.alias("layout")).where(~F.col("layout").isin(known)).groupBy("layout").count()
 
 
 def to_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """One row per conversation: conv_id, turns array<struct<turn,role,text>> in order.
+    """One row per conversation: conv_id, turns array<struct<turn,role,text>> in order. Each record
+    is mapped by its fingerprint; where the table has single turns (turn, role, text), records of
+    one conv_id are put together, otherwise each record is a conversation with its `layout`.
 
     Null role or text counts as empty; equal turn numbers are ordered by role and text and
-    repeated rows stay; rows of a null conv_id form one conversation; extra columns are ignored."""
-    make = REGISTRY[layout_of(df)]
+    repeated rows stay; single turns of a null conv_id form one conversation; turns are null where
+    no mapping has the record's fingerprint (`unknown_layouts` counts them); a table for which
+    there is no mapping at all raises; extra columns are ignored."""
     clean = lambda t: F.struct(t["turn"].cast("long").alias("turn"), F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
-    if make is None:
-        row = F.struct(F.col("turn"), F.col("role"), F.col("text"))
-        return df.groupBy(id_col).agg(F.array_sort(F.collect_list(clean(row))).alias("turns")).withColumnRenamed(id_col, "conv_id")
-    return df.select(F.col(id_col).alias("conv_id"), F.transform(F.coalesce(make(), F.array().cast(f"array<{TURN}>")), clean).alias("turns"))
-
-
-def escape(c: Column) -> Column:
-    for raw, code in (("\\", "\\b"), ("#", "\\h"), ("<", "\\l")):
+    have = set(field_paths(df.schema))
+    flat = FLAT <= have
+    # Only mappings whose columns the table has can be evaluated.
+    usable = [(fingerprint(p), make()) for p, make in LAYOUTS if set(p) <= have]
+    if flat:
+        usable += [(fp, F.array(F.struct("turn", "role", "text"))) for fp in FLAT_PRINTS]
+    if not usable:
+        raise ValueError(f"no mapping for layout {fingerprint(sorted(have))}: {sorted(have)}")
+    d = df.withColumn("_layout", record_fingerprint(df.schema))
+    turns = F.lit(None).cast(f"array<{TURN}>")
+    for fp, made in usable:
+        turns = F.when(F.col("_layout") == fp, F.transform(made, clean)).otherwise(turns)
+    d = d.select(F.col(id_col).alias("conv_id"), F.col("_layout").alias("layout"), turns.alias("turns"))
+    return d.groupBy("conv_id").agg(F.array_sort(F.flatten(F.collect_list("turns"))).alias("turns")) if flat else d
+
+
+ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"))
+ROLE_ESCAPES = (*ESCAPES, ("\n", "\\n"), (":", "\\c"))
+
+
+def escape(c: Column, table=ESCAPES) -> Column:
+    for raw, code in table:
         c = F.replace(c, F.lit(raw), F.lit(code))
     return c
 
 
-def unescape(c: Column) -> Column:
-    for raw, code in (("#", "\\h"), ("<", "\\l"), ("\\", "\\b")):
+def unescape(c: Column, table=ESCAPES) -> Column:
+    """Codes back to what they stand for, the backslash last: a code never follows an odd backslash before that."""
+    for raw, code in reversed(table):
         c = F.replace(c, F.lit(code), F.lit(raw))
     return c
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """conv_id, formatted, loss_spans: the 0-based (start, length) code points of assistant texts."""
-    head = lambda t: F.concat(F.lit(HEAD), escape(t["role"]), F.lit(":\n"))
-    pieces = turns.select("conv_id", F.transform("turns", lambda t: F.struct(
-        F.concat(head(t), escape(t["text"]), F.lit(END)).alias("s"), F.length(head(t)).cast("long").alias("h"),
-        F.length(escape(t["text"])).cast("long").alias("n"), (t["role"] == "assistant").alias("loss"))).alias("p"))
+    """conv_id, formatted, mask: the runs of `formatted` in order as (s, loss), loss on the assistant texts alone."""
+    head = lambda t: F.concat(F.lit(HEAD), escape(t["role"], ROLE_ESCAPES), F.lit(":\n"))
+    run = lambda s, loss: F.struct(s.alias("s"), loss.alias("loss"))
+    mask = F.flatten(F.transform("turns", lambda t: F.array(run(head(t), F.lit(False)), run(escape(t["text"]), t["role"] == "assistant"), run(F.lit(END), F.lit(False)))))
+    out = turns.select("conv_id", mask.alias("mask"))
+    return out.select("conv_id", F.array_join(F.transform("mask", lambda m: m["s"]), "").alias("formatted"), "mask")
+
+
+def loss_spans(mask: Column) -> Column:
+    """0-based (start, length) code points of the runs with loss."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,len:bigint>>").alias("spans"))
-    step = lambda acc, p: F.struct(
-        (acc["at"] + p["h"] + p["n"] + len(END)).alias("at"),
-        F.when(p["loss"], F.array_append(acc["spans"], F.struct((acc["at"] + p["h"]).alias("start"), p["n"].alias("len")))).otherwise(acc["spans"]).alias("spans"))
-    return pieces.select("conv_id", F.array_join(F.transform("p", lambda p: p["s"]), "").alias("formatted"),
-                         F.aggregate("p", zero, step, lambda acc: acc["spans"]).alias("loss_spans"))
+    size = lambda m: F.length(m["s"]).cast("long")
+    step = lambda acc, m: F.struct((acc["at"] + size(m)).alias("at"), F.when(m["loss"], F.array_append(acc["spans"], F.struct(acc["at"].alias("start"), size(m).alias("len")))).otherwise(acc["spans"]).alias("spans"))
+    return F.aggregate(mask, zero, step, lambda acc: acc["spans"])
 
 
 def read_turns(formatted: Column) -> Column:
     """Turns read back from a formatted text."""
     raw = F.filter(F.split(formatted, END), lambda s: s != "")
     return F.transform(raw, lambda s: F.struct(
-        unescape(F.regexp_extract(s, r"(?s)^### (.*?):\n", 1)).alias("role"),
+        unescape(F.regexp_extract(s, r"(?s)^### (.*?):\n", 1), ROLE_ESCAPES).alias("role"),
         unescape(F.regexp_extract(s, r"(?s)^### .*?:\n(.*)$", 1)).alias("text")))
 
 
 def chat_digest(turns: DataFrame) -> DataFrame:
+    """Digests of what is read back; one pass over a conversation's runs, whatever their number."""
     out = format_chat(turns)
-    back = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("t"),
-                      F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["len"].cast("int")))).alias("loss"))
+    loss = F.array_join(F.transform(F.filter("mask", lambda m: m["loss"]), lambda m: m["s"]), "")
+    back = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("t"), unescape(loss).alias("loss"))
     lines = F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join("loss", "")
     return back.select("conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(F.encode(lines, "UTF-8"), 256).alias("turns_sha256"),
-                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(F.encode(loss, "UTF-8"), 256).alias("loss_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def op4_chat_format(spark, sf_dir):
+    """Every conversation and one of control strings; edge cases as in `to_turns`."""
     from .common import table
 
     probe = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
@@ -143,10 +174,11 @@ def op4_chat_format(spark, sf_dir):
 
 
 _ESC = "replace(replace(replace({0}, '\\', '\\b'), '#', '\\h'), '<', '\\l')"
+_ROLE = f"replace(replace({_ESC}, chr(10), '\\n'), ':', '\\c')"
 SQL = f"""
 WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
 g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
-  sum(length({_ESC.format('role')}) + length({_ESC.format('text')}) + 14)::BIGINT AS formatted_chars FROM r GROUP BY conv_id)
+  sum(length({_ROLE.format('role')}) + length({_ESC.format('text')}) + 14)::BIGINT AS formatted_chars FROM r GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""

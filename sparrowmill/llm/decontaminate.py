@@ -24,7 +24,7 @@ from .scan import Words, columns, grams, runs, scan
 WINDOW = 13
 #: Words of a window that are tried before its suffix enters an array.
 PROBE = 4
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2_000_000
 BLOCK_BYTES = 8 << 20
 FOUND = "n_words bigint, n_hit bigint, starts array<int>, lengths array<int>, items array<string>, longest struct<words:int,start:int,item:string>"
 
@@ -120,7 +120,7 @@ class Block:
         doc, item, diagonal, k = np.searchsorted(w.first, at, "right") - 1, self.item[win], at - self.pos[win], self.k[win]
         cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(diagonal) != 0) | (np.diff(self.text[win]) != 0) | (np.diff(doc) != 0)])
         size = np.diff(np.r_[cut, len(at)]) - 1 + k[cut]
-        for i in np.argsort(size, kind="stable"):  # the longest of a text comes last and stays
+        for i in np.lexsort((item[cut], at[cut], size)):  # the longest of a text comes last and stays, of equal ones the last by place and item
             d = doc[cut[i]]
             out["longest"][d] = {"words": int(size[i]), "start": int(at[cut[i]] - w.first[d]), "item": self.items[item[cut[i]]]}
         for d in np.unique(doc):

@@ -85,7 +85,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
     files = files.select("file_id", "path", "text")
     lines = files.select(F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("line"))
     hit = lines.select(F.array_intersect(_words(F.col("line")), F.array(*map(F.lit, vocab))).alias("ws"))
-    n = hit.count()
+    n, n_files = hit.count(), files.count()
     df = {r.w: r["count"] for r in hit.select(F.explode("ws").alias("w")).groupBy("w").count().collect()}  # at most the vocabulary
     idf2 = {w: math.log((1 + n) / (1 + df.get(w, 0)) + 1) ** 2 for w in vocab}
     other = math.log(2 + n) ** 2
@@ -116,7 +116,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
     own = cand.select("file_id", "path", F.greatest(*per).alias("b"), tag.alias("tag"), F.when(licence_file, F.sha2(F.encode("text", "UTF-8"), 256)).alias("h"))
     full = own.where("h is not null")
     counts = full.groupBy("h").agg(F.count(F.lit(1)).alias("_m"))
-    full = skew_join(full, counts.join(whole_texts(files, texts), "h", "left"), ["h"], "_m", "file_id", n).drop("_m")
+    full = skew_join(full, counts.join(whole_texts(files, texts), "h", "left"), ["h"], "_m", "file_id", n_files).drop("_m")
     own = full.unionByName(own.where("h is null").withColumn("whole", F.lit(None).cast("struct<cosine:double,id:string>")))
     better = F.coalesce(F.col("whole.cosine") > F.col("b.cosine"), F.lit(False))
     best = F.when(F.col("tag").isNotNull(), F.struct(F.lit(1.0).alias("cosine"), F.col("tag").alias("id"))).when(better, F.col("whole")).otherwise(F.struct("b.cosine", "b.id"))
@@ -132,7 +132,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
     near = above.join(dirs, "dir").groupBy("home").agg(F.max(F.struct("depth", "dir", "dir_licence")).alias("m"))
     near = homes.join(near, "home", "left").select("home", "_w", F.col("m.dir").alias("inherited_from"), F.col("m.dir_licence").alias("dir_licence"))
     own = own.withColumn("home", home)
-    placed = skew_join(own.where("home is not null"), near, ["home"], "_w", "file_id", n)
+    placed = skew_join(own.where("home is not null"), near, ["home"], "_w", "file_id", n_files)
     bare = own.where("home is null").withColumn("inherited_from", F.lit(None).cast("string")).withColumn("dir_licence", F.lit(None).cast("string"))
     cols = ["file_id", "path", "own", "cosine", "inherited_from", "dir_licence"]
     return placed.select(cols).unionByName(bare.select(cols)).select(
