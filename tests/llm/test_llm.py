@@ -53,9 +53,9 @@ def test_filters_merge_losslessly(spark):
     assert got == {v: values.count(v) for v in set(values)}
 
 
-@pytest.mark.parametrize("many", [1000, 1])
-def test_suffix(docs, empty, many):
-    got = sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs, many).collect()), key=str)
+@pytest.mark.parametrize("limit", [suffix_dedup.LIMIT, 1])
+def test_suffix(docs, empty, limit):
+    got = sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs, limit).collect()), key=str)
     seen, want = set(), []
     for d, t in sorted(TEXTS, key=lambda x: -1 if x[0] is None else x[0]):
         b, m = (t or "").encode(), bytearray(len((t or "").encode()))
@@ -142,7 +142,7 @@ def test_chat_round_trip(spark):
 def test_chat_layouts(spark):
     a = spark.createDataFrame([(1, "q", "a", 0)], "conv_id bigint, prompt string, response string, other int")
     b = spark.createDataFrame([(1, [("user", "q"), ("assistant", "a")])], "conv_id bigint, messages array<struct<role:string,content:string>>")
-    assert chat_format.to_turns(a).collect() == chat_format.to_turns(b).collect()
+    assert chat_format.to_turns(a).drop("layout").collect() == chat_format.to_turns(b).drop("layout").collect()
 
 
 def test_jaccard(docs, empty):
@@ -158,8 +158,6 @@ def test_toxicity(docs, empty, labels):
     assert len(rows) == len(TEXTS) and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score_toxicity(empty, labels).count() == 0
     assert toxicity.score_toxicity(docs, labels.limit(0)).where("predicted = 1").count() == 0
-    plain, denied = (toxicity.clause_features(t, {"idiot": 1.0}) for t in ("you idiot.", "not an idiot."))
-    assert plain[1] == 1.0 and denied[3] == 1.0
 
 
 def test_quality(docs, empty, labels):
