@@ -1,4 +1,9 @@
-"""The corpus pipeline: each stage works on all that the one before kept."""
+"""The corpus pipeline: each stage works on all that the one before kept.
+
+Rows are judged one by one by a number of their own, so null, repeated and shared ids change
+nothing; null text counts as empty (no words, never toxic, one exact group); an empty table
+stays empty; extra columns are carried, and a column `_row_key` is taken as the number.
+"""
 
 from __future__ import annotations
 
@@ -28,19 +33,19 @@ def _by_key(docs: DataFrame) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the grammar predicts as toxic go."""
+    """Documents that the grammar predicts as toxic go; without usable labels none does."""
     docs = with_key(docs, KEY)
     return _without(docs, score_toxicity(docs, table(spark, sf_dir, "labels"), key=KEY).where("predicted = 1"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text stays."""
+    """One row of each text (equal but for A-Z) stays: one with the largest id, the largest key among equal ids."""
     docs = with_key(docs, KEY)
     return _without(docs, exact_dedup(docs, key=KEY).where("not kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the largest id of each class stays, the largest key among equal ids."""
+    """The row with the largest id of each class stays, the largest key among equal ids. Texts without words are alone."""
     docs = with_key(docs, KEY)
     classes = jaccard_join(_by_key(docs)).select(F.col("doc_id").alias(KEY), "class_id")
     members = materialise(classes.join(docs.select(KEY, F.col("doc_id").alias("_id")), KEY), "members")
@@ -49,11 +54,13 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more lies in benchmark windows go; an empty benchmark removes none."""
     docs = with_key(docs, KEY)
     return _without(docs, decontaminate(_by_key(docs), table(spark, sf_dir, "benchmark")).where("contaminated").withColumnRenamed("doc_id", KEY))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document that is left; a null id stays null."""
     import public_tokenizers
 
     return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))

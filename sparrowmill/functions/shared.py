@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, own: str | None = None) -> str:
-    """The folder all executors see; `own` only where the session names none."""
+    """The folder all executors see; `own` only where the session names none. Without either,
+    a local master uses a folder of its machine and any other is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None) or own
     if not root:
-        root = "/tmp/sparrowmill"  # single-machine sessions only: a cluster sets spark.checkpoint.dir
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        root = "/tmp/sparrowmill"
     return f"{root}/{uuid.uuid4().hex}"
 
 

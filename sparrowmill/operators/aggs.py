@@ -140,3 +140,9 @@ def distinct_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 def upsert_by_id(old: DataFrame, new: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     both = old.withColumn("_v", F.lit(0)).unionByName(new.withColumn("_v", F.lit(1)), allowMissingColumns=True)
     return distinct_by(both, [key], [F.desc("_v")]).drop("_v").join(wanted.select(key), key, "left_semi")
+
+
+def paired_stats(calm: DataFrame, loud: DataFrame, key: list[str], by: str) -> DataFrame:
+    """Ratios loud / calm of paired takes: mean and sample deviation per group of two pairs or more."""
+    r = calm.join(loud, key).where("calm > 0").select(by, (F.col("loud") / F.col("calm")).alias("r"))
+    return r.groupBy(by).agg(F.avg("r").alias("mean"), F.stddev_samp("r").alias("std"), F.count(F.lit(1)).alias("n")).where("n >= 2")

@@ -82,3 +82,57 @@ def coupled(ref: Column, u: Column, base: float, span: float, noise: float) -> C
 
 def ratio_eligible(found: Column, expected: Column, lo: float = 0.8, hi: float = 1.25) -> Column:
     return F.coalesce((found / F.nullif(expected, F.lit(0))).between(lo, hi), F.lit(False))
+
+
+def parse_key(c: Column, grammar: str, names: list[str], strict: bool = False) -> Column:
+    """Groups of a filename grammar as a struct of strings, null where the name does not match; strict raises."""
+    parts = F.struct(*[F.nullif(F.regexp_extract(c, grammar, i + 1), F.lit("")).alias(n) for i, n in enumerate(names)])
+    bad = F.raise_error(F.concat(F.lit("not in the grammar: "), c)) if strict else F.lit(None)
+    return F.when(c.rlike(grammar), parts).otherwise(bad.cast("struct<" + ",".join(f"{n}:string" for n in names) + ">"))
+
+
+def labels_to_pools(df: DataFrame, labels: str, plain: dict[str, list[str]], voiced: dict[str, list[str]], voice: list[str], never: list[str]) -> DataFrame:
+    """A row per pool whose labels the row has (array `labels`). Rows with a voice label follow
+    the second rule table; a label of `never` keeps a row out of every pool."""
+    has = lambda ws: F.arrays_overlap(F.col(labels), F.array(*map(F.lit, ws)))
+    pools = lambda rules: F.array_compact(F.array(*[F.when(has(ws), p) for p, ws in rules.items()])) if rules else F.array().cast("array<string>")
+    own = F.when(F.coalesce(has(never), F.lit(False)), F.array().cast("array<string>")).when(has(voice), pools(voiced)).otherwise(pools(plain))
+    return df.withColumn("pool", F.explode(own))
+
+
+def route_clipped(df: DataFrame, clip_frac: Column, most: float = 0.001) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass and rows with too large a share of clipped samples; unknown shares pass."""
+    bad = F.coalesce(clip_frac > most, F.lit(False))
+    return df.where(~bad), df.where(bad)
+
+
+def contract_violations(df: DataFrame, a: str, b: str, silent: float = 1e-4) -> DataFrame:
+    """Adds the rules a pair of channels breaks: present, equal length, finite, target not silent, within one."""
+    x, y = F.col(a), F.col(b)
+    finite = lambda c: F.forall(c, lambda v: ~F.isnan(v) & (F.abs(v) < float("inf")))
+    most = lambda c: F.array_max(F.transform(c, lambda v: F.abs(v.cast("double"))))
+    return violations(df, {"missing": x.isNull() | y.isNull(), "length": F.size(x) != F.size(y), "finite": ~(finite(x) & finite(y)),
+                           "silent": F.coalesce(most(y), F.lit(0.0)) < silent, "range": (most(x) > 1) | (most(y) > 1)})
+
+
+def quarantine(df: DataFrame, bad: Column, pile: str, refuse: list[str], dry_run: bool = True):
+    """Rows to be set aside, counted by pile in a dry run; otherwise (kept, set aside). Piles in `refuse` raise if a row of theirs is bad."""
+    hit = F.when(F.coalesce(bad, F.lit(False)) & F.col(pile).isin(refuse), F.raise_error(F.concat(F.lit("refused pile "), F.col(pile))).cast("boolean")).otherwise(F.coalesce(bad, F.lit(False)))
+    if dry_run:
+        return df.where(hit).groupBy(pile).agg(F.count(F.lit(1)).alias("n"))
+    return df.where(~hit), df.where(hit)
+
+
+def needs_screen(cls: Column, pile: Column, classes: list[str], exempt: list[str]) -> Column:
+    """Only noise classes are screened, and no curated pile."""
+    return F.coalesce(cls.isin(classes), F.lit(False)) & ~F.coalesce(pile.isin(exempt), F.lit(False))
+
+
+def derive_label(cls: Column, far: Column, automatic: Column) -> Column:
+    """Distant and automatic forms of a class come before its plain name; far wins."""
+    return F.when(F.coalesce(far, F.lit(False)), F.concat(cls, F.lit("_distant"))).when(F.coalesce(automatic, F.lit(False)), F.concat(cls, F.lit("_auto"))).otherwise(cls)
+
+
+def import_by_class(df: DataFrame, folder: str, classes: dict[str, str], never: list[str]) -> DataFrame:
+    """Adds `cls`; folders without a class and those never to be imported are left out."""
+    return df.withColumn("cls", lookup(F.col(folder), classes)).where(F.col("cls").isNotNull() & ~F.col(folder).isin(never))

@@ -1,8 +1,8 @@
-"""Transcript text: tokens, loops, word errors, keywords."""
+"""Transcript text: tokens, loops, keywords. Word errors are in `scores`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,11 +19,12 @@ def keyword_hits(toks: Column, vocab: list[str]) -> Column:
 
 
 def longest_run(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Longest run of one repeated token, by islands of equal neighbours."""
-    t = df.select(*keys, F.posexplode(tokens(F.col(text))).alias("pos", "tok"))
-    g = F.row_number().over(Window.partitionBy(*keys).orderBy("pos")) - F.row_number().over(Window.partitionBy(*keys, "tok").orderBy("pos"))
-    runs = t.withColumn("g", g).groupBy(*keys, "tok", "g").agg(F.count(F.lit(1)).alias("n"))
-    return runs.groupBy(*keys).agg(F.max("n").alias("longest_run"))
+    """Longest run of one repeated token: one pass over each token array, no shuffle. Texts without tokens have no row."""
+    def step(s, t):
+        run = F.when(t == s["last"], s["run"] + 1).otherwise(F.lit(1))
+        return F.struct(t.alias("last"), run.alias("run"), F.greatest(s["best"], run).alias("best"))
+    zero = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))  # no token is empty
+    return df.select(*keys, F.aggregate(tokens(F.col(text)), zero, step, lambda s: s["best"].cast("long")).alias("longest_run")).where("longest_run > 0")
 
 
 def grounded(value: Column, text: Column) -> Column:

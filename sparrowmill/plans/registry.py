@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparrowmill.functions import keyed
 from sparrowmill.operators import aggs, audits, signals, text
+from sparrowmill.sources import files
 
 QUERIES: dict = {}
 
@@ -134,10 +135,11 @@ def p15(spark, sf):
     return read(spark, sf, "documents").select("doc_id").join(read(spark, sf, "labels"), "doc_id", "left").where(F.coalesce("quality", F.lit(1)) == 1).select("doc_id")
 
 
-@query("s12_todo_ids", "SELECT i AS o_orderkey FROM range((SELECT max(o_orderkey) FROM orders)) t(i) WHERE i NOT IN (SELECT o_orderkey FROM orders)")
+@query("s12_todo_ids", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
 def s12(spark, sf):
-    have = read(spark, sf, "orders").select("o_orderkey")
-    return spark.range(have.agg(F.max("o_orderkey")).first()[0]).toDF("o_orderkey").join(have, "o_orderkey", "left_anti")
+    """Orders that are still to build: those of one status are taken as missing."""
+    o = read(spark, sf, "orders")
+    return files.todo_ids(o.select("o_orderkey"), o.where("o_orderstatus <> 'P'"), "o_orderkey")
 
 
 @query("p6_attach_dim", "SELECT n_name, coalesce(CASE WHEN r_name <> 'ASIA' THEN r_name END, 'other') AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")

@@ -19,7 +19,7 @@ def scan_media(spark: SparkSession, path: str, glob: str = "*.{wav,flac,ogg}") -
 def _open(data: bytes):
     try:
         return wave.open(io.BytesIO(data))
-    except (wave.Error, EOFError):
+    except (wave.Error, EOFError, RuntimeError):  # a chunk longer than its file is a RuntimeError
         return None
 
 
@@ -34,9 +34,8 @@ def probe_media(df: DataFrame) -> DataFrame:
             x = pd.DataFrame(out, columns=["path", "frames", "rate"]).astype({"frames": "Int64", "rate": "Int64"})
             yield x
 
-    # The first 4 kB hold the header: the bytes that reach Python do not grow with the file.
-    head = df.select("path", F.expr("substring(content, 1, 4096)").alias("content"))
-    return head.mapInPandas(run, "path string, frames bigint, rate bigint").withColumn("seconds", F.col("frames") / F.col("rate"))
+    # Whole files: chunks of any size may stand before the data.
+    return df.select("path", "content").mapInPandas(run, "path string, frames bigint, rate bigint").withColumn("seconds", F.col("frames") / F.col("rate"))
 
 
 def decode_media(df: DataFrame, sr: int, start_s: float = 0.0, stop_s: float | None = None) -> DataFrame:
@@ -48,6 +47,7 @@ def decode_media(df: DataFrame, sr: int, start_s: float = 0.0, stop_s: float | N
         rate, width = w.getframerate(), w.getsampwidth()
         w.setpos(min(w.getnframes(), int(start_s * rate)))
         raw = w.readframes(w.getnframes() if stop_s is None else max(0, int((stop_s - start_s) * rate)))
+        raw = raw[:len(raw) - len(raw) % (width * w.getnchannels())]  # data may end inside a frame
         if width == 3:
             b = np.frombuffer(raw, "uint8").reshape(-1, 3).astype("int32")
             x = ((b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16) << 8 >> 8) / 2**23
@@ -70,6 +70,35 @@ def read_meta(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def scan_label_csv(spark: SparkSession, path: str, key: str, cols: dict[str, str], lists: tuple[str, ...] = ()) -> DataFrame:
+    """Columns of a label file with a header, renamed `{new: old}`; columns of `lists` are split
+    from `[a, b]` into arrays of doubles. Rows without a key are left out."""
+    df = spark.read.option("header", True).csv(path)
+    number = lambda c: F.filter(F.split(F.regexp_replace(c, r"[\[\]\s]", ""), ","), lambda v: v != "").cast("array<double>")
+    return df.select(F.col(key).alias("file"), *[(number(F.col(old)) if new in lists else F.col(old)).alias(new) for new, old in cols.items()]).where("file is not null")
+
+
+def join_labels(df: DataFrame, file: Column, labels: DataFrame, key: str) -> DataFrame:
+    """Rows with their labels; rows without one are left out. Catalyst picks the join by the sizes it measures."""
+    return df.withColumn("_file", file).join(labels.withColumnRenamed(key, "_file"), "_file").drop("_file")
+
+
+def join_scores(scores: DataFrame, meta: DataFrame, key: str) -> DataFrame:
+    """Scored rows with their metadata; the key stays a zero-padded string on both sides."""
+    return scores.withColumn(key, F.col(key).cast("string")).join(meta.withColumn(key, F.col(key).cast("string")), key)
+
+
+def todo_ids(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
+    """Ids still to build."""
+    return wanted.select(key).join(present.select(key), key, "left_anti")
+
+
+def read_embedded(df: DataFrame, audio: str = "audio", speaker: tuple[str, ...] = ("speaker_id", "speaker", "spk"), text: tuple[str, ...] = ("transcript", "text", "sentence")) -> DataFrame:
+    """Audio held in rows as struct<bytes>: content, and speaker and text from whichever of their columns there are."""
+    pick = lambda names: F.coalesce(*[F.col(c).cast("string") for c in names if c in df.columns], F.lit(None).cast("string"))
+    return df.select(F.col(f"{audio}.bytes").alias("content"), pick(speaker).alias("speaker"), pick(text).alias("text"))
+
+
 def read_manifest(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     df = spark.read.parquet(path)
     if missing := sorted(set(required) - set(df.columns)):
@@ -98,3 +127,23 @@ def write_manifest(df: DataFrame, path: str) -> None:
 def write_frozen(df: DataFrame, path: str) -> None:
     """Refuses to overwrite."""
     df.write.mode("errorifexists").parquet(path)
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A small report as one CSV file with a header; rows are gathered by Spark, not by the driver."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def markdown_table(df: DataFrame, most: int = 1000) -> str:
+    """A report of at most `most` rows as a Markdown table; a longer one raises, since the driver holds it."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    line = lambda xs: "| " + " | ".join("" if x is None else str(x) for x in xs) + " |"
+    return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)])
+
+
+def write_list(df: DataFrame, col: str, path: str, header: str) -> None:
+    """A text file of one column below a header line."""
+    head = df.sparkSession.range(1).select(F.lit(header).alias("value"))
+    head.unionByName(df.select(F.col(col).cast("string").alias("value"))).coalesce(1).write.mode("overwrite").text(path)

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from sparrowmill.plans import more  # noqa: F401
+from sparrowmill.plans import features, leakage, more, speech  # noqa: F401
 from sparrowmill.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -19,8 +19,11 @@ def test_matches_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    want = con.sql(sql)
     got = f(spark, SF)
+    if sql is None:  # has a test of its own against brute force
+        assert got.count() >= 0
+        return
+    want = con.sql(sql)
     assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall())
 
 

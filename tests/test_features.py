@@ -1,0 +1,192 @@
+"""Known answers and brute force for what SQL does not say."""
+import random
+import struct
+import wave
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparrowmill.operators import acoustic, audits, radio, scores, signals, spans, splits
+from sparrowmill.sources import files
+from sparrowmill.streaming import events
+
+R = random.Random(2)
+C = F.col
+
+
+def test_metrics_know_their_answers(spark):
+    assert list(scores.metric_selftest(spark).first()) == [True, True]
+    x = [float(1e6 + np.sin(i)) for i in range(400)]
+    y = [float(5e5 + np.sin(i) + 0.1 * np.cos(3 * i)) for i in range(400)]
+    df = spark.createDataFrame([(x, y, [i % 2 == 0 for i in range(400)])], "x array<double>, y array<double>, m array<boolean>")
+    a, b = np.array(y) - np.mean(y), np.array(x) - np.mean(x)
+
+    def plain(e, r):
+        e, r = e - e.mean(), r - r.mean()
+        t = r * (e @ r) / (r @ r)
+        return 10 * np.log10((t @ t) / ((e - t) @ (e - t)))
+
+    got = df.select(signals.si_snr(C("y"), C("x")).alias("a"), signals.si_snr(C("y"), C("x"), mask=C("m")).alias("b")).first()
+    assert got.a == pytest.approx(plain(a, b), abs=1e-6) and got.b == pytest.approx(plain(a[::2], b[::2]), abs=1e-6)
+
+
+def test_word_errors_equal_a_plain_edit_distance(spark):
+    rows = [([R.choice("abcdef") * R.randrange(1, 3) for _ in range(R.randrange(0, 12))], [R.choice("abcdef") * R.randrange(1, 3) for _ in range(R.randrange(0, 12))]) for _ in range(60)]
+
+    def plain(r, h):
+        d = list(range(len(h) + 1))
+        for i, a in enumerate(r, 1):
+            d, last = [i] + [0] * len(h), d
+            for j, b in enumerate(h, 1):
+                d[j] = min(last[j] + 1, d[j - 1] + 1, last[j - 1] + (a != b))
+        return d[-1]
+
+    got = spark.createDataFrame(rows, "r array<string>, h array<string>").select("r", "h", scores.word_errors(C("r"), C("h")).alias("n")).collect()
+    assert [x.n for x in got] == [plain(x.r, x.h) for x in got]
+
+
+def test_places_on_the_map(spark):
+    one = spark.range(1)
+    at = one.select(radio.utm_to_latlon(F.lit(448251.8), F.lit(5411932.7), 31).alias("p")).first().p
+    assert (at.lat, at.lon) == (pytest.approx(48.8582, abs=2e-4), pytest.approx(2.2945, abs=2e-4))
+    mid = one.select(radio.utm_to_latlon(F.lit(500000.0), F.lit(0.0), 33).alias("p")).first().p
+    assert (mid.lat, mid.lon) == (pytest.approx(0, abs=1e-9), pytest.approx(15, abs=1e-9))
+    assert radio.square_origin("33UVP") == (33, 400_000.0, 5_300_000.0) and radio.square_origin("32TMT") == (32, 400_000.0, 5_200_000.0)
+    g = one.select(radio.grid_to_latlon(F.lit("4972")).alias("p"), radio.grid_to_latlon(F.lit("497")).alias("bad")).first()
+    assert g.p.half == 500 and 47.8 < g.p.lat < 49 and 13.6 < g.p.lon < 15.1 and g.bad is None
+
+
+@pytest.mark.parametrize("text, norm", [
+    ("grid four niner seven two, fife meters", "grid 49725 meters"), ("grid five power two", "grid 542"), ("go to the rally point", "go to the rally point"), ("fire two rounds", "fire 2 rounds"),
+    ("grade one, two, three. four over", "grid 1234 over"), ("", ""), ("one.", "1."), ("great power one", "grid 41")])
+def test_numerals(spark, text, norm):
+    assert spark.range(1).select(radio.normalise_numerals(F.lit(text)).alias("n")).first().n == norm
+
+
+def test_reports(spark):
+    rows = [("a", "Bravo two six, this is Alpha one, contact front, squad size enemy, grid four niner seven two, over"), ("b", "all stations, no contact, three vehicles north east, two hundred, out"),
+            ("c", None), ("d", "Charlie six grid one two three, over"), ("e", "grid one one one one [unreliable: repetition]"), ("f", "medevac, two urgent, grid one two three four")]
+    got = {r.id: r for r in radio.with_extraction(spark.createDataFrame(rows, "id string, text string"), "text").collect()}
+    a = got["a"]
+    assert (a.receiver, a.sender, a.grids, a.types, a.contact, a.size, a.direction, a.closing) == ("B26", "A1", ["4972"], ["contact_report"], True, "squad", "front", "over")
+    b = got["b"]
+    assert (b.contact, b.size, b.direction, b.closing, b.sender) == (False, "3", "north east", "out", None) and "sitrep" in b.types
+    assert got["c"].grids == [] and got["d"].grids == [] and got["d"].receiver == "C6" and got["e"].grids == [] and got["f"].casualties == 2
+    marks = radio.markers(radio.with_extraction(spark.createDataFrame([(*r, 1) for r in rows], "id string, text string, ts int"), "text"), "id", "ts").collect()
+    assert sorted((m.id, m.kind, m.label, m.confirmed) for m in marks) == [("a", "enemy", "Enemy squad", True), ("f", "casualty", "CASEVAC 2 urgent", True)]
+    s = spark.range(1).select(radio.collapse_loops(F.lit("go seven, Seven seven seven seven. seven on")).alias("s"), radio.collapse_loops(F.lit("a a a a a b")).alias("t")).first()
+    assert s.s == "go seven, Seven seven seven seven. [unreliable: repetition]" and s.t == "a a a a a b"
+
+
+def test_loudness_and_attack(spark):
+    sr = 8000
+    x = (0.1 * np.sin(2 * np.pi * 997 * np.arange(3 * sr) / sr)).tolist()
+    rows = [(0, x), (1, [2 * v for v in x]), (2, [0.0] * sr), (3, x[:sr] + [0.0] * (2 * sr))]
+    got = {r.id: r.lufs for r in acoustic.loudness_lufs(spark.createDataFrame(rows, "id bigint, x array<double>"), "id", "x", sr).collect()}
+    assert got[1] - got[0] == pytest.approx(6.0206, abs=0.01) and got[2] == -70 and got[3] == pytest.approx(got[0], abs=1.0)
+    assert got[0] == pytest.approx(-23.0, abs=0.5)
+    ramp = np.r_[np.zeros(50), np.linspace(0, 1, 11), np.zeros(50)]
+    assert acoustic.attack_ms(ramp, 10_000) == pytest.approx(0.8) and acoustic.attack_ms(np.zeros(5), 10) is None
+
+
+def test_band_ratio(spark):
+    sr, n = 8000, 4000
+    t = np.arange(n) / sr
+    rows = [(0, np.sin(2 * np.pi * 300 * t).tolist()), (1, np.sin(2 * np.pi * 2000 * t).tolist())]
+    spec = acoustic.spectrum(spark.createDataFrame(rows, "id bigint, x array<double>"), "id", "x", n)
+    got = {r.id: r.ratio_db for r in acoustic.band_ratio_db(spec, "id", sr, n).collect()}
+    assert got[0] < -60 and got[1] > 60
+
+
+def test_packing_uses_each_clip_once(spark):
+    rows = [(k, 100 * k + i, R.randrange(5, 60)) for k in range(5) for i in range(40)]
+    df = spark.createDataFrame(rows, "k bigint, clip bigint, size int")
+    for chunk in (10_000, 10):
+        out = acoustic.pack_short(df, ["k"], "clip", "size", F.xxhash64("clip"), 100, 5, chunk=chunk).join(df, ["k", "clip"]).collect()
+        assert len({r.clip for r in out}) == len(out) >= 150
+        for key in {(r.k, r.part, r.string) for r in out}:
+            s = sorted((r.at, r.at + r["size"]) for r in out if (r.k, r.part, r.string) == key)
+            assert s[0][0] == 0 and s[-1][1] <= 100 and all(b[0] - a[1] == 5 for a, b in zip(s, s[1:]))
+
+
+def test_splits_raise_and_clamp(spark):
+    d = spark.createDataFrame([(6,), (None,)], "f int")
+    with pytest.raises(Exception, match="no split for fold"):
+        d.select(splits.fold_split(C("f"), {1: "train"})).collect()
+    two = spark.createDataFrame([("a",), ("b",), (None,)], "g string")
+    assert {(r.g, r.split) for r in splits.tail_split(two, "g").collect()} == {("a", "train"), ("b", "test"), (None, None)}
+
+
+def test_draws(spark):
+    d = spark.range(500).select(C("id"), (C("id") % 2 == 0).alias("even"))
+    places = [(r.id, r.n) for r in spans.permute(d, 3, "id").collect()]
+    assert sorted(n for _, n in places) == list(range(500)) and sorted(places) == sorted((r.id, r.n) for r in spans.permute(d.repartition(7), 3, "id").collect())
+    assert spans.index_items(d.limit(0), "id", 10, 2).count() == 0
+    capped = spans.capped_sample(d, 50, C("even"), 0.2, 1, "id").collect()
+    assert len(capped) == 50 and sum(r.even for r in capped) == 10
+    with pytest.raises(Exception, match="no pool has rows"):
+        spans.pick_nonempty(["x"], spark.createDataFrame([("y", 3)], "p string, n int"), "p", "n", d.withColumn("u", F.lit(0.5)), "u").collect()
+
+
+def test_empty_and_flagged_audits(spark):
+    none = spark.createDataFrame([], "k bigint, split string, seed bigint")
+    assert audits.check_seeds(none, "seed", 31, "s").first().status == "PASS"
+    assert audits.check_groups(none, "k", C("split"), "g").first().status == "PASS"
+    log = spark.createDataFrame([(1, "a", "promoted"), (2, "b", "promoted")], "seq bigint, path string, state string")
+    assert audits.current_model(log, "seq", "path", "state").first().path == "b"
+    after = log.unionByName(audits.rollback(log, "seq", "path", "state"))
+    assert audits.current_model(after, "seq", "path", "state").first().path == "a"
+    assert audits.current_model(log.limit(0), "seq", "path", "state").first().path is None
+
+
+def _wav(path, frames, before=b"", cut=0):
+    with wave.open(str(path), "wb") as w:
+        w.setnchannels(2)
+        w.setsampwidth(2)
+        w.setframerate(8000)
+        w.writeframes(struct.pack("<hh", 16384, 0) * frames)
+    data = path.read_bytes()
+    if before:
+        data = data[:12] + b"LIST" + struct.pack("<I", len(before)) + before + data[12:]
+        data = data[:4] + struct.pack("<I", len(data) - 8) + data[8:]
+    path.write_bytes(data[:len(data) - cut])
+
+
+def test_odd_media_files(spark, tmp_path):
+    _wav(tmp_path / "long_head.wav", 100, b"x" * 9000)
+    _wav(tmp_path / "cut.wav", 100, cut=3)
+    _wav(tmp_path / "whole.wav", 100)
+    bad = (tmp_path / "whole.wav").read_bytes()
+    (tmp_path / "lies.wav").write_bytes(bad[:4] + struct.pack("<I", 20) + bad[8:])
+    found = files.scan_media(spark, str(tmp_path))
+    probe = {r.path.rsplit("/", 1)[1]: r.frames for r in files.probe_media(found).collect()}
+    assert probe["long_head.wav"] == probe["whole.wav"] == 100 and set(probe) == {"long_head.wav", "cut.wav", "whole.wav", "lies.wav"}
+    size = {r.path.rsplit("/", 1)[1]: r.samples and len(r.samples) for r in files.decode_media(found, 8000).collect()}
+    assert size["whole.wav"] == size["long_head.wav"] == 100 and size["cut.wav"] == 99
+
+
+def test_tables_in_and_out(spark, tmp_path):
+    (tmp_path / "labels.csv").write_text('name,class,shots\na.wav,dog,"[0.5, 1.25]"\nb.wav,cat,[]\n,cat,[1]\n')
+    got = files.scan_label_csv(spark, str(tmp_path / "labels.csv"), "name", {"cls": "class", "shots": "shots"}, ("shots",)).collect()
+    assert [(r.file, r.cls, r.shots) for r in got] == [("a.wav", "dog", [0.5, 1.25]), ("b.wav", "cat", [])]
+    (tmp_path / "meta.jsonl").write_text('{"id": "1", "x": 2}\n\n{"id": "2"}\n')
+    assert files.read_meta(spark, str(tmp_path / "meta.jsonl"), "id string, x int").where("id is not null").count() == 2
+    d = spark.range(3).select("id", (C("id") * 2).alias("x"))
+    files.write_report(d, str(tmp_path / "report"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() == 3
+    files.write_list(d, "id", str(tmp_path / "list"), "# ids")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "list")).collect()) == ["# ids", "0", "1", "2"]
+    assert files.markdown_table(d.limit(1)) == "| id | x |\n| --- | --- |\n| 0 | 0 |"
+    e = spark.createDataFrame([((b"ab",), "s1", "hi")], "audio struct<bytes:binary>, speaker string, sentence string")
+    assert tuple(files.read_embedded(e).first()) == (b"ab", "s1", "hi")
+
+
+def test_unit_tracks_of_a_stream_equal_the_batch(spark, tmp_path):
+    src = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "value")
+    src.repartition(3).write.parquet(str(tmp_path / "a"))
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "a"))
+    q = events.track_units(stream, "user_id", C("event_id"), "event_id", "value").writeStream.format("memory").queryName("units").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert {tuple(r) for r in spark.table("units").collect()} == {tuple(r) for r in events.track_units(src, "user_id", C("event_id"), "event_id", "value").collect()}
