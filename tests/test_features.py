@@ -190,3 +190,17 @@ def test_unit_tracks_of_a_stream_equal_the_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {tuple(r) for r in spark.table("units").collect()} == {tuple(r) for r in events.track_units(src, "user_id", C("event_id"), "event_id", "value").collect()}
+
+
+def test_intelligibility_and_voice(spark):
+    rng = np.random.default_rng(0)
+    sr = 10_000
+    t = np.arange(2 * sr) / sr
+    voice = sum(np.sin(2 * np.pi * 120 * k * t) / k for k in range(1, 20)) * (0.2 + np.abs(np.sin(2 * np.pi * 2 * t)))
+    noise = rng.normal(size=len(t))
+    rows = [(0, voice, voice), (1, voice, voice + 0.3 * noise), (2, voice, voice + 3 * noise), (3, voice[:500], voice[:500]), (4, noise, noise)]
+    df = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, a, b in rows], "id bigint, a array<double>, b array<double>")
+    s = {r.id: r.stoi for r in acoustic.with_stoi(df, "a", "b", sr).collect()}
+    assert s[0] == pytest.approx(1, abs=1e-6) and s[0] > s[1] > s[2] and s[3] is None
+    v = {r.id: r.has_voice for r in acoustic.voice_screen(df, "a", sr).collect()}
+    assert v[0] and not v[4]
