@@ -74,12 +74,30 @@ def whole_texts(files: DataFrame, texts) -> DataFrame:
         "h", F.struct((-F.col("m.col1")).alias("cosine"), F.col("m.id").alias("id")).alias("whole"))
 
 
+def key_words(terms: list[list[str]], idf2: dict[str, float], min_cosine: float) -> list[str]:
+    """The fewest rarest words without which no unit can reach the cosine. If a unit has no key
+    word, its product with a template is at most the sum of the squared weights of the words they
+    share, and its norm is at least the root of that sum; so its cosine is at most the root of the
+    share that the other words have of the template's squared norm."""
+    left = {k: sum(idf2[w] for w in ws) for k, ws in enumerate(terms)}
+    most = {k: (min_cosine - 1e-9) ** 2 * v for k, v in left.items()}
+    keys = []
+    for w in sorted(idf2, key=lambda w: (-idf2[w], w)):
+        if all(left[k] < most[k] for k in left):
+            break
+        keys.append(w)
+        for k, ws in enumerate(terms):
+            left[k] -= idf2[w] * (w in ws)
+    return keys
+
+
 def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: float = MIN_COSINE, texts=TEXTS) -> DataFrame:
     """Per row of `files` (file_id, path, text): file_id, path, own, cosine, licence, inherited_from.
 
     Null or empty text matches nothing; a null path inherits nothing; equal cosines go to the
     first id in order; of several licence files in a directory the best match, then the first
-    id, counts; repeated rows are reported each; extra columns are ignored."""
+    id, counts; repeated rows are reported each; extra columns are ignored. `cosine` is that of the
+    best unit with a key word or of the whole licence file, 0 where there is none."""
     terms = [sorted(set(re.findall(_WORD, t.lower()))) for _, t in templates]
     vocab = sorted({w for ws in terms for w in ws})
     files = files.select("file_id", "path", "text")
@@ -105,8 +123,10 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
 
     text = F.coalesce("text", F.lit(""))
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, PARAGRAPH), F.split(text, SENTENCE)))
-    # A unit without any word of the templates has cosine zero.
-    parsed = F.transform(F.filter(F.transform(units, parse), lambda x: F.size(x["known"]) > 0), normed)
+    # Only units with a key word can match, so no other text is cut up.
+    key = r"(?i)(?<![a-z0-9])(?:" + "|".join(key_words(terms, idf2, min_cosine)) + r")(?![a-z0-9])"
+    parsed = F.transform(F.transform(F.filter(units, lambda u: u.rlike(key)), parse), normed)
+    parsed = F.when(text.rlike(key), parsed).otherwise(F.array().cast("array<struct<known:array<string>,norm:double>>"))
     ids = sorted({i for i, _ in [*templates, *texts]})
     tag = F.regexp_replace(F.lower(F.regexp_extract("text", SPDX, 1)), r"(-only|-or-later|\.)$", "")
     tag = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i in ids for x in (i.lower(), i)]), tag), F.lit(None).cast("string"))
