@@ -19,6 +19,7 @@ joined to it in place, so text is shuffled once.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 
@@ -45,35 +46,50 @@ def digest(data: bytes) -> bytes:
 
 class Windows:
     """A document's 100-byte windows: `whole` (hash of each), `first`, `count` and `v` (first
-    window, number of windows and minimiser of each piece)."""
+    window, number of windows and minimiser of each piece), made when they are asked for."""
 
     def __init__(self, data: bytes):
-        self.data = data
-        n = len(data) - LENGTH + 1
-        if n <= 0:
-            self.whole = self.first = self.count = self.v = np.empty(0, "int64")
-            return
-        up, down = powers(len(data) + 1)
-        sums = np.empty(len(data) + 1, "uint64")
+        self.data, self.n = data, max(0, len(data) - LENGTH + 1)
+
+    @functools.cached_property
+    def _sums(self) -> np.ndarray:
+        up, _ = powers(len(self.data) + 1)
+        sums = np.empty(len(self.data) + 1, "uint64")
         sums[0] = 0
-        np.cumsum((np.frombuffer(data, "uint8") + np.uint64(1)) * up[:-1], out=sums[1:])
-        low = mix((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
-        self.whole = (sums[LENGTH:] - sums[:-LENGTH]) * down[:n]
+        np.cumsum((np.frombuffer(self.data, "uint8") + np.uint64(1)) * up[:-1], out=sums[1:])
+        return sums
+
+    def _hashes(self, size: int) -> np.ndarray:
+        _, down = powers(len(self.data) + 1)
+        return (self._sums[size:] - self._sums[:-size]) * down[:len(self.data) - size + 1]
+
+    @functools.cached_property
+    def whole(self) -> np.ndarray:
+        return self._hashes(LENGTH) if self.n else np.empty(0, "uint64")
+
+    @functools.cached_property
+    def _runs(self):
+        if not self.n:
+            return (np.empty(0, "int64"),) * 3
+        low = mix(self._hashes(GRAM))
         grams, k, span = low, 1, LENGTH - GRAM + 1
         while 2 * k <= span:
             grams, k = np.minimum(grams[:-k], grams[k:]), 2 * k
-        least = np.minimum(grams[:n], grams[span - k:span - k + n])
-        self.first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        self.count = np.diff(np.r_[self.first, n])
-        self.v = least[self.first].view("int64")
+        least = np.minimum(grams[:self.n], grams[span - k:span - k + self.n])
+        first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+        return first, np.diff(np.r_[first, self.n]), least[first].view("int64")
+
+    first = property(lambda self: self._runs[0])
+    count = property(lambda self: self._runs[1])
+    v = property(lambda self: self._runs[2])
 
     def piece(self, i: int) -> bytes:
         return self.data[self.first[i]:self.first[i] + self.count[i] + LENGTH - 1]
 
     def later_inside(self) -> np.ndarray:
         """Windows that start earlier in the document too: found by hash, then compared byte by byte."""
-        later = np.zeros(len(self.whole), bool)
-        if not len(self.whole):
+        later, ordered = np.zeros(self.n, bool), np.sort(self.whole)
+        if not (ordered[1:] == ordered[:-1]).any():
             return later
         _, first, back = np.unique(self.whole, return_index=True, return_inverse=True)
         at = np.flatnonzero(first[back] != np.arange(len(back)))
@@ -92,22 +108,35 @@ class Windows:
 
 def shard_transform(strings: list[bytes]) -> np.ndarray:
     """Burrows-Wheeler transform of strings with one terminator each (0; byte b is b + 1,
-    UTF-8 has no 255). Row i below len(strings) is the terminator of string i."""
+    UTF-8 has no 255). Row i below len(strings) is the terminator of string i.
+
+    Suffixes are ranked by their first byte and then by twice as many bytes a round; only those
+    that still share their rank are sorted again."""
     m = len(strings)
-    text = np.concatenate([np.r_[np.frombuffer(s, "uint8") + np.uint8(1), np.uint8(0)] for s in strings]).astype("uint8")
+    raw = np.frombuffer(b"\xff".join(strings) + b"\xff", "uint8")
+    text = raw + np.uint8(1)  # the mark between strings wraps to 0
     n, k = len(text), 1
-    rank = text.astype("int64") + m
-    rank[text == 0] = np.arange(m)
-    while True:
-        key = rank * (n + m + 300) + np.r_[rank[k:], np.zeros(min(k, n), "int64")][:n]
-        order = np.argsort(key)
-        sorted_ = key[order]
-        new = np.cumsum(np.r_[0, sorted_[1:] != sorted_[:-1]])
-        rank = np.empty(n, "int64")
-        rank[order] = new
-        if new[-1] == n - 1:
-            return text[order - 1]
+    order = np.argsort(text, kind="stable")  # equal terminators stay in the order of their strings
+    cut = np.r_[True, text[order][1:] != text[order][:-1]]
+    cut[:m] = True
+    rank = np.empty(n + 1, "int64")
+    rank[order] = np.maximum.accumulate(np.where(cut, np.arange(n), 0))
+    rank[n] = -1
+    open_ = order[~(cut & np.r_[cut[1:], True])]
+    while len(open_):
+        key = rank[open_] * (n + 1) + rank[np.minimum(open_ + k, n)] + 1
+        by = np.argsort(key)
+        open_, key = open_[by], key[by]
+        old = rank[open_]
+        at = np.arange(len(open_))
+        group = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
+        cut = np.r_[True, key[1:] != key[:-1]]
+        rank[open_] = old + np.maximum.accumulate(np.where(cut, at, 0)) - group
+        open_ = open_[~(cut & np.r_[cut[1:], True])]
         k *= 2
+    place = np.empty(n, "int64")
+    place[rank[:n]] = np.arange(n)
+    return text[place - 1]
 
 
 def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +149,8 @@ def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> tuple[np.
     in its block is alone too, so such rows are settled and set aside."""
     flat = np.concatenate(shards)
     back = np.concatenate([_before(s) for s in shards]) + np.repeat(np.cumsum([0, *map(len, shards[:-1])]), [len(s) for s in shards])
-    rows, block = np.arange(len(flat)), np.zeros(len(flat), "int32")
+    back = back.astype("int32")  # a bucket has far fewer bytes
+    rows, block = np.arange(len(flat), dtype="int32"), np.zeros(len(flat), "int32")
     for _ in range(depth):
         symbol = flat[rows]
         order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0):]
@@ -318,7 +348,7 @@ def _cut(batches):
         out = []
         for i, w in _each(b):
             bad = w.later_inside()
-            if gone[i] or hs[i]:
+            if gone[i] or hs[i]:  # minimisers are computed for these texts alone
                 offs: dict[bytes, list] = {}
                 for g in gone[i] or []:
                     offs.setdefault(g["pk"], []).append(g["offs"])
