@@ -136,3 +136,20 @@ def derive_label(cls: Column, far: Column, automatic: Column) -> Column:
 def import_by_class(df: DataFrame, folder: str, classes: dict[str, str], never: list[str]) -> DataFrame:
     """Adds `cls`; folders without a class and those never to be imported are left out."""
     return df.withColumn("cls", lookup(F.col(folder), classes)).where(F.col("cls").isNotNull() & ~F.col(folder).isin(never))
+
+
+def attach_dim(df: DataFrame, dim: DataFrame, key: str, value: str, default: str) -> DataFrame:
+    """Adds a dimension's value, or the default where the dimension lacks the key. Catalyst picks the join by the sizes it measures."""
+    return df.join(dim.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def audited_only(df: DataFrame, audit: DataFrame, key: str, ok: Column) -> DataFrame:
+    """Rows that pass the audit or were never audited."""
+    return df.join(audit.select(key, ok.alias("_ok")), key, "left").where(F.coalesce("_ok", F.lit(True))).drop("_ok")
+
+
+def join_all(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One-to-one join: a key of `a` that `b` lacks raises when the row is computed."""
+    both = a.join(b.withColumn("_hit", F.lit(True)), key, "left")
+    missing = F.raise_error(F.concat(F.lit("no row for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")
+    return both.where(F.when(F.col("_hit").isNull(), missing).otherwise(True)).drop("_hit")

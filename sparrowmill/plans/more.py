@@ -51,6 +51,21 @@ simple("l5_latest_partial", "SELECT user_id, arg_max(event_type, ts) AS event_ty
     lambda d: events.latest_partial(d, "user_id", "event_type", F.struct("ts", "event_id")))
 
 
+_U2 = "(('0x' || substr(sha256(concat_ws(':', '7', CAST(o_orderkey AS VARCHAR), 'second')), 1, 8))::BIGINT / 4294967296.0)"
+
+
+@simple("d2_more_dists", f"""SELECT o_orderkey, 4.0::DOUBLE AS constant, exp(ln(0.5) + u * (ln(8.0) - ln(0.5))) AS loguni, 3 + 2 * sqrt(-2 * ln(1 - u)) * cos(2 * 3.141592653589793 * u2) AS normal
+  FROM (SELECT o_orderkey, {U} AS u, {_U2} AS u2 FROM orders)""", "orders")
+def d2_more(d):
+    u, u2 = (keyed.keyed_u(7, C("o_orderkey"), s) for s in ("snr", "second"))
+    return d.select("o_orderkey", keyed.sample_dist("constant", u, value=4).alias("constant"), keyed.sample_dist("loguniform", u, low=0.5, high=8).alias("loguni"), keyed.sample_dist("normal", u, mean=3, std=2, u2=u2).alias("normal"))
+
+
+simple("l1_closed_segments", f"""SELECT user_id, epoch_us(min(ts)) AS start, epoch_us(max(ts)) AS stop, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s
+  FROM (SELECT *, CASE WHEN {SEC} - lag({SEC}) OVER w < 7200 AND lag(event_type) OVER w <> 'purchase' THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))) GROUP BY user_id, s HAVING (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 >= 600""", "events")(
+    lambda d: events.closed_segments(d.select("user_id", "event_id", "event_type", C("ts").cast("timestamp").alias("ts")), "user_id", "ts", ["event_id"], 7200, C("event_type") == "purchase", 600).select("user_id", F.unix_micros("start").alias("start"), F.unix_micros("stop").alias("stop"), "n"))
+
+
 @query("p9_validate_rows", """SELECT doc_id, array_to_string(list_filter([CASE WHEN lang = 'en' AND quality IS NULL THEN 'untested' END, CASE WHEN toxic = 1 THEN 'flagged' END], lambda v: v IS NOT NULL), ',') AS bad
   FROM documents LEFT JOIN labels USING (doc_id)""")
 def p9(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import keyed
-from sparrowmill.operators import aggs, audits, signals, text
+from sparrowmill.operators import aggs, audits, filters, signals, text
 from sparrowmill.sources import files
 
 QUERIES: dict = {}
@@ -132,7 +132,7 @@ def q9(spark, sf):
 
 @query("p15_audited_only", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(quality, 1) = 1")
 def p15(spark, sf):
-    return read(spark, sf, "documents").select("doc_id").join(read(spark, sf, "labels"), "doc_id", "left").where(F.coalesce("quality", F.lit(1)) == 1).select("doc_id")
+    return filters.audited_only(read(spark, sf, "documents").select("doc_id"), read(spark, sf, "labels"), "doc_id", F.col("quality") == 1)
 
 
 @query("s12_todo_ids", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
@@ -144,9 +144,14 @@ def s12(spark, sf):
 
 @query("p6_attach_dim", "SELECT n_name, coalesce(CASE WHEN r_name <> 'ASIA' THEN r_name END, 'other') AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 def p6(spark, sf):
-    dim = read(spark, sf, "region").where("r_name <> 'ASIA'")
-    n = read(spark, sf, "nation")
-    return n.join(dim, n.n_regionkey == dim.r_regionkey, "left").select("n_name", F.coalesce("r_name", F.lit("other")).alias("region"))
+    dim = read(spark, sf, "region").where("r_name <> 'ASIA'").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    return filters.attach_dim(read(spark, sf, "nation"), dim, "n_regionkey", "region", "other").select("n_name", "region")
+
+
+@query("j1_join_all", "SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def j1(spark, sf):
+    o = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    return filters.join_all(read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), o, "l_orderkey")
 
 
 _D = "list_transform(embedding, lambda v: v::DOUBLE)"

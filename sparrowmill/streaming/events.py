@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparrowmill.operators import acoustic
+from sparrowmill.sources import files
+
 
 def segments(df: DataFrame, key: str, ts: str, gap: str, late: str = "10 minutes") -> DataFrame:
     """Segments of activity closed by a gap: key, start, stop (last row), n."""
@@ -33,3 +36,21 @@ def with_latency(df: DataFrame, stages: list[str]) -> DataFrame:
     for a, b in zip(stages, stages[1:]):
         df = df.withColumn(f"{b}_s", (t[b] - t[a]) / 1e6)
     return df.withColumn("total_s", (t[stages[-1]] - t[stages[0]]) / 1e6)
+
+
+def closed_segments(df: DataFrame, key: str, ts: str, order: list, gap_s: float, closing: Column, least_s: float) -> DataFrame:
+    """Segments of a batch that end by a gap or by a closing word: key, start, stop, n. Segments shorter than `least_s` are dropped."""
+    t = F.unix_micros(F.col(ts)) / 1e6
+    w = Window.partitionBy(key).orderBy(ts, *order)
+    fresh = F.coalesce(((t - F.lag(t).over(w)) >= gap_s) | F.lag(closing).over(w), F.lit(True))
+    d = df.withColumn("_s", F.sum(fresh.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = d.groupBy(key, "_s").agg(F.min(ts).alias("start"), F.max(ts).alias("stop"), F.count(F.lit(1)).alias("n"))
+    return out.where((F.unix_micros("stop") - F.unix_micros("start")) / 1e6 >= least_s).drop("_s")
+
+
+def harvest_folder(spark: SparkSession, folder: str, sr: int, seconds: float = 6.0, frame: int = 320) -> DataFrame:
+    """Stream of the segments of the WAV files that a folder grows by: path, segment, samples, kind (speech or noise)."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    found = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.wav").load(folder)
+    x = files.decode_media(found, sr).where("samples is not null").withColumn("samples", F.col("samples").cast("array<double>"))
+    return acoustic.harvest(x.withColumnRenamed("samples", "x"), "path", "x", int(seconds * sr), frame)

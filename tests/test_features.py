@@ -204,3 +204,32 @@ def test_intelligibility_and_voice(spark):
     assert s[0] == pytest.approx(1, abs=1e-6) and s[0] > s[1] > s[2] and s[3] is None
     v = {r.id: r.has_voice for r in acoustic.voice_screen(df, "a", sr).collect()}
     assert v[0] and not v[4]
+
+
+def test_a_growing_folder_is_harvested(spark, tmp_path):
+    _wav(tmp_path / "a.wav", 8000)
+    q = events.harvest_folder(spark, str(tmp_path), 8000, 0.5, 80).select("segment", "kind", F.size("samples").alias("n")).writeStream.format("memory").queryName("harvest").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    _wav(tmp_path / "b.wav", 4000)
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(tuple(r) for r in spark.table("harvest").collect()) == [(0, "speech", 4000), (0, "speech", 4000), (1, "speech", 4000)]
+
+
+def test_markers_of_a_stream_equal_the_batch(spark, tmp_path):
+    src = spark.createDataFrame([(str(i), f"Charlie six, this is Alpha one, grid {w}, over", i) for i, w in enumerate(["one two three four", "one two", "fife fife six six seven ait"])], "id string, text string, ts int")
+    src.write.parquet(str(tmp_path / "a"))
+    make = lambda d: radio.markers(radio.with_extraction(d, "text"), "id", "ts")
+    q = make(spark.readStream.schema(src.schema).parquet(str(tmp_path / "a"))).writeStream.format("memory").queryName("marks").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(map(str, spark.table("marks").collect())) == sorted(map(str, make(src).collect())) and spark.table("marks").count() == 2
+
+
+def test_a_missing_row_raises(spark):
+    from sparrowmill.operators import filters
+
+    a, b = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "x")], "k int, v string")
+    assert filters.join_all(a.where("k = 1"), b, "k").count() == 1
+    with pytest.raises(Exception, match="no row for 2"):
+        filters.join_all(a, b, "k").collect()
