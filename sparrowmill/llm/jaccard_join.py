@@ -31,7 +31,6 @@ MARGIN = 0.16
 BLOCK, BLOCK_BYTES = 2048, 8 << 20
 #: Signatures that a worker remembers, so that copies are not signed again.
 MEMO = 20_000
-NAMES = ("node", "n_words", "sig")
 
 
 def meets(similarity, depth: int, trees: int = TREES):
