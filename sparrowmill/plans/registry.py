@@ -94,7 +94,7 @@ simple("a12_top_k_values", """SELECT * FROM (SELECT lang, source, count(*) AS n,
   FROM documents GROUP BY lang, source) WHERE rank <= 6""", "documents")(lambda d: aggs.top_k_values(d, "lang", "source", 6))
 simple("a14_micro_ratio", "SELECT l_returnflag, sum(l_discount) / greatest(sum(l_quantity), 1) AS ratio FROM lineitem GROUP BY 1", "lineitem")(lambda d: aggs.micro_ratio(d, "l_discount", "l_quantity", "l_returnflag"))
 simple("a15_threshold_sweep", "SELECT p::DOUBLE AS p, (SELECT count(*) FROM events WHERE value >= p) AS n FROM (VALUES (10), (30), (50)) t(p)", "events")(lambda d: aggs.threshold_sweep(d, "value", [10.0, 30.0, 50.0]))
-simple("w1_number_in", "SELECT doc_id, source || '_' || lpad(CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR), 4, '0') AS name FROM documents", "documents")(
+simple("w1_number_in", "SELECT doc_id, source || '_' || lpad(n, greatest(4, length(n))::INT, '0') AS name FROM (SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR) AS n FROM documents)", "documents")(
     lambda d: aggs.number_in(d, "source", "doc_id").select("doc_id", "name"))
 simple("w2_occurrence", "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS occurrence FROM lineitem", "lineitem")(
     lambda d: aggs.occurrence(d, "l_orderkey", ["l_linenumber"]).select("l_orderkey", "l_linenumber", "occurrence"))
