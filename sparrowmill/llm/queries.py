@@ -16,6 +16,7 @@ OPS = {
     "op8_license_scan": ("license_scan", False),
     "op9_hmm_lm": ("hmm_lm", False),
     "op10_jaccard_join": ("jaccard_join", False),
+    "op11_minhash": ("minhash", True),
 }
 
 
