@@ -5,18 +5,17 @@ each keeps its least value; an empty bin borrows from the first full bin of a pr
 that depends on the bin alone, the same for all sets. `BANDS` groups of bins are buckets.
 
 A bucket proposes no pairs of its members, only edges from a centre to them: a star. Centres
-are the members of least hash, so clusters agree on them over all their buckets. Edges are
-confirmed by exact intersections of the full sets. A bucket whose members do not yet belong to
-one component gives its next round to other centres and compares them with all members outside
-their component; one whose members agree is settled. So no link between bucket mates is lost,
-and copies of one text, however many, cost one edge each.
+are the members of least hash, so clusters agree on them over all their buckets. The parts that
+these edges join are settled in tasks by exact intersections of the full sets, again in stars:
+a node is compared with all nodes of its part that share a shingle, and only nodes outside the
+part's largest component become a next centre. So every pair of bucket mates is linked, or in
+one component, or compared; near copies of one text cost one star and not their square.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,8 +31,8 @@ BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
 #: Sets that are hashed at once, and sets that a worker remembers so that copies are not hashed again.
 SLICE, MEMO = 2048, 50_000
-#: Centres that a bucket tries in a round, after one in the first.
-CENTRES = 16
+#: Bounds of a task: nodes and shingles of a block.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -122,51 +121,97 @@ def _full_sets(n_words: int):
     return run
 
 
-def star_round(named: DataFrame, centres: int, total: int, percent: int):
-    """One round. `named`: key, id, n, label, one row per node of a bucket. Returns None when the
-    members of every bucket agree, else (pairs, rest): edges a < b with their labels from the
-    centres to the members outside their component that are large enough, with the member's id
-    and the number of buckets in which it meets the centre; and the members that go on."""
-    one = F.struct("id", "n", "label")
-    best = [F.min_by(one, F.xxhash64("id", F.lit(seed))) for seed in range(centres)]
-    stars = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("_w"), F.array_distinct(F.array(*best)).alias("stars"))
-    stars = materialise(stars.where("lo <> hi").select("key", "_w", "stars"), "stars")
-    if stars.isEmpty():
-        return None
-    met = materialise(skew_join(named, stars, ["key"], "_w", "id", total), "met")
-    rest = met.where(~F.exists("stars", lambda s: s.id == F.col("id"))).select("key", "id", "n")
-    edge = met.select("id", "n", "label", F.explode("stars").alias("s")).where(
-        (F.col("label") != F.col("s.label")) & (100 * F.least("n", "s.n") >= percent * F.greatest("n", "s.n")))
-    ends = [F.struct("id", "label"), F.struct("s.id", "s.label")]
-    pairs = edge.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"), F.col("id").alias("m"))
-    pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.min("m").alias("m"))
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.label").alias("la"), F.col("y.label").alias("lb"), "shared", "m"), rest
-
-
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union, as their labels. `sets`
-    has one row per id; a centre of many edges is a skewed join, which adaptive execution splits."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    common, both = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-    sized = pairs.select("a", "b", "la", "lb").join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("la", "lb", common.alias("c"), both.alias("t"))
-    return sized.where(100 * F.col("c") >= percent * (F.col("t") - F.col("c"))).select("la", "lb").distinct()
-
-
-def _relabel(labels: DataFrame | None, found: DataFrame, total: int) -> DataFrame:
-    """Labels after the parts named la and lb are joined."""
-    edges = found.select(F.col("la").alias("id"), F.col("la").alias("grp")).unionByName(found.select(F.col("lb").alias("id"), F.col("la").alias("grp")))
-    parts = components(edges, total)
-    if labels is None:
-        return parts
-    moved = labels.join(parts.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left").select("id", F.coalesce("to", "label").alias("label"))
-    return materialise(moved.unionByName(parts.join(labels.select("id"), "id", "left_anti")), "relabelled")
-
-
-def _label(df: DataFrame, labels: DataFrame | None, col: str, label: str) -> DataFrame:
-    if labels is None:
-        return df.withColumn(label, F.col(col))
-    return df.join(labels.select(F.col("id").alias(col), F.col("label").alias(label)), col, "left").withColumn(label, F.coalesce(label, col))
+class Stars:
+    """Full sets of the nodes of a task, with the nodes of each shingle that is met more than once."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.size = np.array([len(x) for x in sets], "int64")
+        self.percent = percent
+        row = np.repeat(np.arange(len(sets)), self.size)
+        _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        keep = times[code] > 1
+        row, code = row[keep], code[keep]
+        self.first = np.searchsorted(row, np.arange(len(sets) + 1))
+        self.code, self.times = code, np.where(times > 1, times, 0)
+        self.start = np.r_[0, np.cumsum(self.times)[:-1]]
+        self.nodes = row[np.argsort(code, kind="stable")]
+
+    def linked(self, x: int) -> np.ndarray:
+        """Nodes whose sets are alike enough to that of x, without x."""
+        c = self.code[self.first[x]:self.first[x + 1]]
+        n = self.times[c]
+        at = np.repeat(self.start[c] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        both = np.bincount(self.nodes[at], minlength=len(self.size))
+        out = 100 * both >= self.percent * (self.size[x] + self.size - both)
+        out[x] = False
+        return np.flatnonzero(out)
+
+
+def settle(stars: Stars, part: np.ndarray, centre: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """One node of its component for each node. `part`: parts of the nodes, which share no link;
+    `known`: nodes that are in one component of their part already; `centre`: nodes that may be
+    compared with all others. Nodes outside the hub are compared: the hub is the known component
+    where there is one, the largest where all nodes may be centres, else empty."""
+    root = np.arange(len(part))
+    order = np.argsort(part, kind="stable")
+    for idx in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+        todo, whole = centre[idx].copy(), bool(centre[idx].all())
+        if known[idx].any():
+            root[idx[known[idx]]] = idx[known[idx]][0]
+        while len(idx) > 1:
+            r = root[idx]
+            hub = r[known[idx]][0] if known[idx].any() else np.bincount(r).argmax() if whole else -1
+            left = np.flatnonzero(todo & (r != hub))
+            if not len(left):
+                break
+            x = idx[left[0]]
+            todo[left[0]] = False
+            met = np.unique(root[np.r_[stars.linked(x), x]])
+            if len(met) > 1:
+                root[idx[np.isin(r, met)]] = met[0]
+    return root
+
+
+def _settle(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("centre", ascending=False).drop_duplicates("id")  # a centre also comes as a node
+        ids, part = pdf["id"].to_numpy("int64"), pd.factorize(pdf["label"])[0]
+        stars = Stars([np.asarray(x, "int64").view("uint64") for x in pdf["shingles"]], percent)
+        root = settle(stars, part, pdf["centre"].to_numpy(bool), pdf["known"].to_numpy(bool))
+        joined = np.bincount(root, minlength=len(ids))[root] > 1
+        return pd.DataFrame({"id": ids[joined], "grp": ids[root[joined]]})
+    return run
+
+
+def _tasks(nodes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of tasks (task, i, j, id, label, shingles, known, centre) and links known already (id,
+    grp). `nodes`: id, label, n, edges. Parts that fit share tasks. In a larger one all nodes are
+    first compared with its hub, the node of most edges; those that are not linked to it, in
+    blocks, then meet all its nodes, in blocks."""
+    sized = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("_w"), F.sum("n").alias("_s"), F.max(F.struct("edges", "id")).alias("_c"))
+    sized = materialise(sized.where("_w > 1").select("label", "_w", "_s", F.col("_c.id").alias("hub_id"), ((F.col("_w") > BLOCK) | (F.col("_s") > BLOCK_SHINGLES)).alias("large")), "sized")
+    n, s, large = sized.agg(F.coalesce(F.sum("_w"), F.lit(0)), F.coalesce(F.sum("_s"), F.lit(0)), F.count(F.when(F.col("large"), 1))).first()
+    bins = 1 + max(4 * s // BLOCK_SHINGLES, 4 * n // BLOCK)
+    placed = skew_join(nodes.select("id", "label"), sized, ["label"], "_w", "id", n).join(sets, "id")
+    if large:
+        placed = materialise(placed, "placed")
+    one = F.lit(0).cast("int")
+    out = placed.where("not large").select((-1 - F.pmod(F.xxhash64("label"), F.lit(bins))).alias("task"), one.alias("i"), one.alias("j"), "id", "label", "shingles", F.lit(False).alias("known"), F.lit(True).alias("centre"))
+    if not large:
+        return out, None
+    big = placed.where("large")
+    hubs = big.where("id = hub_id").select("label", F.col("shingles").alias("hub"))
+    common, both = F.size(F.array_intersect("shingles", "hub")), F.size("shingles") + F.size("hub")
+    big = big.join(hubs.hint("merge"), "label").withColumn("known", 100 * common >= percent * (both - common)).drop("hub")
+    big = materialise(big, "large")
+    blocks = big.groupBy("label").agg(F.greatest(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("nj"),
+                                      F.greatest(F.lit(1), F.ceil(F.sum(F.when(~F.col("known"), F.size("shingles"))) / BLOCK_SHINGLES), F.ceil(F.count(F.when(~F.col("known"), 1)) / BLOCK)).cast("int").alias("ni"))
+    big = big.join(F.broadcast(blocks), "label")  # large parts: fewer than all shingles over a block's
+    block = lambda k: F.pmod(F.xxhash64("id", F.lit(7)), F.col(k)).cast("int")
+    every = big.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1))).withColumn("j", block("nj")).withColumn("centre", F.lit(False))
+    open_ = big.where("not known").withColumn("i", block("ni")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1))).withColumn("centre", F.lit(True))
+    rows = every.unionByName(open_).select(F.col("label").alias("task"), "i", "j", "id", "label", "shingles", "known", "centre")
+    return out.unionByName(rows), big.where("known").select("id", F.col("hub_id").alias("grp"))
 
 
 def minhash_dedup(docs: DataFrame, percent: int = PERCENT, n_words: int = SHINGLE) -> DataFrame:
@@ -184,38 +229,25 @@ def minhash_dedup(docs: DataFrame, percent: int = PERCENT, n_words: int = SHINGL
     nodes = worded.groupBy("node").agg(F.max(F.struct("doc_id", "tkey")).alias("head"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("_w"),
                                        F.max("bands").alias("bands"), F.first("n_shingles").alias("n"))
     nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    spots = nodes.select("id", "n", F.explode("bands").alias("key"))
+    spots = nodes.select("id", F.explode("bands").alias("key"))
     total = nodes.count() * BANDS
-    shared = materialise(spots.groupBy("key").agg(F.count(F.lit(1)).alias("_w")).where("_w > 1"), "shared")
-    members = materialise(skew_join(spots, shared, ["key"], "_w", "id", total).select("key", "id", "n"), "members")
-    # Full sets of the nodes that share a bucket; their texts are found again by id and key.
-    heads = members.select("id").distinct().join(nodes.select("id", "node", F.col("head.doc_id").alias("_d"), F.col("head.tkey").alias("_t")), "id")
-    texts = src.join(heads, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))).select("id", "node", "text")
-    # Copies of a head's row can meet in several tasks, so one set of each id is taken.
-    sets = materialise(texts.mapInArrow(_full_sets(n_words), "id bigint, shingles array<bigint>").dropDuplicates(["id"]), "sets")
-
-    labels, tested, named = None, None, members.withColumn("label", F.col("id"))
-    for turn in itertools.count():
-        met = star_round(named, CENTRES if turn else 1, total, percent)
-        if met is None:
-            break
-        pairs, rest = met
-        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not turn:
-            # Each member first tries the centre with which it shares most buckets; what that joins needs no other edge.
-            wave = pairs.groupBy("m").agg(F.max(F.struct("shared", "a", "b", "la", "lb")).alias("p")).select("p.a", "p.b", "p.la", "p.lb").distinct()
-            wave = materialise(wave, "wave")
-            found = materialise(confirm(wave, sets, percent), "found")
-            labels = labels if found.isEmpty() else _relabel(labels, found, total)
-            pairs = _label(_label(pairs.join(wave, ["a", "b"], "left_anti").select("a", "b"), labels, "a", "la"), labels, "b", "lb")
-            pairs = materialise(pairs.where("la <> lb"), "others")
-            tested = wave.select("a", "b")
-        found = materialise(confirm(pairs, sets, percent), "found")
-        labels = labels if found.isEmpty() else _relabel(labels, found, total)
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        named = materialise(_label(rest, labels, "id", "label"), "named")
-
-    classes = materialise(_label(nodes.select("id", "node", "_w", "low"), labels, "id", "label"), "classes")
+    least = F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c")
+    shared = materialise(spots.groupBy("key").agg(F.count(F.lit(1)).alias("_w"), least).where("_w > 1").select("key", "_w", F.col("c.id").alias("hub_id")), "shared")
+    edges = skew_join(spots, shared, ["key"], "_w", "id", total).select("id", F.col("hub_id").alias("grp")).distinct()
+    edges = materialise(edges, "stars")
+    degree = edges.groupBy(F.col("grp").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
+    parts = components(edges, total).join(degree, "id", "left").withColumn("edges", F.coalesce("edges", F.lit(0)))
+    parts = materialise(parts.join(nodes.select("id", "n", "node", F.col("head.doc_id").alias("_d"), F.col("head.tkey").alias("_t")), "id"), "parts")
+
+    # Full sets of these nodes; their texts are found again by id and key. Copies of a head's row
+    # can meet in several tasks, so one set of each id is taken.
+    texts = src.join(parts.select("id", "node", "_d", "_t"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))).select("id", "node", "text")
+    sets = texts.mapInArrow(_full_sets(n_words), "id bigint, shingles array<bigint>").dropDuplicates(["id"])
+    tasks, known = _tasks(parts.select("id", "label", "n", "edges"), sets, percent)
+    found = tasks.groupBy("task", "i", "j").applyInPandas(_settle(percent), "id bigint, grp bigint")
+    found = materialise(found if known is None else found.unionByName(known), "found")
+    labels = components(found.unionByName(found.select(F.col("grp").alias("id"), "grp")), total)
+    classes = materialise(nodes.select("id", "node", "_w", "low").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "classes")
     names = materialise(classes.groupBy("label").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("_c")), "names")
     classes = materialise(skew_join(classes, names, ["label"], "_c", "node", total).select("node", "_w", "component_id"), "by_node")
     known = skew_join(worded.select("row", "doc_id", "n_shingles", "node"), classes, ["node"], "_w", "row", total // BANDS)
