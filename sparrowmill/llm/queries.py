@@ -17,6 +17,8 @@ OPS = {
     "op9_hmm_lm": ("hmm_lm", False),
     "op10_jaccard_join": ("jaccard_join", False),
     "op11_minhash": ("minhash", True),
+    "op12_alignment": ("alignment", False),
+    "op13_chat_repair": ("chat_repair", False),
 }
 
 
