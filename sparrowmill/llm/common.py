@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparrowmill.functions.shared import materialise, shared_dir, with_key  # noqa: F401
+from sparrowmill.functions.shared import materialise, shared_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,3 +44,26 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, s
         "_salt", F.explode(F.when(F.col(weight) > limit, F.sequence(F.lit(0), F.lit(s - 1))).otherwise(F.array(F.lit(0))))
     )
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def bounded(rows: DataFrame, most: int) -> DataFrame:
+    """`rows`, written, or a sample of about `most` of them by hash of their number."""
+    t = materialise(rows.withColumn("_n", F.monotonically_increasing_id()), "bounded")
+    n = t.count()
+    return (t if n <= most else t.where(F.pmod(F.xxhash64("_n"), F.lit(1_000_000)) < int(1e6 * most / n))).drop("_n")
+
+
+_MARK = {"row_number_of": "sparrowmill"}
+
+
+def numbered(df: DataFrame, name: str = "_row_key") -> tuple[DataFrame, str]:
+    """`df` with a number of its own for each row, and the column's name. A column that this function
+    made is known by its metadata and kept, also in a table that was written and read; any other
+    column is the user's, whatever its name, and the number gets a name that is free. The numbers
+    are written once, so that every reader sees the same."""
+    for f in df.schema.fields:
+        if f.metadata == _MARK:
+            return df, f.name
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return materialise(df.withColumn(name, F.monotonically_increasing_id().alias(name, metadata=_MARK)), "keyed"), name

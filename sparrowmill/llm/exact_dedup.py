@@ -86,7 +86,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept: one with its largest id, or any one if all its ids are null; among rows with that id
     the largest key decides. An empty table gives no rows; extra columns are ignored."""
     row = key or "_row"
-    src = docs.select(F.col(id_col).alias("doc_id"), *([key] if key else []), utf8(text_col).alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), *([key] if key else []), utf8(text_col).alias("text"))
     src = src if key else src.withColumn(row, F.monotonically_increasing_id())
     kinds = "fp bigint, text_sha256 string"
     # Thin rows are written once: the number of a row is the same for all that read them.

@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import bounded, utf8
 from .scan import columns, runs, scan
 
 BUCKETS = 1 << 12
 #: Bound on labelled rows that are fitted, a hash sample beyond it; a row sends at most 6 bytes a bucket.
 MAX_LABELLED = 10_000
 SHAPES = 6
+#: Best grade that ratings may have: a threshold per grade is fitted.
+MAX_GRADE = 100
 _PUNCT, _DIGIT, _UPPER = (np.zeros(256, bool) for _ in range(3))
 _PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _DIGIT[48:58] = True
@@ -92,16 +94,19 @@ def held_out(doc_id: Column) -> Column:
 def score_quality(docs: DataFrame, ratings: DataFrame, min_grade: int | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: doc_id, held_out, expected_grade, tail_prob = P(grade >= min_grade), by default the best grade.
 
-    `ratings`: doc_id, grade (integers from 0). At most about `max_labelled` rated rows are
+    `ratings`: doc_id, grade (integers from 0 to `MAX_GRADE`; others raise). At most about `max_labelled` rated rows are
     learnt from, none whose crc32(doc_id) mod 3 is 1. Null text counts as empty; null grades
     are skipped; several grades of one document count by the least; without two grades both
     outputs are 0. Repeated rows score alike; an empty table gives none; extra columns are ignored."""
     r = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade")).where(~held_out(F.col("doc_id")))
-    n = r.count()
+    n, low, high = r.agg(F.count(F.lit(1)), F.min("grade"), F.max("grade")).first()
+    if n and (low < 0 or high > MAX_GRADE):
+        raise ValueError(f"grades must be 0 to {MAX_GRADE}, not {low} to {high}")
     if n > max_labelled:
         r = r.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * max_labelled / n))
     # The sample is bounded, so it is sent to the documents and no other text moves.
-    sample = _sample(docs.select("doc_id", "text").join(F.broadcast(r), "doc_id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sample = _sample(bounded(docs.join(F.broadcast(r), "doc_id").select("text", "grade"), max_labelled))
     held = held_out(F.col("doc_id")).alias("held_out")
     levels = max([x[0] for x in sample], default=0) + 1
     if levels < 2:

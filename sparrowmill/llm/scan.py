@@ -46,13 +46,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 @dataclass
 class Words:
     """Words of `n` texts in order: text number, first byte, byte behind the last, hash;
-    `first[k]:first[k + 1]` are the words of text k. `raw` holds all lower-cased bytes."""
+    `first[k]:first[k + 1]` are the words of text k. `raw` holds all lower-cased bytes, those of
+    text k from `begin[k]` on."""
 
     raw: bytes
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    begin: np.ndarray
 
     @property
     def doc(self) -> np.ndarray:
@@ -75,7 +77,7 @@ def scan(texts: list[bytes], table: np.ndarray = ALNUM) -> Words:
     np.cumsum((data + np.uint64(1)) * up[:-1], out=sums[1:])
     h = mix((sums[end] - sums[start]) * down[start])
     begin = np.cumsum([1] + [len(t) + 1 for t in texts])
-    return Words(raw, start, end, h, np.searchsorted(start, begin))
+    return Words(raw, start, end, h, np.searchsorted(start, begin), begin)
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

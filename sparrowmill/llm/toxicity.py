@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, utf8
+from .common import bounded, utf8
 from .scan import Words, columns, runs, scan
 
 THRESHOLD = 0.7
@@ -197,9 +197,8 @@ class Grammar:
         mark = self.mark[data]
         spot = np.flatnonzero(mark)
         before = np.searchsorted(w.start, spot)
-        # A mark belongs to the text of the last word before it or of the next one; marks without words change nothing.
-        mdoc = np.searchsorted(w.first, np.maximum(before - 1, 0), "right") - 1
-        keep = live[mdoc] & (before > w.first[mdoc])
+        mdoc = np.searchsorted(w.begin, spot, "right") - 1
+        keep = live[mdoc]
         spot, before, mdoc = spot[keep], before[keep], mdoc[keep]
         place = np.r_[w.start[event], spot]
         order = np.argsort(place, kind="stable")
@@ -270,7 +269,8 @@ def fit_weights(rows: np.ndarray, y: np.ndarray, steps: int = 30):
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, key: str | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: doc_id, held_out, score (0 to 1), predicted, and `key` if a column of that name is given.
 
-    At most about `max_labelled` labelled rows are learnt from, a sample by hash of the id.
+    At most about `max_labelled` labelled rows are learnt from, a sample by hash of the id, and of
+    the row where ids are repeated.
     Null text counts as empty and gets the base score; a null id is not held out; repeated
     rows score alike; without usable labels the score is 0; several labels of one document
     count as toxic if any is. Extra columns are ignored."""
@@ -279,7 +279,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     if n > max_labelled:
         pos = pos.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * max_labelled / n))
     # The sample is bounded, so it is sent to the documents and no other text moves.
-    known = materialise(docs.select("doc_id", utf8()).join(F.broadcast(pos), "doc_id").select("text", "toxic"), "known")
+    known = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8()).join(F.broadcast(pos), "doc_id").select("text", "toxic"), max_labelled)
     arcs = learn_arcs(known)
     feats = _features(known, arcs).collect()
     w = fit_weights(np.array([r.x for r in feats]), np.array([r.toxic for r in feats], "float64")) if feats else None
@@ -296,7 +296,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
                     score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 yield columns(part, ["doc_id", *own, "held_out"], {"score": pa.array(score), "predicted": pa.array((score >= threshold).astype("int32"))})
 
-    rows = docs.select("doc_id", *own, F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), utf8())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *own, F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), utf8())
     return rows.mapInArrow(run, ", ".join(["doc_id bigint", *[f"`{c}` bigint" for c in own], "held_out boolean, score double, predicted int"]))
 
 
