@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import materialise, utf8, with_key
+from .common import materialise, numbered, utf8
 from .scan import Words, columns, grams, runs, scan
 
 WINDOW = 13
@@ -187,13 +187,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     Null or empty text has no words and is clean; null items are skipped; repeated items
     count once by id; each row is judged by its own text, whatever its id and the number of
     benchmark blocks; an empty benchmark marks nothing. Extra columns are ignored."""
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = benchmark_blocks(benchmark)
     first, after = next(blocks, []), next(blocks, None)
     if after is None:
         out = find_matches(docs, first, window)
     else:  # rows are numbered once; a block's matches are a table before the next block is read
-        docs = with_key(docs, "_row")
+        docs, _ = numbered(docs, "_row")
         parts = ["n_hit", "starts", "lengths", "items", "longest"]
         out = materialise(find_matches(docs, first, window, key="_row"), "matches")
         found = out.where("n_hit > 0").select("_row", *parts)
