@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -96,27 +97,75 @@ def loudness_lufs(df: DataFrame, key: str, x: str, sr: int) -> DataFrame:
     return df.select(key).join(loud, key, "left").select(key, F.coalesce("lufs", F.lit(ABSOLUTE_GATE)).alias("lufs"))
 
 
-def spectrum(df: DataFrame, key: str, x: str, n: int) -> DataFrame:
-    """Power of the first n samples' rFFT bins: key, bin, power; signals are padded with zeros."""
+def _ddl(df: DataFrame, *cols: str) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*cols).schema.fields)
+
+
+def spectrum(df: DataFrame, key: str, x: str, least: int = 1) -> DataFrame:
+    """Power of the rFFT of whole signals: key, n (length of the transform: that of the signal, or
+    `least` with zeros behind), bin, power. A signal at a time is in memory; null and empty ones give no rows."""
     def run(batches):
         for b in batches:
             for k, v in zip(b[key], b[x]):
-                p = np.abs(np.fft.rfft(np.asarray(v, "float64"), n)) ** 2
-                yield pd.DataFrame({key: [k] * len(p), "bin": np.arange(len(p)), "power": p})
+                if v is not None and len(v):
+                    n = max(least, len(v))
+                    p = np.abs(np.fft.rfft(np.asarray(v, "float64"), n)) ** 2
+                    yield pd.DataFrame({key: [k] * len(p), "n": n, "bin": np.arange(len(p)), "power": p})
+
+    return df.select(key, x).mapInPandas(run, f"{_ddl(df, key)}, n int, bin int, power double")
+
+
+def band_energies(df: DataFrame, x: str, sr: int, bands: dict[str, tuple[float, float, bool]], least: int = 2048) -> DataFrame:
+    """Adds the energy of whole signals in bands `{name: (low, high, low included)}` in Hz, high
+    included; no spectrum leaves the worker. Null for null signals."""
+    def one(v):
+        if v is None:
+            return None
+        n = max(least, len(v))
+        p, f = np.abs(np.fft.rfft(np.asarray(v, "float64"), n)) ** 2, np.fft.rfftfreq(n, 1.0 / sr)
+        return {name: float(p[((f >= lo) if closed else (f > lo)) & (f <= hi)].sum()) for name, (lo, hi, closed) in bands.items()}
+
+    kind = "struct<" + ", ".join(f"{name}: double" for name in bands) + ">"
+    udf = F.pandas_udf(lambda s: pd.DataFrame([one(v) or dict.fromkeys(bands) for v in s], columns=list(bands), dtype="float64"), kind)
+    return df.withColumn("_e", udf(F.col(x))).select(*df.columns, *[F.when(F.col(x).isNotNull(), F.col(f"_e.{name}")).alias(name) for name in bands])
+
 
-    return df.select(key, x).mapInPandas(run, f"{df.select(key).schema.simpleString()[7:-1].replace(':', ' ')}, bin int, power double")
+def band_ratio_db(df: DataFrame, x: str, sr: int, high: tuple[float, float] = (1000, 3000), low: tuple[float, float] = (100, 500), least: int = 2048) -> DataFrame:
+    """Adds `ratio_db`, the energy of one band over another, of whole signals."""
+    e = band_energies(df, x, sr, {"_high": (*high, True), "_low": (*low, True)}, least)
+    return e.withColumn("ratio_db", 10 * F.log10((F.col("_high") + 1e-12) / (F.col("_low") + 1e-12))).drop("_high", "_low")
 
 
-def band_ratio_db(spec: DataFrame, key: str, sr: int, n: int, high: tuple[float, float] = (1000, 3000), low: tuple[float, float] = (100, 500)) -> DataFrame:
-    """Energy of one band over another in dB, from a spectrum table."""
-    f = F.col("bin") * sr / n
-    part = lambda lo, hi: F.sum(F.when(f.between(lo, hi), F.col("power")).otherwise(0.0)) + 1e-12
-    return spec.groupBy(key).agg((10 * F.log10(part(*high) / part(*low))).alias("ratio_db"))
+def high_share_db(df: DataFrame, x: str, sr: int, edge: float = 4000, low: float = 300, least: int = 1) -> DataFrame:
+    """Adds `high_db`, the energy above `edge` over that from `low` up to it, of whole signals."""
+    e = band_energies(df, x, sr, {"_high": (edge, float("inf"), False), "_low": (low, edge, False)}, least)
+    return e.withColumn("high_db", 10 * F.log10(F.col("_high") / (F.col("_low") + 1e-12))).drop("_high", "_low")
+
+
+def frame_spectrum(df: DataFrame, key: str, x: str, n: int, hop: int, window: bool = True) -> DataFrame:
+    """Sums over the overlapping frames of whole signals: key, bin, power, frames. Sums of signals,
+    of parts of signals or of groups add up. A signal shorter than a frame is one frame with zeros
+    behind; what is behind the last full frame is left out."""
+    def run(batches):
+        w = np.hanning(n + 1)[:-1] if window else np.ones(n)
+        for b in batches:
+            for k, v in zip(b[key], b[x]):
+                if v is None or not len(v):
+                    continue
+                v = np.asarray(v, "float64")
+                v = np.pad(v, (0, max(0, n - len(v))))
+                starts = np.arange(0, len(v) - n + 1, hop)
+                p = np.zeros(n // 2 + 1)
+                for lo in range(0, len(starts), 1024):
+                    p += (np.abs(np.fft.rfft(v[starts[lo:lo + 1024, None] + np.arange(n)] * w, axis=1)) ** 2).sum(axis=0)
+                yield pd.DataFrame({key: [k] * len(p), "bin": np.arange(len(p)), "power": p, "frames": len(starts)})
+
+    return df.select(key, x).mapInPandas(run, f"{_ddl(df, key)}, bin int, power double, frames bigint")
 
 
-def lta_spectrum(spec: DataFrame, by: list[str]) -> DataFrame:
-    """Long-term average: mean power per group and bin."""
-    return spec.groupBy(*by, "bin").agg(F.avg("power").alias("power"))
+def lta_spectrum(frames: DataFrame, by: list[str]) -> DataFrame:
+    """Long-term average: mean power of all frames per group and bin, from `frame_spectrum`."""
+    return frames.groupBy(*by, "bin").agg((F.sum("power") / F.sum("frames")).alias("power"))
 
 
 def harvest(df: DataFrame, key: str, x: str, n: int, frame: int, least_db: float = -45.0, share: float = 0.3) -> DataFrame:
@@ -151,34 +200,6 @@ def window_long(df: DataFrame, key: str, n: int, cut: str, least_last: float = 0
     return df.select(key, "size", cut).mapInPandas(run, f"{df.select(key).schema.simpleString()[7:-1].replace(':', ' ')}, start bigint, stop bigint")
 
 
-def pack_short(df: DataFrame, keys: list[str], clip: str, size: str, order: Column, n: int, gap: int, least: float = 0.35, chunk: int = 10_000) -> DataFrame:
-    """Clips of a group put into strings of at most n samples, each used once in the drawn order;
-    a thin last string is dropped unless it is the only one: keys, `part`, `string`, clip, at.
-
-    Groups are dealt into parts of about `chunk` clips by hash of the clip, so that no group passes one task."""
-    sized = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_parts"))
-    d = df.join(sized, keys).withColumn("part", F.pmod(F.xxhash64(clip), F.col("_parts")).cast("int")).withColumn("_o", order)
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_o", clip])
-        string, used, out, fill = 0, 0, [], {}
-        for c, s in zip(pdf[clip], pdf[size]):
-            s = min(int(s), n)
-            if used and used + gap + s > n:
-                string, used = string + 1, 0
-            at = used + (gap if used else 0)
-            used = fill[string] = at + s
-            out.append((string, c, at))
-        out = pd.DataFrame(out, columns=["string", clip, "at"])
-        out = out[[string == 0 or fill[x] >= least * n for x in out["string"]]]
-        for i, k in enumerate([*keys, "part"]):
-            out.insert(i, k, pdf[k].iloc[0])
-        return out
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.select(*keys, "part").schema.fields)
-    return d.select(*keys, "part", clip, size, "_o").groupBy(*keys, "part").applyInPandas(pack, f"{kinds}, string int, `{clip}` {df.schema[clip].dataType.simpleString()}, at int")
-
-
 def score_windows(df: DataFrame, key: str, x: str, n: int, scorer: Callable[[np.ndarray], np.ndarray], classes: int, most: int = 3) -> DataFrame:
     """Largest score of each class over at most three evenly spaced windows: key, scores. The scorer
     takes a matrix of windows, one batch at a time."""
@@ -198,30 +219,86 @@ def score_windows(df: DataFrame, key: str, x: str, n: int, scorer: Callable[[np.
     return df.select(key, x).mapInPandas(run, f"{df.select(key).schema.simpleString()[7:-1].replace(':', ' ')}, scores array<double>")
 
 
-def voiced_share(x: np.ndarray, sr: int, frame_s: float = 0.03, f0: tuple[float, float] = (75, 400), least: float = 0.5) -> tuple[int, float]:
-    """Number and share of frames whose normalised autocorrelation has a peak above `least` in the voice band."""
+def periodic_frames(x: np.ndarray, sr: int, frame_s: float = 0.03, f0: tuple[float, float] = (70, 400), least: float = 0.5) -> np.ndarray:
+    """Frames whose normalised autocorrelation has a peak above `least` at a lag of the voice band."""
     n = int(frame_s * sr)
     f = np.asarray(x, "float64")[:len(x) // n * n].reshape(-1, n)
     if not len(f):
-        return 0, 0.0
+        return np.zeros(0, bool)
     f = f - f.mean(axis=1, keepdims=True)
     r = np.fft.irfft(np.abs(np.fft.rfft(f, 2 * n, axis=1)) ** 2, axis=1)[:, :n]
-    lags = slice(int(sr / f0[1]), min(n - 1, int(sr / f0[0])) + 1)
-    # Frames overlap their shifted copies the less the larger the lag: the share of the overlap is taken out.
-    peak = (r / np.maximum(r[:, :1], 1e-12) / (1 - np.arange(n) / n))[:, lags].max(axis=1)
-    voiced = (peak > least) & (r[:, 0] / n > 1e-8)
-    return int(voiced.sum()), float(voiced.mean())
+    peak = r[:, int(sr / f0[1]):int(sr / f0[0])].max(axis=1)
+    return (r[:, 0] >= 1e-8) & (peak > least * r[:, 0])
+
+
+def active_frames(x: np.ndarray, sr: int, frame_s: float = 0.03, memory_s: float = 1.5, rise_db: float = 6.0, hold: int = 3, hold_db: float = 3.0,
+                  band: tuple[float, float] = (200, 4000), share: float = 0.25) -> np.ndarray:
+    """Frames whose level in the speech band is above a tracked noise floor, the least smoothed
+    level within `memory_s`, and that have at least `share` of their energy in the band; behind
+    them up to `hold` frames that are still above it by `hold_db`. What sounds steadily is floor,
+    and what rumbles is out of the band."""
+    n = int(frame_s * sr)
+    f = np.asarray(x, "float64")[:len(x) // n * n].reshape(-1, n)
+    if not len(f):
+        return np.zeros(0, bool)
+    p, at = np.abs(np.fft.rfft(f * np.hanning(n), axis=1)) ** 2, np.fft.rfftfreq(n, 1 / sr)
+    within = p[:, (at >= band[0]) & (at <= band[1])].sum(axis=1)
+    power = within / (n * n / 4) + 1e-10
+    level = 10 * np.log10(power)
+    back = max(1, int(memory_s / frame_s))
+    smooth = 10 * np.log10(np.convolve(np.pad(power, 1, mode="edge"), np.ones(3) / 3, "valid"))
+    # The floor looks ahead as far as it looks back: a clip may begin with speech.
+    pad = np.pad(smooth, (back, back), mode="edge")
+    floor = np.lib.stride_tricks.sliding_window_view(pad, 2 * back + 1).min(axis=1)
+    on = (level > floor + rise_db) & (within >= share * p.sum(axis=1))
+    last = np.maximum.accumulate(np.where(on, np.arange(len(on)), -hold - 1))
+    return on | ((np.arange(len(on)) - last <= hold) & (level > floor + hold_db))
+
+
+def voiced_share(x: np.ndarray, sr: int) -> tuple[int, float]:
+    """Number and share of frames that are active and periodic at once."""
+    both = periodic_frames(x, sr) & active_frames(x, sr)
+    return int(both.sum()), float(both.mean()) if len(both) else 0.0
 
 
 def voice_screen(df: DataFrame, x: str, sr: int, frames: int = 8, share: float = 0.1) -> DataFrame:
-    """Adds `has_voice`: enough voiced frames, and (in the place of a voice detector that is not at
-    hand) speech-like energy: frames that vary by 6 dB or more between their 10th and 90th percentile."""
+    """Adds `has_voice`: at least `frames` frames and the share `share` of them are at once periodic
+    in the voice band (70 to 400 Hz) and above the tracked noise floor. False for null and short signals."""
     def test(v: np.ndarray) -> float:
         n, part = voiced_share(v, sr)
-        k = int(0.03 * sr)
-        e = 10 * np.log10((v[:len(v) // k * k].reshape(-1, k) ** 2).mean(axis=1) + 1e-12) if len(v) >= k else np.zeros(1)
-        return float(n >= frames and part >= share and np.quantile(e, 0.9) - np.quantile(e, 0.1) >= 6)
-    return per_signal(df, x, test, "_v").withColumn("has_voice", F.col("_v") == 1).drop("_v")
+        return float(n >= frames and part >= share)
+    return per_signal(df, x, test, "_v").withColumn("has_voice", F.coalesce(F.col("_v") == 1, F.lit(False))).drop("_v")
+
+
+@functools.lru_cache(maxsize=16)
+def filter_bank(up: int, down: int, zeros: int = 24, beta: float = 9.0) -> np.ndarray:
+    """Low pass at the lower of both Nyquist frequencies as a windowed sinc, a row per phase."""
+    wide = max(up, down)
+    half = zeros * wide
+    k = np.arange(-half, half + 1)
+    h = np.sinc(0.94 * k / wide) * 0.94 / wide * np.kaiser(2 * half + 1, beta)
+    h *= up / h.sum()
+    taps = -(-len(h) // up)
+    return np.pad(h, (0, taps * up - len(h))).reshape(taps, up).T.copy()
+
+
+def resample(x: np.ndarray, rate: int, sr: int, block: int = 8192) -> np.ndarray:
+    """Polyphase resampling at the reduced ratio of both rates. A tone beyond the new Nyquist
+    frequency is down by 60 dB at 1.1 times of it."""
+    g = math.gcd(int(rate), int(sr))
+    up, down = int(sr) // g, int(rate) // g
+    if up == down or not len(x):
+        return np.asarray(x, "float64")
+    bank = filter_bank(up, down)
+    taps = bank.shape[1]
+    centre = 24 * max(up, down)
+    out = np.empty(-(-len(x) * up // down))
+    pad = np.pad(np.asarray(x, "float64"), (taps, taps + centre // up + 1))
+    for lo in range(0, len(out), block):
+        m = np.arange(lo, min(len(out), lo + block)) * down + centre
+        rows = pad[(m // up + taps)[:, None] - np.arange(taps)]
+        out[lo:lo + block] = np.einsum("ij,ij->i", rows, bank[m % up])
+    return out
 
 
 def stoi(clean: np.ndarray, other: np.ndarray, sr: int) -> float | None:
@@ -229,8 +306,7 @@ def stoi(clean: np.ndarray, other: np.ndarray, sr: int) -> float | None:
     bands from 150 Hz, segments of 30 frames, clipping at -15 dB; null for less than one segment."""
     n, hop, size, seg, clip = 256, 128, 512, 30, 10 ** (15 / 20)
     if sr != 10_000:
-        at = np.arange(int(len(clean) * 10_000 / sr)) * sr / 10_000
-        clean, other = np.interp(at, np.arange(len(clean)), clean), np.interp(at, np.arange(len(other)), other)
+        clean, other = resample(clean, sr, 10_000), resample(other, sr, 10_000)
     if len(clean) < n:
         return None
     w = np.hanning(n + 2)[1:-1]

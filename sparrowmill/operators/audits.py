@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggs import select_ranks
+
 
 def verdict(bad: DataFrame, name: str, level: str = "FAIL") -> DataFrame:
     n = bad.agg(F.count(F.lit(1)).alias("n_bad"))
@@ -94,15 +96,11 @@ def check_product(df: DataFrame, a: str, b: str, stored: str, tol: float, name:
 
 
 def describe_design(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Mean and exact median of each column, a row each."""
-    from .aggs import quantiles
-
+    """Mean and exact median of each column, a row each; all medians are selected together."""
+    mid = select_ranks(df, cols, [0.5])
     one = df.agg(*[F.avg(c).alias(c) for c in cols])
-    rows = [one.select(F.lit(c).alias("stat"), F.col(c).alias("mean")).crossJoin(quantiles(df, c, [0.5]).select(F.col("p50").alias("median"))) for c in cols]  # one row each
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    rows = F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("mean"), F.lit(mid[c][0]).cast("double").alias("median")) for c in cols])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def check_determinism(a: DataFrame, b: DataFrame, key: str, name: str) -> DataFrame:
@@ -139,14 +137,9 @@ def check_support(real: DataFrame, synth: DataFrame, stats: list[str], margin: f
 
 
 def register_ranges(df: DataFrame, stats: list[str]) -> DataFrame:
-    """p02 and p98 of each statistic: stat, lo, hi."""
-    from .aggs import quantiles
-
-    rows = [quantiles(df, s, [0.02, 0.98]).select(F.lit(s).alias("stat"), F.col("p02").alias("lo"), F.col("p98").alias("hi")) for s in stats]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """p02 and p98 of each statistic, selected together: stat, lo, hi."""
+    ends = select_ranks(df, stats, [0.02, 0.98])
+    return df.sparkSession.createDataFrame([(s, *ends[s]) for s in stats], "stat string, lo double, hi double")
 
 
 def check_capture(df: DataFrame, key: str, ranges: DataFrame, stats: list[str], margin: float = 3.0) -> DataFrame:

@@ -2,21 +2,52 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.keyed import keyed_u
-
-from .aggs import _ranged
-
-
-def overlap_join(spans: DataFrame, frames: DataFrame, key: str, hop: float) -> DataFrame:
-    """Spans (key, a, b) with frames (key, c, d) that overlap, touching ends apart. Both are
-    dealt into buckets of `hop`, which makes an equi join; a pair is kept in its first common bucket."""
-    bucket = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / hop), F.floor(F.col(hi) / hop)))
-    s, f = spans.withColumn("_k", bucket("a", "b")), frames.withColumn("_k", bucket("c", "d"))
-    met = s.join(f, [key, "_k"]).where((F.col("a") < F.col("d")) & (F.col("c") < F.col("b")))
-    return met.where(F.col("_k") == F.floor(F.greatest("a", "c") / hop)).drop("_k")
+from sparrowmill.functions.scans import ranged, scan
+from sparrowmill.functions.shared import materialise
+
+
+def overlap_join(spans: DataFrame, frames: DataFrame, key: str) -> DataFrame:
+    """Spans (key, a, b) with frames (key, c, d) that overlap, touching ends apart.
+
+    Starts and ends are dealt over ranges of (key, time). An interval goes to each range that it
+    crosses, however long it is, and a pair is found in the range of its later start, by a sweep
+    over sorted starts. Times are numbers; rows with a null never overlap."""
+    s, f = (materialise(d.withColumn(n, F.monotonically_increasing_id()), "side") for d, n in ((spans, "_s"), (frames, "_f")))
+    ends = [d.select(F.col(key).alias("_k"), F.lit(side).alias("_side"), F.col(n).alias("_id"), F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"))
+            for d, side, n, lo, hi in ((s, 0, "_s", "a", "b"), (f, 1, "_f", "c", "d"))]
+    both = ends[0].unionByName(ends[1]).where("_k is not null and _lo <= _hi")
+    marks = ranged(both.select("_k", "_side", "_id", "_lo", "_hi", F.explode(F.array("_lo", "_hi")).alias("_t")), "_k", "_t")
+    crossed = marks.groupBy("_k", "_side", "_id", "_lo", "_hi").agg(F.min("_part").alias("_p0"), F.max("_part").alias("_p1"))
+    pieces = crossed.withColumn("_part", F.explode(F.sequence("_p0", "_p1")))
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        code = pd.factorize(pdf["_k"])[0].astype("int64")
+        times = np.unique(np.r_[pdf["_lo"], pdf["_hi"]])
+        width = len(times) + 1
+        lo, hi = (code * width + np.searchsorted(times, pdf[c]) for c in ("_lo", "_hi"))
+        side, ident, here = pdf["_side"].to_numpy(), pdf["_id"].to_numpy("int64"), (pdf["_p0"] == pdf["_part"]).to_numpy()
+        out = []
+        for x in (0, 1):
+            start = np.flatnonzero((side != x) & here)  # the others that start in this range
+            start = start[np.argsort(lo[start], kind="stable")]
+            hold = np.flatnonzero(side == x)
+            first = np.searchsorted(lo[start], lo[hold], "left" if x == 0 else "right")  # equal starts once
+            n = np.maximum(np.searchsorted(lo[start], hi[hold], "left") - first, 0)
+            at = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            a, b = np.repeat(hold, n), start[at]
+            real = (lo[a] < hi[b]) & (lo[b] < hi[a])
+            pair = (ident[a[real]], ident[b[real]])
+            out.append(pd.DataFrame(dict(zip(("_s", "_f") if x == 0 else ("_f", "_s"), pair))))
+        return pd.concat(out)[["_s", "_f"]]
+
+    pairs = pieces.groupBy("_part").applyInPandas(sweep, "_s bigint, _f bigint")
+    return pairs.join(s, "_s").join(f.drop(key), "_f").drop("_s", "_f")
 
 
 def within_window(df: DataFrame, windows: DataFrame, key: str, t: str) -> DataFrame:
@@ -41,7 +72,7 @@ def empty_cells(a: DataFrame, b: DataFrame, fact: DataFrame) -> DataFrame:
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """Adds `n`, the number of a row from 0 in `order`. Rows are dealt by range and counted from the ranges before."""
-    t = _ranged(df, *order)
+    t = ranged(df, *order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     base = t.groupBy("_part").agg(F.count(F.lit(1)).alias("_m")).select("_part", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
     t = t.withColumn("_i", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
@@ -61,9 +92,10 @@ def limit_random(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:
 def limit_even(df: DataFrame, k: int, key: str) -> DataFrame:
     """k evenly spaced rows in the order of `key`, the first and the last included."""
     t = numbered(df, key)
-    total = df.count()
-    want = sorted({i * (total - 1) // max(1, k - 1) for i in range(min(k, total))})
-    return t.where(F.col("n").isin(want)).drop("n")
+    total = t.count()
+    step = max(1, k - 1)
+    want = df.sparkSession.range(min(k, total)).select(F.expr(f"id * {total - 1}L div {step}").alias("n")).distinct()
+    return t.join(want, "n", "left_semi").drop("n")
 
 
 def ranked_pool(pool_rows: DataFrame, pool: str, key: str) -> DataFrame:
@@ -124,12 +156,35 @@ def capped_sample(df: DataFrame, n: int, is_capped: Column, cap: float, seed: in
     return few.unionByName(limit_random(df.where(~is_capped), n - most, seed, key))
 
 
-def corrupt_tokens(toks: Column, key: Column, p_delete: float, p_confuse: float, confuse: dict[str, str], seed: int) -> Column:
-    """Tokens with seeded deletions and confusions; the draw of a token is keyed by row and place."""
-    table = F.create_map(*[F.lit(x) for kv in confuse.items() for x in kv])
-    u = lambda i: keyed_u(seed, F.concat_ws(".", key.cast("string"), i.cast("string")), "token")
-    kept = F.transform(toks, lambda t, i: F.when(u(i) < p_delete, F.lit(None).cast("string")).when(u(i) < p_delete + p_confuse, F.coalesce(table[t], t)).otherwise(t))
-    return F.array_compact(kept)
+def noisy_tokens(toks: Column, key: Column, p: float, confuse: dict[str, list[str]], digits: dict[str, str], extra: list[str], seed: int) -> Column:
+    """Tokens as a recogniser might hear them, one to many: a token is deleted with probability
+    0.3 p; up to 1.6 p it is confused with one of its alternatives (which may be empty or two
+    words), up to 1.2 p a spoken digit is written; behind each that stays a filler word follows
+    with probability 0.1 p. All draws are keyed by row and place. Null tokens give null."""
+    def u(i, stage):
+        return keyed_u(seed, F.concat_ws(".", key.cast("string"), i.cast("string")), stage)
+
+    def pick(options: Column, at: Column) -> Column:
+        return F.get(options, F.floor(at * F.size(options)).cast("int"))
+
+    wrong = F.create_map(*[x for w, alts in confuse.items() for x in (F.lit(w), F.array(*map(F.lit, alts)))])
+    number = F.create_map(*[F.lit(x) for kv in digits.items() for x in kv])
+    fill = F.array(*map(F.lit, extra))
+
+    def one(t, i):
+        r = u(i, "token")
+        heard = F.when(wrong[t].isNotNull() & (r < 1.6 * p), pick(wrong[t], u(i, "which"))).when(number[t].isNotNull() & (r < 1.2 * p), number[t]).otherwise(t)
+        more = F.when(u(i, "insert") < 0.1 * p, F.array(heard, pick(fill, u(i, "filler")))).otherwise(F.array(heard))
+        return F.when(r < 0.3 * p, F.array().cast("array<string>")).otherwise(more)
+
+    return F.filter(F.flatten(F.transform(toks, one)), lambda w: w != "")
+
+
+def noisy_text(text: Column, key: Column, p: float, confuse: dict[str, list[str]], digits: dict[str, str], extra: list[str], seed: int) -> Column:
+    """Lower-case words of a text with recognition errors; for half of the rows neighbouring digits run together."""
+    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[a-z\-']+|[0-9]+"), F.lit(0))
+    s = F.array_join(noisy_tokens(toks, key, p, confuse, digits, extra, seed), " ")
+    return F.when(keyed_u(seed, key.cast("string"), "join") < 0.5, F.regexp_replace(s, r"([0-9]) (?=[0-9])", "$1")).otherwise(s)
 
 
 def soft_gold(label: Column, classes: list[str], main: float = 0.9) -> Column:
@@ -145,17 +200,21 @@ def raster_spans(spans: DataFrame, keys: list[str], a: str, b: str, value: str,
 
 
 def pause_islands(df: DataFrame, key: str, order: str, quiet: Column, least: int) -> DataFrame:
-    """Runs of at least `least` quiet frames: key, first, last, n."""
-    w = Window.partitionBy(key).orderBy(order)
-    t = df.withColumn("_q", F.coalesce(quiet, F.lit(False))).withColumn("_g", F.row_number().over(w) - F.row_number().over(Window.partitionBy(key, "_q").orderBy(order)))
+    """Runs of at least `least` quiet frames: key, first, last, n. Frames of a run share the number of loud frames before."""
+    t = scan(df.withColumn("_q", F.coalesce(quiet, F.lit(False))), key, [order], sums={"_g": F.when(F.col("_q"), 0).otherwise(1)})
     runs = t.where("_q").groupBy(key, "_g").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count(F.lit(1)).alias("n"))
     return runs.where(F.col("n") >= least).drop("_g")
 
 
 def moving_argmin(df: DataFrame, key: str, order: str, value: str, k: int) -> DataFrame:
-    """Least mean of k neighbouring rows per key, and where it starts; only full windows count."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(0, k - 1)
-    t = df.select(key, order, F.avg(value).over(w).alias("mean"), F.count(F.lit(1)).over(w).alias("_n")).where(F.col("_n") == k)
+    """Least mean of k neighbouring rows per key, and where it starts; only full windows count. Rows
+    are numbered and cut into blocks; the first k - 1 rows of a block also go to the one before."""
+    size = max(4096, 4 * k)
+    t = scan(df.select(key, order, value), key, [order], sums={"_n": F.lit(1)}).withColumn("_b", F.floor((F.col("_n") - 1) / size))
+    early = F.when(((F.col("_n") - 1) % size < k - 1) & (F.col("_b") > 0), F.array("_b", F.col("_b") - 1)).otherwise(F.array("_b"))
+    w = Window.partitionBy(key, "_b").orderBy("_n").rowsBetween(0, k - 1)
+    t = t.select(key, order, value, "_n", F.explode(early).alias("_b")).select(key, order, "_n", "_b", F.avg(value).over(w).alias("mean"), F.count(F.lit(1)).over(w).alias("_c"))
+    t = t.where((F.col("_c") == k) & (F.floor((F.col("_n") - 1) / size) == F.col("_b")))
     return t.groupBy(key).agg(F.min(F.struct("mean", order)).alias("m")).select(key, "m.mean", F.col(f"m.{order}").alias("at"))
 
 

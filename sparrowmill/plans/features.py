@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import keyed
-from sparrowmill.operators import acoustic, aggs, scores, signals, spans
+from sparrowmill.operators import acoustic, aggs, packing, scores, signals, spans
 from sparrowmill.plans.leakage import doubles
 from sparrowmill.plans.registry import U, query, read, simple, u_sql
 
@@ -107,7 +107,7 @@ def items(spark, sf):
 def j7(spark, sf):
     s = items(spark, sf)
     f = s.select("l_orderkey", C("l_linenumber").alias("n2"), C("a").alias("c"), C("b").alias("d"))
-    return spans.overlap_join(s.withColumnRenamed("l_linenumber", "n1"), f, "l_orderkey", 4.0).select("l_orderkey", "n1", "n2", "a", "c")
+    return spans.overlap_join(s.withColumnRenamed("l_linenumber", "n1"), f, "l_orderkey").select("l_orderkey", "n1", "n2", "a", "c")
 
 
 @query("j6_within_window", "SELECT event_id FROM events WHERE (event_type = 'click' AND value BETWEEN 10 AND 40) OR (event_type = 'view' AND value BETWEEN 50 AND 90)")
@@ -291,10 +291,27 @@ def s13(spark, sf):
 
 vec("g21_harvest", f"""SELECT vec_id, s AS segment, CASE WHEN len(list_filter(range(s * 4, s * 4 + 4), lambda i: 20 * log10(greatest(sqrt({_SQ.format('x[i*8+1:i*8+8]')} / 8), 1e-12)) > -18)) / 4.0 > 0.5 THEN 'speech' ELSE 'noise' END AS kind
   FROM {_E}, range(2) t(s)""")(lambda d: acoustic.harvest(d, "vec_id", "x", 32, 8, -18.0, 0.5).select("vec_id", "segment", "kind"))
-# By Parseval the powers of all bins, the middle ones twice, sum to n times the energy.
-vec("g22_spectrum_energy", f"SELECT vec_id, {_SQ.format('x')} * 64 AS energy FROM {_E}")(
-    lambda d: acoustic.spectrum(d, "vec_id", "x", 64).groupBy("vec_id").agg(F.sum(C("power") * F.when(C("bin").isin(0, 32), 1).otherwise(2)).alias("energy")))
-vec("g22_lta_spectrum", f"SELECT 0 AS bin, avg(power(list_sum(x), 2)) AS power FROM {_E}")(lambda d: acoustic.lta_spectrum(acoustic.spectrum(d, "vec_id", "x", 64), []).where("bin = 0"))
+# Signals of unequal lengths: the first 40 to 63 samples. By Parseval the powers of all bins, all but
+# the first and the middle one twice, sum to n times the energy.
+_CUT = f"(SELECT vec_id, x[1:40 + vec_id % 24] AS x FROM {_E})"
+
+
+def uneven(d):
+    return d.select("vec_id", F.slice("x", F.lit(1), (40 + C("vec_id") % 24).cast("int")).alias("x"))
+
+
+vec("g22_spectrum_energy", f"SELECT vec_id, {_SQ.format('x')} * len(x) AS energy FROM {_CUT}")(
+    lambda d: acoustic.spectrum(uneven(d), "vec_id", "x").groupBy("vec_id").agg(F.sum(C("power") * F.when((C("bin") == 0) | (2 * C("bin") == C("n")), 1).otherwise(2)).alias("energy")))
+# Frames of 16 samples, half overlapped and without a window: bin 0 is the square of a frame's sum.
+vec("g22_lta_spectrum", f"SELECT 0 AS bin, avg(power(list_sum(x[i * 8 + 1:i * 8 + 16]), 2)) AS power FROM (SELECT x, unnest(range((len(x) - 16) // 8 + 1)) AS i FROM {_CUT})")(
+    lambda d: acoustic.lta_spectrum(acoustic.frame_spectrum(uneven(d), "vec_id", "x", 16, 8, window=False), []).where("bin = 0"))
+# Bands of whole signals at a rate of 640 with a transform of the signal's length, by a plain sum over samples.
+_BIN = "power(list_sum(list_transform(x, lambda v, i: v * cos(2 * pi() * k * (i - 1) / n))), 2) + power(list_sum(list_transform(x, lambda v, i: v * sin(2 * pi() * k * (i - 1) / n))), 2)"
+_BANDS = f"(SELECT vec_id, k * 640.0 / n AS f, {_BIN} AS p FROM (SELECT vec_id, x, len(x) AS n, unnest(range(len(x) // 2 + 1)) AS k FROM {_CUT}))"
+vec("g22_band_ratio", f"SELECT vec_id, 10 * log10((sum(CASE WHEN f BETWEEN 100 AND 300 THEN p ELSE 0 END) + 1e-12) / (sum(CASE WHEN f BETWEEN 10 AND 50 THEN p ELSE 0 END) + 1e-12)) AS ratio_db FROM {_BANDS} GROUP BY vec_id")(
+    lambda d: acoustic.band_ratio_db(uneven(d), "x", 640, (100, 300), (10, 50), least=1).select("vec_id", "ratio_db"))
+vec("g22_high_share", f"SELECT vec_id, 10 * log10(sum(CASE WHEN f > 160 THEN p ELSE 0 END) / (sum(CASE WHEN f > 12 AND f <= 160 THEN p ELSE 0 END) + 1e-12)) AS high_db FROM {_BANDS} GROUP BY vec_id")(
+    lambda d: acoustic.high_share_db(uneven(d), "x", 640, 160, 12).select("vec_id", "high_db"))
 vec("g25_score_windows", f"SELECT vec_id, greatest(list_sum(x[1:32]), list_sum(x[17:48]), list_sum(x[33:64])) AS total, greatest(x[1], x[17], x[33]) AS first FROM {_E}")(
     lambda d: acoustic.score_windows(d, "vec_id", "x", 32, lambda m: m[:, [0, 0]] * [0, 1] + m.sum(axis=1)[:, None] * [1, 0], 2).select("vec_id", C("scores")[0].alias("total"), C("scores")[1].alias("first")))
 query("g5_attack", None)(lambda spark, sf: acoustic.per_signal(doubles(read(spark, sf, "embeddings")), "x", lambda x: acoustic.attack_ms(x, 8000), "attack").select("vec_id", "attack"))
@@ -304,5 +321,21 @@ simple("g10_window_long", """WITH RECURSIVE s AS (SELECT o_orderkey, o_custkey %
   UNION ALL SELECT o_orderkey, size, cuts, stop, CASE WHEN size <= stop + 100 THEN size ELSE coalesce(list_max(list_filter(cuts, lambda c: c > stop + 66 AND c <= stop + 100)), stop + 100) END FROM w WHERE stop < size)
   SELECT o_orderkey, start, stop FROM w WHERE start = 0 OR stop - start >= 35""", "orders")(
     lambda d: acoustic.window_long(d.select("o_orderkey", (C("o_custkey") % 400 + 1).alias("size"), F.array(C("o_custkey") % 90, C("o_custkey") % 90 + 70, C("o_custkey") % 90 + 190).alias("cuts")), "o_orderkey", 100, "cuts"))
-query("g11_pack_short", None)(lambda spark, sf: acoustic.pack_short(read(spark, sf, "lineitem").select("l_suppkey", (C("l_orderkey") * 10 + C("l_linenumber")).alias("clip"), C("l_quantity").cast("int").alias("size")),
-                                                                    ["l_suppkey"], "clip", "size", keyed.keyed_u(7, C("clip"), "pack"), 100, 5))
+# Greedy strings by a recursion over the clips of a group in their drawn order.
+_CLIPS = f"SELECT l_suppkey, clip, size, row_number() OVER (PARTITION BY l_suppkey ORDER BY {_draw('pack', 'clip')}, clip) AS i FROM (SELECT l_suppkey, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS clip, l_quantity::INT AS size FROM lineitem)"
+
+
+def clips(d):
+    return d.select("l_suppkey", ((C("l_orderkey") * 10 + C("l_linenumber")) * 1000000 + C("l_partkey")).alias("clip"), C("l_quantity").cast("int").alias("size"))
+
+
+simple("g11_pack_short", f"""WITH RECURSIVE c AS MATERIALIZED ({_CLIPS}), r AS (SELECT l_suppkey, clip, size, i, 0::BIGINT AS string, 0::BIGINT AS "at" FROM c WHERE i = 1
+  UNION ALL SELECT c.l_suppkey, c.clip, c.size, c.i, CASE WHEN r."at" + r.size + 5 + c.size > 100 THEN r.string + 1 ELSE r.string END, CASE WHEN r."at" + r.size + 5 + c.size > 100 THEN 0 ELSE r."at" + r.size + 5 END
+  FROM r JOIN c ON c.l_suppkey = r.l_suppkey AND c.i = r.i + 1)
+  SELECT l_suppkey, string, clip, "at" FROM (SELECT *, max("at" + size) OVER (PARTITION BY l_suppkey, string) AS fill, max(string) OVER (PARTITION BY l_suppkey) AS last FROM r) WHERE fill >= 35 OR last = 0""", "lineitem")(
+    lambda d: packing.pack_short(clips(d), ["l_suppkey"], "clip", "size", keyed.keyed_u(7, C("clip"), "pack"), 100, 5))
+simple("d22_chunk_clips", f"""WITH RECURSIVE c AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY i) AS k FROM ({_CLIPS}) WHERE size >= 4), r AS (SELECT l_suppkey, clip, size, k, 0::BIGINT AS string, 0::BIGINT AS "at" FROM c WHERE k = 1
+  UNION ALL SELECT c.l_suppkey, c.clip, c.size, c.k, CASE WHEN r."at" + r.size + 4 >= 90 THEN r.string + 1 ELSE r.string END, CASE WHEN r."at" + r.size + 4 >= 90 THEN 0 ELSE r."at" + r.size + 4 END
+  FROM r JOIN c ON c.l_suppkey = r.l_suppkey AND c.k = r.k + 1)
+  SELECT l_suppkey, string, clip, "at" FROM (SELECT *, sum(size + 4) OVER (PARTITION BY l_suppkey, string) AS full_ FROM r) WHERE full_ >= 90""", "lineitem")(
+    lambda d: packing.chunk_clips(clips(d), ["l_suppkey"], "clip", "size", keyed.keyed_u(7, C("clip"), "pack"), 90, 4, 4))

@@ -8,7 +8,7 @@ from sparrowmill.functions import keyed
 from sparrowmill.operators import filters
 from sparrowmill.plans.registry import SEC, U, query, read, simple, split_sql
 from sparrowmill.sources import files
-from sparrowmill.streaming import events
+from sparrowmill.streaming import events, stateful
 
 C = F.col
 ROLES = {"click": "near", "view": "near", "purchase": "far"}
@@ -94,3 +94,26 @@ def p6_counted(spark, sf):
     return n.join(read(spark, sf, "nation"), C("c_nationkey") == C("n_nationkey")).select("c_nationkey", "n_name", "n")
 
 
+
+
+# Hops of a receiver: the squelch line is open on views and clicks, a hop lasts for 20 ms and more.
+_HOPS = f"(SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, 20 + (event_id % 7) * 15 AS dur, event_type IN ('click', 'view') AS sq, event_type = 'purchase' AS early FROM events)"
+_SIL = "sum(dur) OVER (PARTITION BY user_id, a ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING) - max(CASE WHEN sq THEN dur ELSE 0 END) OVER (PARTITION BY user_id, a)"
+
+
+def _transmissions_sql(hang: str) -> str:
+    return f"""WITH h AS (SELECT *, sum(sq::INT) OVER w AS a, sum(dur) OVER w AS t, row_number() OVER w AS i FROM {_HOPS} WINDOW w AS (PARTITION BY user_id ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING)),
+  s AS (SELECT *, {_SIL} AS silence FROM h WHERE a > 0),
+  r AS (SELECT user_id, a, min(ms) FILTER (WHERE sq) AS start, min(t - dur) FILTER (WHERE sq) AS t0, min(i) FILTER (WHERE sq) AS i0, arg_min(ms + dur, i) FILTER (WHERE NOT sq AND silence >= {hang}) AS stop,
+    arg_min(t, i) FILTER (WHERE NOT sq AND silence >= {hang}) AS t1, min(i) FILTER (WHERE NOT sq AND silence >= {hang}) AS i1 FROM s GROUP BY user_id, a),
+  g AS (SELECT *, coalesce(sum((i1 IS NOT NULL)::INT) OVER (PARTITION BY user_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM r)
+  SELECT user_id, arg_min(start, a) AS start, max(stop) AS stop, max(t1) - min(t0) AS dur, max(i1) - min(i0) + 1 AS n FROM g GROUP BY user_id, seg HAVING max(i1) IS NOT NULL AND max(t1) - min(t0) >= 500"""
+
+
+def _hops(d):
+    return d.select("user_id", "event_id", F.unix_millis(C("ts").cast("timestamp")).alias("ms"), (20 + C("event_id") % 7 * 15).alias("dur"), C("event_type").isin("click", "view").alias("sq"), (C("event_type") == "purchase").alias("early"))
+
+
+simple("l1_squelch_transmissions", _transmissions_sql("100"), "events")(lambda d: stateful.transmissions(_hops(d), "user_id", "ms", ["event_id"], C("sq"), F.lit(100), "dur"))
+simple("l1_level_transmissions", _transmissions_sql("CASE WHEN early THEN 100 ELSE 250 END"), "events")(
+    lambda d: stateful.transmissions(_hops(d), "user_id", "ms", ["event_id"], C("sq"), F.when(C("early"), 100).otherwise(250), "dur"))

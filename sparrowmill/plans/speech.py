@@ -106,9 +106,35 @@ def m12(spark, sf):
 
 spoken("m11_ref_error", f"SELECT {_KEYS}, least(levenshtein({_P4}, lpad(l_suppkey::VARCHAR, 4, '0')), levenshtein({_P4}, '1234')) / 4.0 AS err FROM lineitem")(
     lambda d: d.select(*K, scores.ref_error(C("p4"), F.array(F.lpad(C("l_suppkey").cast("string"), 4, "0"), F.lit("1234"))).alias("err")))
-_U = u_sql("concat_ws(chr(58), '7', conv_id || '-' || turn || '.' || (i - 1), 'token')") + " / 4294967296.0"
-simple("d19_corrupt_text", f"SELECT conv_id, turn, md5(array_to_string(list_filter(list_transform(w, lambda t, i: CASE WHEN {_U} < 0.1 THEN NULL WHEN {_U} < 0.3 AND t = 'the' THEN 'a' ELSE t END), lambda t: t IS NOT NULL), ' ')) AS h FROM (SELECT conv_id, turn, {_TOK} AS w FROM conversations)", "conversations")(
-    lambda d: d.select("conv_id", "turn", F.md5(F.encode(F.array_join(spans.corrupt_tokens(text.tokens(C("text")), F.concat_ws("-", "conv_id", "turn"), 0.1, 0.2, {"the": "a"}, 7), " "), "UTF-8")).alias("h")))
+# What a recogniser confuses, the digits it writes, and its fillers.
+CONFUSE = {
+    "the": ["a", "thee", ""],
+    "la": ["là", "le la"],
+    "der": ["dear", "there", "der"],
+    "que": ["qué", ""],
+    "and": ["end", "an", "and"],
+}
+WRITTEN = {"one": "1", "two": "2", "in": "1", "un": "1", "die": "2", "de": "3", "on": "4"}
+FILLERS = ["the", "a", "uh", "and", "is"]
+
+
+def _token_u(stage: str) -> str:
+    return "(" + u_sql(f"concat_ws(chr(58), '7', conv_id || '-' || turn || '.' || i, '{stage}')") + " / 4294967296.0)"
+
+
+def _from(options: list[str], stage: str) -> str:
+    return "[" + ", ".join(f"'{o}'" for o in options) + f"][floor({_token_u(stage)} * {len(options)})::INT + 1]"
+
+
+_WRONG = " ".join(f"WHEN t = '{w}' AND {_token_u('token')} < 0.48 THEN {_from(alts, 'which')}" for w, alts in CONFUSE.items())
+_DIGIT = " ".join(f"WHEN t = '{w}' AND {_token_u('token')} < 0.36 THEN '{d}'" for w, d in WRITTEN.items())
+_JOIN = u_sql("concat_ws(chr(58), '7', conv_id || '-' || turn, 'join')") + " / 4294967296.0"
+simple("d19_corrupt_text", rf"""WITH k AS (SELECT conv_id, turn, unnest(w) AS t, unnest(range(len(w))) AS i FROM (SELECT conv_id, turn, regexp_extract_all(lower(text), '[a-z\-'']+|[0-9]+') AS w FROM conversations)),
+  h AS (SELECT conv_id, turn, i, CASE {_WRONG} {_DIGIT} ELSE t END AS heard, CASE WHEN {_token_u('insert')} < 0.03 THEN {_from(FILLERS, 'filler')} ELSE '' END AS more FROM k WHERE {_token_u('token')} >= 0.09),
+  j AS (SELECT conv_id, turn, string_agg(w, ' ' ORDER BY i, o) AS s FROM (SELECT conv_id, turn, i, 0 AS o, heard AS w FROM h UNION ALL SELECT conv_id, turn, i, 1, more FROM h) WHERE w <> '' GROUP BY conv_id, turn)
+  SELECT c.conv_id, c.turn, md5(CASE WHEN {_JOIN.replace('conv_id', 'c.conv_id').replace(' turn', ' c.turn')} < 0.5 THEN regexp_replace(regexp_replace(coalesce(s, ''), '([0-9]) ([0-9])', '', 'g'), '([0-9]) ([0-9])', '', 'g') ELSE coalesce(s, '') END) AS h
+  FROM conversations c LEFT JOIN j USING (conv_id, turn)""", "conversations")(
+    lambda d: d.select("conv_id", "turn", F.md5(F.encode(spans.noisy_text(C("text"), F.concat_ws("-", "conv_id", "turn"), 0.3, CONFUSE, WRITTEN, FILLERS, 7), "UTF-8")).alias("h")))
 simple("w6_truncate_runs", "SELECT l_orderkey, l_linenumber, l_partkey, least(l_linenumber, 5)::INT AS n, l_linenumber > 5 AS cut FROM lineitem", "lineitem")(
     lambda d: d.select(*K, F.array_repeat(C("l_returnflag"), C("l_linenumber")).alias("w")).withColumn("n", radio.loop_cut(C("w"), 5)).select(*K, "n", (C("n") < F.size("w")).alias("cut")))
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparrowmill.operators.acoustic import resample
+
 
 def scan_media(spark: SparkSession, path: str, glob: str = "*.{wav,flac,ogg}") -> DataFrame:
     """Files below a folder: path, length, content (read only when used)."""
@@ -39,7 +41,7 @@ def probe_media(df: DataFrame) -> DataFrame:
 
 
 def decode_media(df: DataFrame, sr: int, start_s: float = 0.0, stop_s: float | None = None) -> DataFrame:
-    """path, sr, samples: mono mix at `sr` by linear interpolation; unreadable files give NULL."""
+    """path, sr, samples: mono mix resampled to `sr`; unreadable files give NULL."""
     def decode(data):
         w = _open(data)
         if w is None:
@@ -54,9 +56,7 @@ def decode_media(df: DataFrame, sr: int, start_s: float = 0.0, stop_s: float | N
         else:
             x = (np.frombuffer(raw, "uint8").astype("float64") - 128) / 128 if width == 1 else np.frombuffer(raw, f"<i{width}") / 2 ** (8 * width - 1)
         x = x.reshape(-1, w.getnchannels()).mean(axis=1)
-        if rate != sr and len(x):
-            x = np.interp(np.arange(int(len(x) * sr / rate)) * rate / sr, np.arange(len(x)), x)
-        return x.astype("float32")
+        return resample(x, rate, sr).astype("float32")
 
     def run(batches):
         for b in batches:

