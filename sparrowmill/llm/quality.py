@@ -62,6 +62,23 @@ def _cumulative(z, theta):
     return 1 / (1 + np.exp(-np.clip(theta[None, :] - z[:, None], -30, 30)))
 
 
+def loss_and_gradient(p: np.ndarray, at: np.ndarray, idx: np.ndarray, val: np.ndarray, grade: np.ndarray, levels: int, ridge: float):
+    """Mean negative log likelihood with a ridge, and its gradient. `p`: weights, the first threshold
+    and the logarithms of the steps to the others, so that the order of thresholds holds."""
+    m, n = BUCKETS + SHAPES, len(grade)
+    w, theta = p[:m], np.cumsum(np.r_[p[m], np.exp(p[m + 1:])])
+    z = np.bincount(at, val * w[idx], n)
+    c = np.c_[np.zeros(n), _cumulative(z, theta), np.ones(n)]
+    hi, lo = c[np.arange(n), grade + 1], c[np.arange(n), grade]
+    lik = np.maximum(hi - lo, 1e-12)
+    dhi, dlo = hi * (1 - hi) / lik, lo * (1 - lo) / lik
+    dz = (dhi - dlo) / n
+    dt = np.array([(-(dhi * (grade == k)) + dlo * (grade == k + 1)).sum() for k in range(levels - 1)]) / n
+    tail = np.cumsum(dt[::-1])[::-1]
+    g = np.r_[np.bincount(idx, val * dz[at], m) + ridge * w, tail[0], tail[1:] * np.exp(p[m + 1:])]
+    return -np.log(lik).mean() + ridge * (w @ w) / 2, g
+
+
 def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, levels: int, steps: int = 300, ridge: float = 1e-4):
     """Weights and ordered thresholds by Adam on the mean log likelihood."""
     m = BUCKETS + SHAPES
@@ -69,19 +86,10 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, le
     idx, val = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     share = np.cumsum(np.bincount(grade, minlength=levels)[:-1] + 0.5) / (len(grade) + 0.5 * levels)
     start = np.log(share / (1 - share))
-    p = np.r_[np.zeros(m), start[0], np.log(np.maximum(np.diff(start), 1e-3))]  # steps between thresholds are exponentials, so their order holds
+    p = np.r_[np.zeros(m), start[0], np.log(np.maximum(np.diff(start), 1e-3))]
     g1, g2 = np.zeros_like(p), np.zeros_like(p)
     for t in range(1, steps + 1):
-        w, theta = p[:m], np.cumsum(np.r_[p[m], np.exp(p[m + 1:])])
-        z = np.bincount(at, val * w[idx], len(rows))
-        c = np.c_[np.zeros(len(rows)), _cumulative(z, theta), np.ones(len(rows))]
-        hi, lo = c[np.arange(len(rows)), grade + 1], c[np.arange(len(rows)), grade]
-        lik = np.maximum(hi - lo, 1e-12)
-        dhi, dlo = hi * (1 - hi) / lik, lo * (1 - lo) / lik
-        dz = (dhi - dlo) / len(rows)  # of the negative log likelihood
-        dt = np.array([(-(dhi * (grade == k)) + dlo * (grade == k + 1)).sum() for k in range(levels - 1)]) / len(rows)
-        tail = np.cumsum(dt[::-1])[::-1]
-        g = np.r_[np.bincount(idx, val * dz[at], m) + ridge * w, tail[0], tail[1:] * np.exp(p[m + 1:])]
+        _, g = loss_and_gradient(p, at, idx, val, grade, levels, ridge)
         g1, g2 = 0.9 * g1 + 0.1 * g, 0.999 * g2 + 0.001 * g * g
         p = p - 0.05 * (g1 / (1 - 0.9**t)) / (np.sqrt(g2 / (1 - 0.999**t)) + 1e-8)
     return p[:m], np.cumsum(np.r_[p[m], np.exp(p[m + 1:])])

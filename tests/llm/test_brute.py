@@ -231,21 +231,107 @@ def test_toxicity_learns_from_one_side_of_the_split(spark):
     assert all(r.score == 0 for r in toxicity.score_toxicity(frame(spark, rows), labels.limit(0)).collect())
 
 
-def test_ordinal_fit_equals_the_likelihoods_gradient():
-    texts = [prose(12).encode() for _ in range(40)]
+def _ordinal_case(n, levels):
+    texts = [prose(12).encode() for _ in range(n)]
     doc, i, v = quality.features(texts)
+    return doc, i, v, np.array([k % levels for k in range(n)])
+
+
+def test_ordinal_gradient_equals_finite_differences():
+    doc, i, v, grade = _ordinal_case(40, 4)
+    m, r = quality.BUCKETS + quality.SHAPES, np.random.default_rng(0)
+    p = np.r_[r.normal(0, 0.3, m), -0.4, r.normal(0, 0.5, 2)]
+    f = lambda q: quality.loss_and_gradient(q, doc, i, v, grade, 4, 0.01)
+    loss, g = f(p)
+    w, theta = p[:m], np.cumsum(np.r_[p[m], np.exp(p[m + 1:])])
+    z = np.array([v[doc == k] @ w[i[doc == k]] for k in range(40)])
+    below = lambda k, zz: 0.0 if k < 0 else 1.0 if k > 2 else 1 / (1 + np.exp(-(theta[k] - zz)))
+    plain = -np.mean([np.log(below(k, zz) - below(k - 1, zz)) for k, zz in zip(grade, z)]) + 0.005 * (w @ w)
+    assert loss == pytest.approx(plain, abs=1e-9)
+    for k in [*r.choice(np.unique(i), 25, replace=False), m - 2, m, m + 1, m + 2]:
+        e = np.zeros(len(p))
+        e[k] = 1e-5
+        assert (f(p + e)[0] - f(p - e)[0]) / 2e-5 == pytest.approx(g[k], abs=1e-7)
+
+
+def test_ordinal_fit_lowers_the_loss_and_keeps_thresholds_in_order():
+    doc, i, v, grade = _ordinal_case(40, 3)
     rows = [(i[doc == k], v[doc == k]) for k in range(40)]
     assert all(abs((x[1][x[0] < quality.BUCKETS] ** 2).sum() - 1) < 1e-9 for x in rows)
-    grade = np.array([k % 3 for k in range(40)])
     w, theta = quality.fit_ordinal(rows, grade, 3, steps=200)
     assert (np.diff(theta) > 0).all()
+    loss = lambda w, theta: quality.loss_and_gradient(np.r_[w, theta[0], np.log(np.diff(theta))], doc, i, v, grade, 3, 0.0)[0]
+    assert loss(w, theta) < 0.6 * loss(np.zeros_like(w), np.sort(theta))
 
-    def loss(w, theta):
-        z = np.array([x[1] @ w[x[0]] for x in rows])
-        c = np.c_[np.zeros(40), quality._cumulative(z, theta), np.ones(40)]
-        return -np.log(c[np.arange(40), grade + 1] - c[np.arange(40), grade]).mean()
 
-    assert loss(w, theta) < 0.6 * loss(np.zeros_like(w), np.sort(theta))
+def test_grades_out_of_range_raise(spark):
+    d = frame(spark, [(i, prose(5)) for i in range(4)])
+    for g in (-1, quality.MAX_GRADE + 1):
+        with pytest.raises(ValueError, match="grades must be"):
+            quality.score_quality(d, spark.createDataFrame([(k, g) for k in range(4)], "doc_id bigint, grade int"))
+
+
+def test_labelled_rows_are_bounded_though_ids_repeat(spark):
+    from sparrowmill.llm.common import bounded
+
+    rows = frame(spark, [(i % 2, prose(3)) for i in range(3000)])
+    assert bounded(rows, 5000).count() == 3000 and 150 < bounded(rows, 300).count() < 450
+
+
+def _token_by_token(text, arcs):
+    """Features of a text by reading every word and mark with the four rules, no tables and no skips."""
+    kinds = {w: c for c, ws in (("Y", toxicity.TARGET), ("R", toxicity.REPORTED), ("N", toxicity.NEGATION), ("H", toxicity.THREAT)) for w in ws.split()} | {w: "I" for w in arcs}
+    plain = text.lower()
+    for mark, other in toxicity.PLAIN:
+        plain = plain.replace(mark, other)
+    target = negation = 0
+    said = quoted = match = False
+    out = dict.fromkeys(toxicity.FEATURES, 0.0)
+    for t in [*re.findall(r"[0-9a-z\x80-\U0010ffff]+|[.!?;\n\"]", plain), "."]:
+        c = {'"': "Q"}.get(t, "E" if t in ".!?;\n" else kinds.get(t, "O"))
+        weight = arcs.get(t, 1.0) if c == "I" else 1.0
+        # Target: an insult or threat within reach of a target is aimed at it.
+        aimed = target > 0
+        target = 0 if c == "E" else toxicity.TARGET_REACH if c == "Y" else target if c == "Q" else max(0, target - 1)
+        c = {"I": "J", "H": "K"}.get(c, c) if aimed else "O" if c == "H" else c
+        # Negation.
+        off = negation > 0
+        negation = 0 if c == "E" else toxicity.NEGATION_REACH if c == "N" else negation if c == "Q" else max(0, negation - 1)
+        c = "X" if off and c in "IJK" else c
+        # Report and quotation.
+        inside = said or quoted
+        if c == "R":
+            said = True
+        elif c == "Q":
+            quoted = not quoted
+        elif c == "E":
+            said = False
+        c = "Z" if inside and c in "IJK" else c
+        # Clause.
+        if c in "IJKXZ":
+            match = True
+        elif c == "E":
+            c, match = "C" if match else "E", False
+        if c in out:
+            out[c] += weight
+    return [out[c] for c in toxicity.FEATURES]
+
+
+def test_grammar_equals_reading_every_token():
+    arcs = {"blorf": 2.0, "snek": 0.5}
+    g, r = toxicity.Grammar(arcs), random.Random(11)
+    words = ["you", "blorf", "snek", "not", "said", "kill", "tree", "a", "hm", "isn't", "tu", "été"]
+    marks = ['"', ".", " ", "; ", "\n", "“", "”", "…", "!", ", "]
+    texts = ['"you blorf" ok', '"', "", "...", '" "you snek', "blorf", '." you kill']
+    for _ in range(1500):
+        t = "".join(r.choice(marks) for _ in range(r.choice((0, 0, 1, 2))))
+        for _ in range(r.randrange(14)):
+            t += r.choice(words) + r.choice(("", "", *marks)) + " "
+        texts.append(t)
+    got = g.features(toxicity.tokens([t.encode() for t in texts]))
+    for t, row in zip(texts, got):
+        assert row.tolist() == _token_by_token(t, arcs), t
+    assert got[0].tolist() == [0, 0, 0, 0, 2, 1]
 
 
 def test_chat_layouts_may_be_mixed_in_a_table(spark):

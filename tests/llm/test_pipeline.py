@@ -3,6 +3,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from sparrowmill.llm import exact_dedup
 
@@ -49,3 +51,17 @@ def test_exact_dedup_keeps_one_row_of_each_text(spark):
     rows = [(None, "a"), (None, "A"), (1, "b"), (1, "b"), (2, "c"), (2, "d"), (None, "c"), (3, None), (3, "")]
     got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).where("kept").collect()
     assert sorted(str(r.doc_id) for r in got) == ["1", "2", "2", "3", "None"] and all(r.doc_id == r.keep_id for r in got)
+
+
+@pytest.mark.parametrize("value", [0, None])
+def test_a_column_named_as_the_row_number_changes_nothing(spark, tmp_path, value):
+    docs = spark.createDataFrame([(1, "same text"), (2, "SAME text"), (3, "other"), (4, "same text")], "doc_id bigint, text string")
+    clash = docs.withColumn("_row_key", F.lit(value).cast("bigint"))
+    (tmp_path / "sf").mkdir()
+    kept = lambda d: sorted(r.doc_id for r in corpus_pipeline.exact_stage(spark, d, str(tmp_path / "sf")).collect())
+    assert kept(docs) == kept(clash) == [3, 4]
+    once = corpus_pipeline.exact_stage(spark, clash, str(tmp_path / "sf"))
+    once.write.parquet(str(tmp_path / "stage"))
+    again = spark.read.parquet(str(tmp_path / "stage"))  # as the next stage reads it
+    assert "_row_key" in again.columns and kept(again) == [3, 4] and kept(again.unionByName(again.limit(0))) == [3, 4]
+    assert {c for c in again.columns if c.startswith("_row_key")} == {"_row_key", "_row_key_"}
