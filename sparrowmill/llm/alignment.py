@@ -30,7 +30,9 @@ from .common import materialise, utf8
 from .scan import columns, runs
 
 #: Tokens of A in a lane, tokens of lanes that advance together, chunks that a worker remembers and their longest.
-LANE, RUN_BYTES, MEMO, MEMO_CHARS = 192, 1_000_000, 200_000, 48
+LANE, RUN_BYTES, MEMO, MEMO_CHARS = 192, 1_000_000, 100_000, 48
+# Fixed value: the split pattern of the byte-level vocabulary.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: At most this many pair counts are sent to the workers.
 HEAVY = 200_000
 
@@ -45,17 +47,20 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        import tokenizers
+        import tiktoken
 
-        self.a = tokenizers.Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         back = {c: b for b, c in byte_alphabet().items()}
         with open(a_path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        ids = [vocab["".join(m)] for m in merges]
+        if spec.get("normalizer") or ids != sorted(ids) or (ids and ids[0] < 256):
+            raise ValueError(f"{a_path}: ids must follow the order of merges, and texts must not be normalised")
         self.a_bytes = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
+        # Ids follow the order of merges, so they are ranks.
+        self.a = tiktoken.Encoding("a", pat_str=SPLIT, special_tokens={}, mergeable_ranks={b: i for (t, i), b in zip(vocab.items(), self.a_bytes.values()) if t not in special})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.n_b = len(pieces)
@@ -68,6 +73,7 @@ class Pair:
         self.text = np.array([sign + str(k) for sign in ",;|" for k in range(n)], object)
         self.stride = n
         self.known: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
 
     def chunks(self, text: str) -> list[str]:
         """Chunks of a space and the text."""
@@ -81,31 +87,35 @@ class Pair:
         return parts
 
     def learn(self, new: list[str]) -> dict[str, tuple | None]:
-        """Ids of chunks by both tokenizers; None where the bytes of either differ from the chunk."""
-        a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        b = self.b.encode([c[1:] for c in new], num_threads=1)
-        out = {}
-        for c, x, y in zip(new, a, b):
-            raw = c.encode()
-            same = b"".join(map(self.a_bytes.get, x)) == raw and b"".join([self.b_bytes[i] for i in y]) == raw
-            out[c] = (x, y) if same else None
+        """Ids of chunks by both tokenizers; None where the bytes of B differ from the chunk. A is byte-level: its never do."""
+        out, one, pieces = {}, self.a.encode_ordinary, self.b_bytes
+        for c, y in zip(new, self.b.encode([c[1:] for c in new], num_threads=1)):
+            out[c] = (one(c), y) if b"".join([pieces[i] for i in y]) == c.encode() else None
         return out
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and B per text, empty where the text is empty or bytes differ."""
+        """Ids of A and B per text, empty where the text is empty or bytes differ. Chunks that were met
+        lately are remembered in two generations."""
         cut = [self.chunks(t) if t else [] for t in texts]
-        known = self.known
-        new = [c for c in dict.fromkeys(itertools.chain.from_iterable(cut)) if c not in known]
-        got = self.learn(new) if new else {}
+        known, old, got, new = self.known, self.old, {}, []
+        for c in set(itertools.chain.from_iterable(cut)):
+            if c in known:
+                got[c] = known[c]
+            elif c in old:
+                got[c] = known[c] = old[c]
+            else:
+                new.append(c)
+        learnt = self.learn(new)
+        got.update(learnt)
         out = []
         for parts in cut:
-            both = [known[c] if c in known else got[c] for c in parts]
+            both = [got[c] for c in parts]
             if not parts or None in both:
                 both = []
-            out.append(tuple(np.fromiter(itertools.chain.from_iterable([x[k] for x in both]), "int32") for k in (0, 1)))
+            out.append(tuple(np.array(list(itertools.chain.from_iterable([x[k] for x in both])), "int32") for k in (0, 1)))
+        known.update((c, x) for c, x in learnt.items() if len(c) <= MEMO_CHARS)
         if len(known) > MEMO:
-            known.clear()
-        known.update((c, x) for c, x in got.items() if len(c) <= MEMO_CHARS)
+            self.known, self.old = {}, known
         return out
 
 
