@@ -5,7 +5,7 @@ each keeps its least value; an empty bin borrows from the first full bin of a pr
 that depends on the bin alone, the same for all sets. `BANDS` groups of bins are buckets.
 
 A bucket proposes no pairs of its members, only edges from a centre to them: a star. Centres
-are the members of least hash, so clusters agree on them over all their buckets. The parts that
+are the members of least number, so clusters agree on them over all their buckets. The parts that
 these edges join are settled in tasks by exact intersections of the full sets, again in stars:
 a node is compared with all nodes of its part that share a shingle, and only nodes outside the
 part's largest component become a next centre. So every pair of bucket mates is linked, or in
@@ -26,8 +26,8 @@ from .jaccard_join import components
 from .scan import GRAPH, columns, grams, mix, runs, scan
 
 SHINGLE, PERCENT = 4, 80
-#: A pair at the threshold shares no bucket with probability (1 - 0.8**ROWS)**BANDS, 4e-9 here.
-BANDS, ROWS = 64, 6
+#: A pair at the threshold shares no bucket with probability (1 - 0.8**ROWS)**BANDS, 6e-8 here.
+BANDS, ROWS = 42, 5
 BINS = BANDS * ROWS
 #: Sets that are hashed at once, and sets that a worker remembers so that copies are not hashed again.
 SLICE, MEMO = 2048, 50_000
@@ -231,8 +231,7 @@ def minhash_dedup(docs: DataFrame, percent: int = PERCENT, n_words: int = SHINGL
     nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     spots = nodes.select("id", F.explode("bands").alias("key"))
     total = nodes.count() * BANDS
-    least = F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c")
-    shared = materialise(spots.groupBy("key").agg(F.count(F.lit(1)).alias("_w"), least).where("_w > 1").select("key", "_w", F.col("c.id").alias("hub_id")), "shared")
+    shared = materialise(spots.groupBy("key").agg(F.count(F.lit(1)).alias("_w"), F.min("id").alias("hub_id")).where("_w > 1"), "shared")
     edges = skew_join(spots, shared, ["key"], "_w", "id", total).select("id", F.col("hub_id").alias("grp")).distinct()
     edges = materialise(edges, "stars")
     degree = edges.groupBy(F.col("grp").alias("id")).agg(F.count(F.lit(1)).alias("edges"))
@@ -241,7 +240,8 @@ def minhash_dedup(docs: DataFrame, percent: int = PERCENT, n_words: int = SHINGL
 
     # Full sets of these nodes; their texts are found again by id and key. Copies of a head's row
     # can meet in several tasks, so one set of each id is taken.
-    texts = src.join(parts.select("id", "node", "_d", "_t"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))).select("id", "node", "text")
+    # The heads grow with the corpus, so they are not broadcast at any size.
+    texts = src.join(parts.select("id", "node", "_d", "_t").hint("merge"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))).select("id", "node", "text")
     sets = texts.mapInArrow(_full_sets(n_words), "id bigint, shingles array<bigint>").dropDuplicates(["id"])
     tasks, known = _tasks(parts.select("id", "label", "n", "edges"), sets, percent)
     found = tasks.groupBy("task", "i", "j").applyInPandas(_settle(percent), "id bigint, grp bigint")
