@@ -16,15 +16,35 @@ _P4 = "lpad((l_partkey % 10000)::VARCHAR, 4, '0')"
 _KEYS = "l_orderkey, l_linenumber, l_partkey"
 
 
+# Six reports by key: contact, no sender, no contact, an odd digit run, two grids, casualties.
+_T = "l_partkey % 6"
+_N = "l_linenumber"
+_HEAD = f"'bravo 26, this is alpha ' || {_N} || ', '"
+_NORM = f"""CASE {_T} WHEN 0 THEN {_HEAD} || 'contact front, squad size enemy, grid ' || {_P4} || ', over' WHEN 1 THEN 'bravo 26, radio check, how do you read, over'
+  WHEN 2 THEN {_HEAD} || 'sitrep, no contact, grid ' || {_P4} || ', out' WHEN 3 THEN {_HEAD} || 'moving to grid ' || substr({_P4}, 1, 3) || ', over'
+  WHEN 4 THEN {_HEAD} || 'contact left, ' || {_N} || ' enemy, grid ' || {_P4} || ', and grid ' || reverse({_P4}) || ', over'
+  ELSE {_HEAD} || 'medevac, ' || {_N} || ' urgent, grid ' || {_P4} || ', over' END"""
+
+
 def said(d):
-    """Line items with `p4` (four digits), `said` (a report that speaks them) and `words` (with probabilities)."""
+    """Line items with `p4` (four digits), `said` (one of six reports that speaks them) and `words` (with probabilities)."""
     names = F.array(*map(F.lit, SPOKEN))
     word = lambda c: F.element_at(names, c.cast("int") + 1)
     d = d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", F.lpad((C("l_partkey") % 10000).cast("string"), 4, "0").alias("p4"))
     w = [word(F.substring("p4", i, 1)) for i in (1, 2, 3, 4)]
-    speech = F.concat(F.lit("Bravo two six, this is alpha "), word(C("l_linenumber")), F.lit(", contact front, squad size enemy, great "), w[0], F.lit(" "), w[1], F.lit(", "), w[2], F.lit(" "), w[3], F.lit(", over"))
+    n = word(C("l_linenumber"))
+    say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    run = lambda *ws: F.array_join(F.array(*ws), " ")
+    head = say("Bravo two six, this is alpha ", n, ", ")
+    t = C("l_partkey") % 6
+    speech = (F.when(t == 0, say(head, "contact front, squad size enemy, great ", run(*w[:2]), ", ", run(*w[2:]), ", over")).when(t == 1, "Bravo two six, radio check, how do you read, over")
+              .when(t == 2, say(head, "sitrep, no contact, grid ", run(*w), ", out")).when(t == 3, say(head, "moving to grid ", run(*w[:3]), ", over"))
+              .when(t == 4, say(head, "contact left, ", n, " enemy, grade ", run(*w), ", and grid ", run(*w[::-1]), ", over"))
+              .otherwise(say(head, "medevac, ", n, " urgent, grid ", w[0], ", ", run(*w[1:]), ", over")))
     p = [F.lit(0.9), C("l_discount") + 0.5, F.lit(0.7), F.lit(0.8)]
-    return d.withColumn("said", speech).withColumn("words", F.array(*[F.struct(x.alias("w"), q.alias("p")) for x, q in zip(w, p)]))
+    scored = F.array(*[F.struct(x.alias("w"), q.alias("p")) for x, q in zip(w, p)])
+    lead = F.array(F.struct(F.lit("grid").alias("w"), F.lit(0.1).alias("p")))
+    return d.withColumn("said", speech).withColumn("words", F.when(t == 2, F.concat(lead, scored)).otherwise(scored))
 
 
 def spoken(name: str, sql: str):
@@ -35,18 +55,25 @@ def spoken(name: str, sql: str):
 
 
 K = ["l_orderkey", "l_linenumber", "l_partkey"]
-spoken("t2_normalise_numerals", f"SELECT {_KEYS}, 'bravo 26, this is alpha ' || l_linenumber || ', contact front, squad size enemy, grid ' || {_P4} || ', over' AS norm FROM lineitem")(
+spoken("t2_normalise_numerals", f"SELECT {_KEYS}, {_NORM} AS norm FROM lineitem")(
     lambda d: d.select(*K, radio.normalise_numerals(C("said")).alias("norm")))
-spoken("t3_callsign", f"SELECT {_KEYS}, 'B26' AS first, 'A' || l_linenumber AS second, NULL::VARCHAR AS none FROM lineitem")(
+spoken("t3_callsign", f"SELECT {_KEYS}, 'B26' AS first, CASE WHEN {_T} <> 1 THEN 'A' || {_N} END AS second, NULL::VARCHAR AS none FROM lineitem")(
     lambda d: d.select(*K, *[radio.callsign_at(radio.radio_words(C("said")), F.lit(i))["sign"].alias(n) for n, i in (("first", 0), ("second", 5), ("none", 1))]))
-spoken("t4_extract", f"SELECT {_KEYS}, 'B26' AS receiver, 'A' || l_linenumber AS sender, {_P4} AS grids, 'contact_report' AS types, true AS contact, 'squad' AS size, 'front' AS direction, 'over' AS closing, NULL::INT AS casualties FROM lineitem")(
+spoken("t4_extract", f"""SELECT {_KEYS}, 'B26' AS receiver, CASE WHEN {_T} <> 1 THEN 'A' || {_N} END AS sender, CASE {_T} WHEN 1 THEN '' WHEN 3 THEN '' WHEN 4 THEN {_P4} || ',' || reverse({_P4}) ELSE {_P4} END AS grids,
+  CASE {_T} WHEN 1 THEN 'radio_check' WHEN 2 THEN 'contact_report,sitrep' WHEN 3 THEN 'movement' WHEN 5 THEN 'medevac' ELSE 'contact_report' END AS types, {_T} IN (0, 4) AS contact,
+  CASE {_T} WHEN 0 THEN 'squad' WHEN 4 THEN {_N}::VARCHAR END AS size, CASE {_T} WHEN 0 THEN 'front' WHEN 4 THEN 'left' END AS direction, CASE WHEN {_T} = 2 THEN 'out' ELSE 'over' END AS closing,
+  CASE WHEN {_T} = 5 THEN {_N}::INT END AS casualties FROM lineitem""")(
     lambda d: radio.with_extraction(d, "said").select(*K, "receiver", "sender", F.array_join("grids", ",").alias("grids"), F.array_join("types", ",").alias("types"), "contact", "size", "direction", "closing", "casualties"))
-spoken("t5_grounded", f"SELECT {_KEYS}, contains('26 ' || l_linenumber || ' ' || {_P4}, l_suppkey::VARCHAR) AS ok FROM lineitem")(lambda d: d.select(*K, radio.grounded(C("l_suppkey"), C("said")).alias("ok")))
+spoken("t5_grounded", f"SELECT {_KEYS}, contains({_NORM}, l_suppkey::VARCHAR) AS ok FROM lineitem")(lambda d: d.select(*K, radio.grounded(C("l_suppkey"), C("said")).alias("ok")))
 spoken("t6_grid_to_xy", f"SELECT {_KEYS}, substr({_P4}, 1, 2)::BIGINT * 1000 + 500 AS easting, substr({_P4}, 3, 2)::BIGINT * 1000 + 500 AS northing, 500.0::DOUBLE AS half, {_P4} AS back FROM lineitem")(
     lambda d: d.select(*K, radio.grid_to_xy(C("p4")).alias("g")).select(*K, "g.easting", "g.northing", "g.half", radio.xy_to_grid(C("g.easting"), C("g.northing"), 4).alias("back")))
-spoken("t7_number_confidence", f"SELECT {_KEYS}, (0.9 + l_discount + 0.5 + 0.7 + 0.8) / 4 AS conf FROM lineitem")(lambda d: d.select(*K, radio.number_confidence(C("p4"), C("words")).alias("conf")))
-spoken("t8_collapse_loops", f"SELECT {_KEYS}, CASE WHEN l_linenumber > 5 THEN 'go go go go go [unreliable: repetition]' ELSE repeat('go ', l_linenumber) || 'end' END AS s FROM lineitem")(
-    lambda d: d.select(*K, radio.collapse_loops(F.concat(F.repeat(F.lit("go "), C("l_linenumber")), F.lit("end"))).alias("s")))
+spoken("t7_number_confidence", f"SELECT {_KEYS}, CASE WHEN {_T} <> 3 OR {_P4} = reverse({_P4}) THEN (0.9 + l_discount + 0.5 + 0.7 + 0.8) / 4 END AS conf FROM lineitem")(
+    lambda d: d.select(*K, radio.number_confidence(F.when(C("l_partkey") % 6 == 3, F.reverse("p4")).otherwise(C("p4")), C("words")).alias("conf")))
+spoken("t8_collapse_loops", f"""SELECT {_KEYS}, CASE {_T} % 3 WHEN 1 THEN repeat('go stop ', {_N}) || 'end' WHEN 2 THEN CASE WHEN {_N} > 4 THEN 'start' || repeat(' Go, go.', 2) || ' Go, [unreliable: repetition]' ELSE 'start ' || repeat('Go, go. ', {_N} // 2) || 'end' END
+  ELSE CASE WHEN {_N} > 5 THEN 'go go go go go [unreliable: repetition]' ELSE repeat('go ', {_N}) || 'end' END END AS s FROM lineitem""")(
+    lambda d: d.select(*K, radio.collapse_loops(F.when(C("l_partkey") % 3 == 1, F.concat(F.repeat(F.lit("go stop "), C("l_linenumber")), F.lit("end")))
+                                                .when(C("l_partkey") % 3 == 2, F.concat(F.lit("start "), F.repeat(F.lit("Go, go. "), F.when(C("l_linenumber") > 4, 3).otherwise(F.floor(C("l_linenumber") / 2).cast("int"))), F.lit("end")))
+                                                .otherwise(F.concat(F.repeat(F.lit("go "), C("l_linenumber")), F.lit("end")))).alias("s")))
 _ENGLISH = "['zero', 'one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine']"
 simple("t10_expand_words", f"SELECT k, pos::INT AS pos, {_ENGLISH}[substr(p4, pos + 1, 1)::INT + 1] AS w, q + pos / 4.0 AS start, q + (pos + 1) / 4.0 AS stop FROM (SELECT l_orderkey * 100 + l_linenumber AS k, l_quantity AS q, {_P4} AS p4, unnest(range(4)) AS pos FROM lineitem)", "lineitem")(
     lambda d: radio.expand_words(said(d).select((C("l_orderkey") * 100 + C("l_linenumber")).alias("k"), "p4", C("l_quantity").alias("q"), (C("l_quantity") + 1).alias("e")), "k", "p4", "q", "e"))
@@ -62,9 +89,13 @@ def marked(d):
     return radio.with_extraction(d, "said")
 
 
-simple("l2_ingest", f"SELECT l_orderkey * 100 + l_linenumber AS tx, {_P4} AS grid, 'enemy' AS kind, CASE WHEN {_CONF} >= 0.75 THEN '' ELSE 'UNCONFIRMED ' END || 'Enemy squad' AS label, 'A' || l_linenumber AS sender, {_CONF} >= 0.75 AS confirmed, 500.0::DOUBLE AS half_m FROM lineitem", "lineitem")(
+_MARKED = f"SELECT *, {_T} AS t, {_P4} AS p4 FROM lineitem WHERE {_T} NOT IN (1, 3)"
+simple("l2_ingest", f"""SELECT l_orderkey * 100 + l_linenumber AS tx, grid, CASE t WHEN 2 THEN 'friendly' WHEN 5 THEN 'casualty' ELSE 'enemy' END AS kind,
+  CASE WHEN sure THEN '' ELSE 'UNCONFIRMED ' END || CASE t WHEN 0 THEN 'Enemy squad' WHEN 2 THEN 'A' || l_linenumber WHEN 4 THEN 'Enemy ' || l_linenumber ELSE 'CASEVAC ' || l_linenumber || ' urgent' END AS label, 'A' || l_linenumber AS sender, sure AS confirmed, 500.0::DOUBLE AS half_m
+  FROM (SELECT *, grid <> p4 OR {_CONF} >= 0.75 AS sure FROM (SELECT *, unnest(CASE WHEN t = 4 THEN [p4, reverse(p4)] ELSE [p4] END) AS grid FROM ({_MARKED})))""", "lineitem")(
     lambda d: radio.markers(marked(d), "tx", "l_quantity", "words").select("tx", "grid", "kind", "label", "sender", "confirmed", "half_m"))
-simple("l4_enrich", f"""SELECT l_orderkey * 100 + l_linenumber AS tx, CASE WHEN l_quantity > 25 THEN 'direction_said,' ELSE '' END || 'enemy_size' || CASE WHEN l_quantity > 10 THEN ',grid_digits' ELSE '' END || CASE WHEN l_linenumber = 3 THEN ',sender_said' ELSE '' END AS kept FROM lineitem""", "lineitem")(
+simple("l4_enrich", f"""SELECT l_orderkey * 100 + l_linenumber AS tx, array_to_string(list_filter([CASE WHEN {_T} = 0 AND l_quantity > 25 THEN 'direction_said' END, CASE WHEN {_T} = 0 THEN 'enemy_size' END,
+  CASE WHEN (l_quantity > 10) = ({_T} NOT IN (1, 3)) THEN 'grid_digits' END, CASE WHEN {_T} <> 1 AND l_linenumber = 3 THEN 'sender_said' END], lambda v: v IS NOT NULL), ',') AS kept FROM lineitem""", "lineitem")(
     lambda d: radio.enrich(marked(d).withColumns({"direction_said": F.when(C("l_quantity") > 25, "front").otherwise("squad"), "enemy_size": F.lit("squad"), "grid_digits": F.when(C("l_quantity") > 10, C("p4")).otherwise(F.lit("26")),
                                                   "sender_said": F.lit("alpha tree")}), ["direction_said", "enemy_size", "grid_digits", "sender_said"], "said").select("tx", F.array_join("kept", ",").alias("kept")))
 
@@ -135,8 +166,10 @@ simple("d19_corrupt_text", rf"""WITH k AS (SELECT conv_id, turn, unnest(w) AS t,
   SELECT c.conv_id, c.turn, md5(CASE WHEN {_JOIN.replace('conv_id', 'c.conv_id').replace(' turn', ' c.turn')} < 0.5 THEN regexp_replace(regexp_replace(coalesce(s, ''), '([0-9]) ([0-9])', '', 'g'), '([0-9]) ([0-9])', '', 'g') ELSE coalesce(s, '') END) AS h
   FROM conversations c LEFT JOIN j USING (conv_id, turn)""", "conversations")(
     lambda d: d.select("conv_id", "turn", F.md5(F.encode(spans.noisy_text(C("text"), F.concat_ws("-", "conv_id", "turn"), 0.3, CONFUSE, WRITTEN, FILLERS, 7), "UTF-8")).alias("h")))
-simple("w6_truncate_runs", "SELECT l_orderkey, l_linenumber, l_partkey, least(l_linenumber, 5)::INT AS n, l_linenumber > 5 AS cut FROM lineitem", "lineitem")(
-    lambda d: d.select(*K, F.array_repeat(C("l_returnflag"), C("l_linenumber")).alias("w")).withColumn("n", radio.loop_cut(C("w"), 5)).select(*K, "n", (C("n") < F.size("w")).alias("cut")))
+# Two runs with a mark between them; a run beyond five is cut behind its fifth word.
+simple("w6_truncate_runs", """SELECT l_orderkey, l_linenumber, l_partkey, (CASE WHEN l_linenumber > 5 THEN 5 WHEN l_partkey % 9 > 5 THEN l_linenumber + 6 ELSE l_linenumber + 1 + l_partkey % 9 END)::INT AS n,
+  l_linenumber > 5 OR l_partkey % 9 > 5 AS cut FROM lineitem""", "lineitem")(
+    lambda d: d.select(*K, F.concat(F.array_repeat(C("l_returnflag"), C("l_linenumber")), F.array(F.lit("mark")), F.array_repeat(C("l_linestatus"), (C("l_partkey") % 9).cast("int"))).alias("w")).withColumn("n", radio.loop_cut(C("w"), 5)).select(*K, "n", (C("n") < F.size("w")).alias("cut")))
 
 # Imports
 simple("s5_predominant", "SELECT event_id, event_type AS cls FROM events WHERE value >= 1 AND user_id % 5 >= 1", "events")(
