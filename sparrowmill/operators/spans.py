@@ -56,13 +56,17 @@ def within_window(df: DataFrame, windows: DataFrame, key: str, t: str) -> DataFr
 
 
 def join_cum_weight(df: DataFrame, weights: DataFrame, u: str, name: str, weight: str) -> DataFrame:
-    """Each row's draw u in [0, 1) picks the name whose cumulative weight interval holds it. The
-    weight table is a configuration, numbered in one window and broadcast."""
-    w = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(weight).over(Window.partitionBy())
-    cum = weights.withColumn("_hi", F.sum(weight).over(w) / total).withColumn("_lo", F.col("_hi") - F.col(weight) / total)
-    cum = cum.select(name, "_lo", "_hi")
-    return df.join(F.broadcast(cum), (F.col(u) >= F.col("_lo")) & (F.col(u) < F.col("_hi"))).drop("_lo", "_hi")
+    """Each row's draw u in [0, 1) picks the name whose cumulative weight interval, by name, holds it.
+    Weights and draws are sorted together and each draw takes the last interval that begins at or
+    before it, so either table may be of any size. Draws outside [0, 1) and null ones pick nothing."""
+    w = weights.where(F.col(weight) > 0).select(F.lit(0).alias("_k"), name, F.col(weight).cast("double").alias("_w"))
+    cum = materialise(scan(w, "_k", [name], sums={"_hi": F.col("_w")}), "cum")
+    total = cum.agg(F.max("_hi").alias("_total"))
+    begin = cum.crossJoin(F.broadcast(total)).select(((F.col("_hi") - F.col("_w")) / F.col("_total")).alias("_v"), F.lit(0).alias("_draw"), F.col(name).alias("_name"))  # one row
+    rows = df.where((F.col(u) >= 0) & (F.col(u) < 1)).select(F.col(u).cast("double").alias("_v"), F.lit(1).alias("_draw"), F.struct(*df.columns).alias("_r"))
+    both = begin.unionByName(rows, allowMissingColumns=True).withColumn("_k", F.lit(0))
+    met = scan(both, "_k", ["_v", "_draw"], last={"_found": F.col("_name")})
+    return met.where("_draw = 1 and _found is not null").select("_r.*", F.col("_found").alias(name))
 
 
 def empty_cells(a: DataFrame, b: DataFrame, fact: DataFrame) -> DataFrame:

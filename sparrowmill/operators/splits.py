@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import lookup
@@ -21,13 +21,12 @@ def time_split(df: DataFrame, length: Column, windows: list[tuple[str, float, fl
 
 
 def tail_split(df: DataFrame, group: str) -> DataFrame:
-    """For few groups: the last one is test, the second last val if there are three or more.
-    Only the distinct groups, which this split is meant for when few, pass one window."""
-    g = df.select(group).where(F.col(group).isNotNull()).distinct()
-    w = Window.orderBy(F.desc(group))
-    ranked = g.withColumn("_r", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    name = F.when(F.col("_r") == 1, "test").when((F.col("_r") == 2) & (F.col("_n") >= 3), "val").otherwise("train")
-    return df.join(ranked.select(group, name.alias("split")), group, "left")
+    """For few groups: the last one is test, the second last val if there are three or more. The
+    three last groups, a row of the plan, are all that the split needs to know."""
+    last = df.select(group).where(F.col(group).isNotNull()).distinct().orderBy(F.desc(group)).limit(3)
+    top = last.agg(F.sort_array(F.collect_list(group), asc=False).alias("_t"))
+    name = F.when(F.col(group) == F.get("_t", F.lit(0)), "test").when((F.col(group) == F.get("_t", F.lit(1))) & (F.size("_t") == 3), "val").when(F.col(group).isNotNull(), "train")
+    return df.crossJoin(F.broadcast(top)).withColumn("split", name).drop("_t")  # one row
 
 
 def force_split(split: Column, eval_only: Column, official: Column | None = None) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import keyed
-from sparrowmill.operators import filters
+from sparrowmill.functions.shared import shared_dir
+from sparrowmill.operators import filters, radio
 from sparrowmill.plans.registry import SEC, U, query, read, simple, split_sql
 from sparrowmill.sources import files
 from sparrowmill.streaming import events, stateful
@@ -117,3 +118,49 @@ def _hops(d):
 simple("l1_squelch_transmissions", _transmissions_sql("100"), "events")(lambda d: stateful.transmissions(_hops(d), "user_id", "ms", ["event_id"], C("sq"), F.lit(100), "dur"))
 simple("l1_level_transmissions", _transmissions_sql("CASE WHEN early THEN 100 ELSE 250 END"), "events")(
     lambda d: stateful.transmissions(_hops(d), "user_id", "ms", ["event_id"], C("sq"), F.when(C("early"), 100).otherwise(250), "dur"))
+
+
+# Files that are written from the tables and read back.
+@query("s6_meta_lines", "SELECT event_id, event_type, value FROM events")
+def s6(spark, sf):
+    path = shared_dir(spark) + "-meta"
+    read(spark, sf, "events").select("event_id", "event_type", "value").write.json(path)
+    return files.read_meta(spark, path, "event_id bigint, event_type string, value double")
+
+
+@query("s7_manifest", "SELECT doc_id, lang, source FROM documents")
+def s7(spark, sf):
+    path = shared_dir(spark) + "-manifest"
+    files.write_manifest(read(spark, sf, "documents").select("doc_id", "lang", "source"), path)
+    return files.read_manifest(spark, path, ["doc_id", "lang"])
+
+
+@query("s4_label_csv", "SELECT 'f' || event_id AS file, event_type AS cls, value AS a, user_id::DOUBLE AS b FROM events")
+def s4_csv(spark, sf):
+    path = shared_dir(spark) + "-labels"
+    e = read(spark, sf, "events")
+    e.select(F.concat(F.lit("f"), "event_id").alias("name"), C("event_type").alias("kind"), F.concat(F.lit("[ "), "value", F.lit(", "), "user_id", F.lit("]")).alias("r")).write.option("header", True).csv(path)
+    labels = files.scan_label_csv(spark, path, "name", {"cls": "kind", "ratings": "r"}, ("ratings",))
+    return labels.select("file", "cls", C("ratings")[0].alias("a"), C("ratings")[1].alias("b"))
+
+
+@query("s8_embedded_audio", "SELECT octet_length(encode(text)) AS n, lang AS speaker, source AS text FROM documents")
+def s8(spark, sf):
+    rows = read(spark, sf, "documents").select(F.struct(C("text").cast("binary").alias("bytes")).alias("audio"), C("lang").alias("speaker"), C("source").alias("transcript"))
+    return files.read_embedded(rows).select(F.octet_length("content").alias("n"), "speaker", "text")
+
+
+# Latitude and longitude of grids: the inverse series with its coefficients in SQL.
+_F = "(1 / 298.257223563)"
+_LL = f"""WITH n AS (SELECT {_F} / (2 - {_F}) AS n), k AS (SELECT n, 6378137.0 / (1 + n) * (1 + n^2 / 4 + n^4 / 64) AS a, [n / 2 - 2 * n^2 / 3 + 37 * n^3 / 96, n^2 / 48 + n^3 / 15, 17 * n^3 / 480] AS b, [2 * n - 2 * n^2 / 3 - 2 * n^3, 7 * n^2 / 3 - 8 * n^3 / 5, 56 * n^3 / 15] AS d FROM n),
+  g AS (SELECT l_orderkey, l_linenumber, l_partkey, 400000 + (l_partkey % 10000 // 100) * 1000 + 500.0 AS e, 5300000 + (l_partkey % 100) * 1000 + 500.0 AS m FROM lineitem),
+  x AS (SELECT g.*, k.*, m / (0.9996 * a) AS xi, (e - 500000.0) / (0.9996 * a) AS eta FROM g, k),
+  y AS (SELECT *, xi - b[1] * sin(2 * xi) * cosh(2 * eta) - b[2] * sin(4 * xi) * cosh(4 * eta) - b[3] * sin(6 * xi) * cosh(6 * eta) AS x1, eta - b[1] * cos(2 * xi) * sinh(2 * eta) - b[2] * cos(4 * xi) * sinh(4 * eta) - b[3] * cos(6 * xi) * sinh(6 * eta) AS e1 FROM x),
+  z AS (SELECT *, asin(sin(x1) / cosh(e1)) AS chi FROM y)
+  SELECT l_orderkey, l_linenumber, l_partkey, round(degrees(chi + d[1] * sin(2 * chi) + d[2] * sin(4 * chi) + d[3] * sin(6 * chi)), 7) AS lat, round(degrees(radians(15) + atan2(sinh(e1), cos(x1))), 7) AS lon FROM z"""
+
+
+@simple("t6_grid_to_latlon", _LL, "lineitem")
+def t6_latlon(d):
+    at = radio.grid_to_latlon(F.lpad((C("l_partkey") % 10000).cast("string"), 4, "0"), "33UVP")
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", at.alias("p")).select("l_orderkey", "l_linenumber", "l_partkey", F.round("p.lat", 7).alias("lat"), F.round("p.lon", 7).alias("lon"))
