@@ -314,7 +314,10 @@ vec("g22_high_share", f"SELECT vec_id, 10 * log10(sum(CASE WHEN f > 160 THEN p E
     lambda d: acoustic.high_share_db(uneven(d), "x", 640, 160, 12).select("vec_id", "high_db"))
 vec("g25_score_windows", f"SELECT vec_id, greatest(list_sum(x[1:32]), list_sum(x[17:48]), list_sum(x[33:64])) AS total, greatest(x[1], x[17], x[33]) AS first FROM {_E}")(
     lambda d: acoustic.score_windows(d, "vec_id", "x", 32, lambda m: m[:, [0, 0]] * [0, 1] + m.sum(axis=1)[:, None] * [1, 0], 2).select("vec_id", C("scores")[0].alias("total"), C("scores")[1].alias("first")))
-query("g5_attack", None)(lambda spark, sf: acoustic.per_signal(doubles(read(spark, sf, "embeddings")), "x", lambda x: acoustic.attack_ms(x, 8000), "attack").select("vec_id", "attack"))
+_RISE = "list_position(list_transform(rise, lambda v: v >= {0} * rise[len(rise)]), true)"
+vec("g5_attack", f"""SELECT vec_id, ({_RISE.format(0.9)} - {_RISE.format(0.1)}) / 8000.0 * 1000 AS attack FROM (SELECT vec_id, part[1:list_position(part, list_max(part))] AS rise
+  FROM (SELECT vec_id, env[list_position(list_transform(env, lambda v: v >= 0.1 * list_max(env)), true):][1:12] AS part FROM (SELECT vec_id, list_transform(x, lambda v: abs(v)) AS env FROM {_E})))""")(
+    lambda d: acoustic.per_signal(d, "x", lambda x: acoustic.attack_ms(x, 8000), "attack").select("vec_id", "attack"))
 query("g12_loudness", None)(lambda spark, sf: acoustic.loudness_lufs(doubles(read(spark, sf, "embeddings")), "vec_id", "x", 100))
 simple("g10_window_long", """WITH RECURSIVE s AS (SELECT o_orderkey, o_custkey % 400 + 1 AS size, [o_custkey % 90, o_custkey % 90 + 70, o_custkey % 90 + 190] AS cuts FROM orders),
   w AS (SELECT o_orderkey, size, cuts, 0::BIGINT AS start, CASE WHEN size <= 100 THEN size ELSE coalesce(list_max(list_filter(cuts, lambda c: c > 66 AND c <= 100)), 100) END AS stop FROM s

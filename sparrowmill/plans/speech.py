@@ -125,7 +125,10 @@ def m9(spark, sf):
     return turns(spark, sf).select("conv_id", "turn", scores.keyword_recall(C("r"), C("h"), _VOCAB).alias("recall"))
 
 
-@query("m10_word_errors", None)
+# Rows of the edit table one by one: a recursion over the reference, a fold over the hypothesis.
+@query("m10_word_errors", f"""WITH RECURSIVE p AS (SELECT conv_id, turn, r, h, 0 AS i, range(len(h) + 1) AS d FROM {_TURNS} UNION ALL
+  SELECT conv_id, turn, r, h, i + 1, list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]), lambda a, j: list_append(a, least(a[-1] + 1, d[j[1] + 1] + 1, d[j[1]] + (r[i + 1] <> h[j[1]])::BIGINT)), [i + 1::BIGINT]) FROM p WHERE i < len(r))
+  SELECT conv_id, turn, d[-1] AS errors FROM p WHERE i = len(r)""")
 def m10(spark, sf):
     return turns(spark, sf).select("conv_id", "turn", scores.word_errors(C("r"), C("h")).alias("errors"))
 
