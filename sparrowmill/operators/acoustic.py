@@ -50,17 +50,24 @@ def _biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.fft.irfft(np.fft.rfft(x, m) * np.fft.rfft(h, m), m)[:len(x)]
 
 
-def k_weighted(x: np.ndarray, sr: int) -> np.ndarray:
+def k_filters(sr: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Numerator and denominator (without its leading one) of both filters of the K weighting."""
     fc, gain, q = SHELF
     amp, w = 10 ** (gain / 40), 2 * np.pi * fc / sr
     c, al = np.cos(w), np.sin(w) / (2 * q) * 2 * np.sqrt(amp)
     up, down = amp + 1, amp - 1
     a0 = up - down * c + al
-    x = _biquad(x, np.array([amp * (up + down * c + al), -2 * amp * (down + up * c), amp * (up + down * c - al)]) / a0, np.array([2 * (down - up * c), up - down * c - al]) / a0)
+    shelf = np.array([amp * (up + down * c + al), -2 * amp * (down + up * c), amp * (up + down * c - al)]) / a0, np.array([2 * (down - up * c), up - down * c - al]) / a0
     fc, q = HIGH_PASS
     w = 2 * np.pi * fc / sr
     c, al = np.cos(w), np.sin(w) / (2 * q)
-    return _biquad(x, np.array([(1 + c) / 2, -(1 + c), (1 + c) / 2]) / (1 + al), np.array([-2 * c, 1 - al]) / (1 + al))
+    return shelf, (np.array([(1 + c) / 2, -(1 + c), (1 + c) / 2]) / (1 + al), np.array([-2 * c, 1 - al]) / (1 + al))
+
+
+def k_weighted(x: np.ndarray, sr: int) -> np.ndarray:
+    for b, a in k_filters(sr):
+        x = _biquad(x, b, a)
+    return x
 
 
 def peak_hold(df: DataFrame, x: str, release: float, name: str) -> DataFrame:

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 from .filters import lookup
 
 # The spelling alphabet, spoken digits, words heard in their place, and the closed lists of the report rules.
-LETTERS = {w: w[0].upper() for w in """alfa alpha bravo charlie delta echo foxtrot golf hotel india juliett juliet kilo lima mike november
-oscar papa quebec romeo sierra tango uniform victor whiskey whisky x-ray xray yankee zulu""".split()}
-DIGITS = {w: d for d, ws in {"0": "zero oh", "1": "one wun", "2": "two too", "3": "three tree", "4": "four fower for", "5": "five fife",
-                             "6": "six", "7": "seven", "8": "eight ait", "9": "nine niner"}.items() for w in ws.split()}
+LETTERS = {
+    "alfa": "A", "alpha": "A", "bravo": "B", "charlie": "C", "delta": "D", "echo": "E",
+    "foxtrot": "F", "golf": "G", "hotel": "H", "india": "I", "juliett": "J", "juliet": "J",
+    "kilo": "K", "lima": "L", "mike": "M", "november": "N", "oscar": "O", "papa": "P",
+    "quebec": "Q", "romeo": "R", "sierra": "S", "tango": "T", "uniform": "U", "victor": "V",
+    "whiskey": "W", "whisky": "W", "x-ray": "X", "xray": "X", "yankee": "Y", "zulu": "Z",
+}
+DIGITS = {
+    "zero": "0", "oh": "0", "one": "1", "wun": "1", "two": "2", "too": "2", "three": "3", "tree": "3",
+    "four": "4", "fower": "4", "for": "4", "five": "5", "fife": "5", "six": "6", "seven": "7", "eight": "8",
+    "ait": "8", "nine": "9", "niner": "9",
+}
 HEARD = {"power": "4", "for": "4", "four's": "4", "to": "2", "too": "2", "won": "1", "free": "3", "fight": "5", "nicer": "9", "nina": "9", "ate": "8", "sex": "6", "fire": "5"}
 GRID_WORDS = ["grid", "grade", "great", "grit", "greed", "greet", "grids"]
 SIZES = ["platoon", "squad", "section", "company", "fire team", "team"]

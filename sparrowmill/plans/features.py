@@ -318,7 +318,16 @@ _RISE = "list_position(list_transform(rise, lambda v: v >= {0} * rise[len(rise)]
 vec("g5_attack", f"""SELECT vec_id, ({_RISE.format(0.9)} - {_RISE.format(0.1)}) / 8000.0 * 1000 AS attack FROM (SELECT vec_id, part[1:list_position(part, list_max(part))] AS rise
   FROM (SELECT vec_id, env[list_position(list_transform(env, lambda v: v >= 0.1 * list_max(env)), true):][1:12] AS part FROM (SELECT vec_id, list_transform(x, lambda v: abs(v)) AS env FROM {_E})))""")(
     lambda d: acoustic.per_signal(d, "x", lambda x: acoustic.attack_ms(x, 8000), "attack").select("vec_id", "attack"))
-query("g12_loudness", None)(lambda spark, sf: acoustic.loudness_lufs(doubles(read(spark, sf, "embeddings")), "vec_id", "x", 100))
+# Both filters run sample by sample, then blocks of 40 samples every ten and the two gates.
+(_B, _A), (_D, _C) = [([repr(float(v)) for v in b], [repr(float(v)) for v in a]) for b, a in acoustic.k_filters(100)]
+_LUFS = "-0.691 + 10 * log10({0} + 1e-12)"
+vec("g12_loudness", f"""WITH RECURSIVE r AS (SELECT vec_id, x, 0 AS i, 0.0::DOUBLE AS x1, 0.0::DOUBLE AS x2, 0.0::DOUBLE AS u1, 0.0::DOUBLE AS u2, 0.0::DOUBLE AS y1, 0.0::DOUBLE AS y2 FROM {_E}
+  UNION ALL SELECT vec_id, x, i + 1, x[i + 1], x1, u, u1, {_D[0]} * u + {_D[1]} * u1 + {_D[2]} * u2 - {_C[0]} * y1 - {_C[1]} * y2, y1
+  FROM (SELECT *, {_B[0]} * x[i + 1] + {_B[1]} * x1 + {_B[2]} * x2 - {_A[0]} * u1 - {_A[1]} * u2 AS u FROM r WHERE i < len(x))),
+  z AS (SELECT vec_id, k, avg(y1 * y1) AS z FROM r, range(3) t(k) WHERE i > k * 10 AND i <= k * 10 + 40 GROUP BY ALL),
+  l AS (SELECT *, {_LUFS.format('z')} AS level FROM z WHERE {_LUFS.format('z')} > -70), g AS (SELECT vec_id, {_LUFS.format('avg(z)')} - 10 AS gate FROM l GROUP BY vec_id),
+  o AS (SELECT vec_id, {_LUFS.format('avg(z)')} AS lufs FROM l JOIN g USING (vec_id) WHERE level > gate GROUP BY vec_id)
+  SELECT vec_id, coalesce(lufs, -70.0) AS lufs FROM embeddings LEFT JOIN o USING (vec_id)""")(lambda d: acoustic.loudness_lufs(d, "vec_id", "x", 100))
 simple("g10_window_long", """WITH RECURSIVE s AS (SELECT o_orderkey, o_custkey % 400 + 1 AS size, [o_custkey % 90, o_custkey % 90 + 70, o_custkey % 90 + 190] AS cuts FROM orders),
   w AS (SELECT o_orderkey, size, cuts, 0::BIGINT AS start, CASE WHEN size <= 100 THEN size ELSE coalesce(list_max(list_filter(cuts, lambda c: c > 66 AND c <= 100)), 100) END AS stop FROM s
   UNION ALL SELECT o_orderkey, size, cuts, stop, CASE WHEN size <= stop + 100 THEN size ELSE coalesce(list_max(list_filter(cuts, lambda c: c > stop + 66 AND c <= stop + 100)), stop + 100) END FROM w WHERE stop < size)
