@@ -30,25 +30,26 @@ def scan(df: DataFrame, key: str, order: list[str], sums: dict[str, Column] | No
     names = iter(exprs)
     s, g, d, k = ({n: next(names) for n in group} for group in (sums, lag, lead, last))
     t = ranged(df.withColumns(exprs).withColumn("_row", F.monotonically_increasing_id()), key, *order, "_row")
+    t = t.withColumn("_key", F.struct(key))  # never null, and equal where keys are null: one shuffle serves windows and join
     place = F.struct(*order, "_row")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
 
-    ahead = Window.partitionBy(key).orderBy("_part")  # a row per range of a key
+    ahead = Window.partitionBy("_key").orderBy("_part")  # a row per range of a key
     before = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    parts = t.groupBy("_part", key).agg(
+    parts = t.groupBy("_part", "_key").agg(
         *[F.sum(zero(c)).alias(c) for c in s.values()], *[F.max_by(F.struct(c), place).alias(c) for c in g.values()],
         *[F.min_by(F.struct(c), place).alias(c) for c in d.values()], *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in k.values()])
     carry = parts.select(
-        F.col("_part").alias("_scan_p"), F.col(key).alias("_scan_k"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_c{c}") for c in s.values()],
+        "_part", "_key", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_c{c}") for c in s.values()],
         *[F.lag(c).over(ahead).alias(f"_c{c}") for c in g.values()], *[F.lead(c).over(ahead).alias(f"_c{c}") for c in d.values()],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_c{c}") for c in k.values()])
 
-    own = Window.partitionBy("_part", key).orderBy(*order, "_row")  # within a range
+    own = Window.partitionBy("_part", "_key").orderBy(*order, "_row")  # within a range
     upto, prior = own.rowsBetween(Window.unboundedPreceding, 0), own.rowsBetween(Window.unboundedPreceding, -1)
     near = {c: F.lag(F.struct(c)).over(own) for c in g.values()} | {c: F.lead(F.struct(c)).over(own) for c in d.values()}
     inside = {c: F.sum(zero(c)).over(upto) for c in s.values()} | near | {c: F.last(c, ignorenulls=True).over(prior) for c in k.values()}
-    t = t.select(*df.columns, "_part", *[e.alias(f"_i{c}") for c, e in inside.items()])
-    t = t.join(carry, (F.col("_part") == F.col("_scan_p")) & F.col(key).eqNullSafe(F.col("_scan_k")))
+    t = t.select(*df.columns, "_part", "_key", *[e.alias(f"_i{c}") for c, e in inside.items()])
+    t = t.join(carry, ["_part", "_key"])
     both = lambda c: F.coalesce(f"_i{c}", f"_c{c}")
     return t.select(*df.columns, *[(F.col(f"_i{c}") + F.col(f"_c{c}")).alias(n) for n, c in s.items()],
                     *[both(c)[c].alias(n) for n, c in [*g.items(), *d.items()]], *[both(c).alias(n) for n, c in k.items()])
