@@ -166,7 +166,7 @@ _JOIN = u_sql("concat_ws(chr(58), '7', conv_id || '-' || turn, 'join')") + " / 4
 simple("d19_corrupt_text", rf"""WITH k AS (SELECT conv_id, turn, unnest(w) AS t, unnest(range(len(w))) AS i FROM (SELECT conv_id, turn, regexp_extract_all(lower(text), '[a-z\-'']+|[0-9]+') AS w FROM conversations)),
   h AS (SELECT conv_id, turn, i, CASE {_WRONG} {_DIGIT} ELSE t END AS heard, CASE WHEN {_token_u('insert')} < 0.03 THEN {_from(FILLERS, 'filler')} ELSE '' END AS more FROM k WHERE {_token_u('token')} >= 0.09),
   j AS (SELECT conv_id, turn, string_agg(w, ' ' ORDER BY i, o) AS s FROM (SELECT conv_id, turn, i, 0 AS o, heard AS w FROM h UNION ALL SELECT conv_id, turn, i, 1, more FROM h) WHERE w <> '' GROUP BY conv_id, turn)
-  SELECT c.conv_id, c.turn, md5(CASE WHEN {_JOIN.replace('conv_id', 'c.conv_id').replace(' turn', ' c.turn')} < 0.5 THEN regexp_replace(regexp_replace(coalesce(s, ''), '([0-9]) ([0-9])', '', 'g'), '([0-9]) ([0-9])', '', 'g') ELSE coalesce(s, '') END) AS h
+  SELECT c.conv_id, c.turn, md5(CASE WHEN {_JOIN.replace('conv_id', 'c.conv_id').replace(' turn', ' c.turn')} < 0.5 THEN regexp_replace(regexp_replace(coalesce(s, ''), '([0-9]) ([0-9])', '\1\2', 'g'), '([0-9]) ([0-9])', '\1\2', 'g') ELSE coalesce(s, '') END) AS h
   FROM conversations c LEFT JOIN j USING (conv_id, turn)""", "conversations")(
     lambda d: d.select("conv_id", "turn", F.md5(F.encode(spans.noisy_text(C("text"), F.concat_ws("-", "conv_id", "turn"), 0.3, CONFUSE, WRITTEN, FILLERS, 7), "UTF-8")).alias("h")))
 # Two runs with a mark between them; a run beyond five is cut behind its fifth word.
