@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import math
+import re
+from functools import reduce
+from operator import or_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .filters import lookup
 
@@ -37,10 +42,19 @@ TYPES = {
 }
 CONFIRMED = 0.75
 UNRELIABLE = "[unreliable: repetition]"
+TOKEN = r"[a-z0-9\-']+|[,.?!]"
+# Kinds of tokens: d digits, h heard for a digit, f heard but never first in a run, g a misheard grid, c a comma or stop inside runs, o others.
+_KIND = {**dict.fromkeys(GRID_WORDS, "g"), **dict.fromkeys(",.", "c"), **dict.fromkeys(HEARD, "h"), "fire": "f", **dict.fromkeys(DIGITS, "d")}
+_RUN = re.compile("(?:d|h(?=d))(?:[dhf]|c(?=d))*|g(?=d|[hf]d)")
+
+
+def bound(value: Column, f) -> Column:
+    """f of a value that is worked out once for a row, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def radio_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[a-z0-9\-']+|[,.?!]"), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
 def digit_of(word: Column) -> Column:
@@ -48,34 +62,42 @@ def digit_of(word: Column) -> Column:
     return F.when(word.rlike("^[0-9]+$"), word).otherwise(lookup(word, DIGITS))
 
 
+def _joined(texts: list[str]) -> list[str]:
+    """Lower-case texts with runs of digits joined; all of them in one list of tokens, a line feed between two."""
+    toks = re.findall(TOKEN + "|\n", "\n".join([t.replace("\n", " ") for t in texts]))
+    kinds = "".join([_KIND.get(t) or ("d" if t.isdigit() else "o") for t in toks])
+    out, end = [], 0
+    for m in _RUN.finditer(kinds):
+        i, j = m.span()
+        out += toks[end:i]
+        out.append("grid" if kinds[i] == "g" else "".join([HEARD.get(t) or DIGITS.get(t, t) for t in toks[i:j] if t not in ",."]))
+        end = j
+    joined = " ".join(out + toks[end:])
+    for mark in ",.?!":
+        joined = joined.replace(" " + mark, mark)
+    return [t.strip(" ") for t in joined.split("\n")]
+
+
+@F.pandas_udf(StringType())
+def _normalised(text: pd.Series) -> pd.Series:
+    """A few texts at a time, so that long ones are not all held as tokens."""
+    out, some, size = [], [], 0
+    for t in text:
+        some.append(t)
+        size += len(t)
+        if size > 1 << 18:
+            out += _joined(some)
+            some, size = [], 0
+    return pd.Series(out + (_joined(some) if some else []), dtype=object)
+
+
 def normalise_numerals(text: Column) -> Column:
     """Runs of spoken digits become one number; commas and stops inside a run vanish; words that
     are heard for digits count only beside digits; a misheard `grid` before a number is mended.
 
-    Each token is classed by its neighbours first; one pass over the tokens then joins runs."""
-    toks = radio_tokens(text)
-    tok = lambda all_, i: F.get(all_, i)  # noqa: E731  null beyond the end
-
-    def classed(all_):
-        def one(t, i):
-            n1, n2 = tok(all_, i + 1), tok(all_, i + 2)
-            next_digit = digit_of(n1).isNotNull()
-            grid = t.isin(GRID_WORDS) & (next_digit | (n1.isin(list(HEARD)) & digit_of(n2).isNotNull()))
-            return F.struct(F.when(F.coalesce(grid, F.lit(False)), "grid").otherwise(t).alias("t"), digit_of(t).alias("d"), lookup(t, HEARD).alias("h"), F.coalesce(next_digit, F.lit(False)).alias("n"))
-        return F.transform(all_, one)
-
-    def step(s, x):
-        open_ = s["run"] != ""
-        skip = x["t"].isin(",", ".") & open_ & x["n"]
-        heard = x["h"].isNotNull() & (open_ | x["n"]) & ~((x["t"] == "fire") & ~open_)
-        digit = F.when(heard, x["h"]).otherwise(x["d"])
-        flushed = F.concat(s["out"], F.when(open_, F.concat(F.lit(" "), s["run"])).otherwise(""), F.lit(" "), x["t"])
-        return F.struct(F.when(skip | digit.isNotNull(), s["out"]).otherwise(flushed).alias("out"),
-                        F.when(skip, s["run"]).when(digit.isNotNull(), F.concat(s["run"], digit)).otherwise("").alias("run"))
-
-    zero = F.struct(F.lit("").alias("out"), F.lit("").alias("run"))
-    done = F.aggregate(classed(toks), zero, step, lambda s: F.concat(s["out"], F.when(s["run"] != "", F.concat(F.lit(" "), s["run"])).otherwise("")))
-    return F.regexp_replace(F.ltrim(done), r" ([,.?!])", "$1")
+    One pass over the tokens of a text, as an Arrow function: use it in a column of its own where
+    it is read often, and not inside a lambda."""
+    return _normalised(F.lower(F.coalesce(text, F.lit(""))))
 
 
 def radio_words(text: Column) -> Column:
@@ -84,8 +106,10 @@ def radio_words(text: Column) -> Column:
 
 def callsign_at(words: Column, i: Column) -> Column:
     """Struct (sign, stop) of a letter word and one or two digit words at i (from 0), else null."""
-    letter, one, two = lookup(F.get(words, i), LETTERS), digit_of(F.get(words, i + 1)), digit_of(F.get(words, i + 2))
-    return F.when((i >= 0) & letter.isNotNull() & one.isNotNull(), F.struct(F.concat(letter, one, F.coalesce(two, F.lit(""))).alias("sign"), (i + F.when(two.isNotNull(), 3).otherwise(2)).alias("stop")))
+    # Digits are looked up only behind a letter.
+    parts = bound(lookup(F.get(words, i), LETTERS), lambda x: F.when(x.isNotNull(), F.struct(x.alias("letter"), digit_of(F.get(words, i + 1)).alias("one"), digit_of(F.get(words, i + 2)).alias("two"))))
+    sign = lambda x: F.struct(F.concat(x["letter"], x["one"], F.coalesce(x["two"], F.lit(""))).alias("sign"), (i + F.when(x["two"].isNotNull(), 3).otherwise(2)).alias("stop"))
+    return F.when(i >= 0, bound(parts, lambda x: F.when(x["one"].isNotNull(), sign(x))))
 
 
 def _first(found: Column, names: list[str], test) -> Column:
@@ -100,36 +124,41 @@ def with_extraction(df: DataFrame, text: str) -> DataFrame:
     grids, types, contact, size, direction, distance, casualties, closing, unreliable.
 
     Null text counts as empty. Lists are tried in their order and the first entry counts."""
-    w, low, norm = F.col("_w"), F.col("_low"), F.col("norm")
+    w, low, norm, k, calls, types = map(F.col, ("_w", "_low", "norm", "_k", "_calls", "types"))
+    # A column of its own for what several fields read: each is worked out once for a row.
     d = df.withColumn("_w", radio_words(F.col(text))).withColumn("_low", F.array_join("_w", " ")).withColumn("norm", normalise_numerals(F.col(text)))
-    head = F.substring_index(low, "this is", 1)
-    k = F.when(low.contains("this is"), F.size(F.filter(F.split(F.trim(head), " +"), lambda x: x != "")))
-    calls = F.filter(F.transform(F.sequence(F.greatest(F.lit(0), k - 4), F.greatest(F.lit(0), k - 1)), lambda i: callsign_at(w, i)), lambda c: c.isNotNull() & (c["stop"] <= k))
-    numbers = lambda pattern: F.nullif(F.regexp_extract(norm, pattern, 1), F.lit(""))
-    types = F.array_compact(F.array(*[F.when(low.rlike("|".join(keys)), t) for t, keys in TYPES.items()]))
+    # Words before it: they are joined by single spaces.
+    head = bound(F.trim(F.substring_index(low, "this is", 1)), lambda h: F.when(h == "", 0).otherwise(F.length(h) - F.length(F.replace(h, F.lit(" "))) + 1))
+    d = d.withColumn("_k", F.when(low.contains("this is"), head))
+    signs = F.filter(F.transform(F.sequence(F.greatest(F.lit(0), k - 4), F.greatest(F.lit(0), k - 1)), lambda i: callsign_at(w, i)), lambda c: c.isNotNull() & (c["stop"] <= k))
+    numbers = lambda pattern: F.get(F.regexp_extract_all(norm, F.lit(pattern), F.lit(1)), F.lit(0))
+    kinds = F.array_compact(F.array(*[F.when(reduce(or_, [low.contains(key) for key in keys]), t) for t, keys in TYPES.items()]))
+    d = d.withColumns({"_calls": signs, "types": kinds})
     bad = F.coalesce(F.col(text), F.lit("")).contains("[unreliable")
     grids = F.filter(F.regexp_extract_all(F.replace(norm, F.lit(","), F.lit(" ")), F.lit(r"grid ([0-9]+)"), F.lit(1)), lambda g: F.length(g).isin(4, 6, 8, 10))
     fields = {
         "receiver": F.when(k.isNotNull(), F.get(calls, F.lit(0))["sign"]).otherwise(callsign_at(w, F.lit(0))["sign"]),
         "sender": F.when(k.isNotNull(), callsign_at(w, k + 2)["sign"]),
         "grids": F.when(bad, F.array().cast("array<string>")).otherwise(grids),
-        "types": types,
         "contact": F.array_contains(types, "contact_report") & ~low.contains("no contact"),
         "size": F.coalesce(_first(low, SIZES, lambda c, n: c.contains(n)), numbers(r"([0-9]+) (?:enemy|hostiles?|troops|vehicles?|pax)")),
-        "direction": _first(low, DIRECTIONS, lambda c, n: c.rlike(rf"\b{n}\b")),
-        "distance": F.nullif(F.regexp_extract(norm, r"([0-9]+ (?:meters|metres|klicks|kilometers|km))", 1), F.lit("")),
+        "direction": _first(low, DIRECTIONS, lambda c, n: c.contains(n) & c.rlike(rf"\b{n}\b")),
+        "distance": numbers(r"([0-9]+ (?:meters|metres|klicks|kilometers|km))"),
         "casualties": numbers(r"([0-9]+) (?:urgent|casualt\w*|wounded|kia|wia)").cast("int"),
         "closing": F.when(low.rlike(r"\bout\b\W*$"), "out").when(low.rlike(r"\bover\b\W*$"), "over"),
         "unreliable": bad,
     }
-    return d.withColumns(fields).drop("_w", "_low")
+    return d.withColumns(fields).drop("_w", "_low", "_k", "_calls")
 
 
 def grounded(value: Column, text: Column) -> Column:
     """Every word and digit run of the value occurs in the text or in its normalised form."""
-    norm, low = normalise_numerals(text), F.lower(F.coalesce(text, F.lit("")))
+    return _in_forms(value, F.struct(F.lower(F.coalesce(text, F.lit(""))).alias("low"), normalise_numerals(text).alias("norm")))
+
+
+def _in_forms(value: Column, forms: Column) -> Column:
     parts = F.regexp_extract_all(F.lower(value.cast("string")), F.lit("[a-z]+|[0-9]+"), F.lit(0))
-    return F.forall(parts, lambda t: (F.instr(norm, t) > 0) | (F.instr(low, t) > 0))
+    return bound(forms, lambda x: F.forall(parts, lambda t: x["norm"].contains(t) | x["low"].contains(t)))
 
 
 def grid_to_xy(grid: Column) -> Column:
@@ -155,17 +184,23 @@ def utm_to_latlon(easting: Column, northing: Column, zone: int) -> Column:
     big = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
     delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
-    xi, eta = northing / (0.9996 * big), (easting - 500000.0) / (0.9996 * big)
-    x1, e1 = xi, eta
-    for j, b in enumerate(beta, 1):
-        x1 = x1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        e1 = e1 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(x1) / F.cosh(e1))
-    lat = chi
-    for j, d in enumerate(delta, 1):
-        lat = lat + d * F.sin(2 * j * chi)
-    lon = math.radians(6 * zone - 183) + F.atan2(F.sinh(e1), F.cos(x1))
-    return F.struct(F.degrees(lat).alias("lat"), F.degrees(lon).alias("lon"))
+
+    def sphere(p):
+        x1, e1 = xi, eta = p["xi"], p["eta"]
+        for j, b in enumerate(beta, 1):
+            x1 = x1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+            e1 = e1 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+        return F.struct(x1.alias("x1"), e1.alias("e1"))
+
+    def place(p):
+        lat = chi = p["chi"]
+        for j, d in enumerate(delta, 1):
+            lat = lat + d * F.sin(2 * j * chi)
+        return F.struct(F.degrees(lat).alias("lat"), F.degrees(p["lon"]).alias("lon"))
+
+    angles = lambda p: F.struct(F.asin(F.sin(p["x1"]) / F.cosh(p["e1"])).alias("chi"), (math.radians(6 * zone - 183) + F.atan2(F.sinh(p["e1"]), F.cos(p["x1"]))).alias("lon"))
+    flat = F.struct((northing / (0.9996 * big)).alias("xi"), ((easting - 500000.0) / (0.9996 * big)).alias("eta"))
+    return bound(bound(bound(flat, sphere), angles), place)
 
 
 def square_origin(square: str) -> tuple[int, float, float]:
@@ -183,22 +218,27 @@ def square_origin(square: str) -> tuple[int, float, float]:
 
 def grid_to_latlon(grid: Column, square: str = "33UVP") -> Column:
     zone, e, n = square_origin(square)
-    xy = grid_to_xy(grid)
-    at = utm_to_latlon(xy["easting"] + e, xy["northing"] + n, zone)
-    return F.when(xy.isNotNull(), F.struct(at["lat"].alias("lat"), at["lon"].alias("lon"), xy["half"].alias("half")))
+
+    def latlon(xy):
+        at = utm_to_latlon(xy["easting"] + e, xy["northing"] + n, zone)
+        return F.when(xy.isNotNull(), bound(at, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), xy["half"].alias("half"))))
+
+    return bound(grid_to_xy(grid), latlon)
 
 
 def number_confidence(number: Column, words: Column) -> Column:
     """Mean word probability over the digits of a number, null if the words do not hold it.
     `words`: array<struct<w, p>> in order."""
     def digits(x):
-        t = F.regexp_replace(F.lower(x["w"]), r"^[.,?!]+|[.,?!]+$", "")
-        d = F.coalesce(digit_of(t), lookup(t, HEARD))
+        d = bound(F.regexp_replace(F.lower(x["w"]), r"^[.,?!]+|[.,?!]+$", ""), lambda t: F.coalesce(digit_of(t), lookup(t, HEARD)))
         return F.transform(F.filter(F.split(F.coalesce(d, F.lit("")), ""), lambda c: c != ""), lambda c: F.struct(c.alias("d"), x["p"].cast("double").alias("p")))
-    flat = F.flatten(F.transform(words, digits))
-    at = F.instr(F.array_join(F.transform(flat, lambda s: s["d"]), ""), number)
-    part = F.slice(flat, F.greatest(at, F.lit(1)), F.length(number))
-    return F.when(at > 0, F.aggregate(part, F.lit(0.0), lambda s, v: s + v["p"]) / F.length(number))
+
+    def mean(x):
+        part = F.slice(x["flat"], F.greatest(x["at"], F.lit(1)), F.length(number))
+        return F.when(x["at"] > 0, F.aggregate(part, F.lit(0.0), lambda s, v: s + v["p"]) / F.length(number))
+
+    place = lambda flat: F.struct(flat.alias("flat"), F.instr(F.array_join(F.transform(flat, lambda s: s["d"]), ""), number).alias("at"))
+    return bound(bound(F.flatten(F.transform(words, digits)), place), mean)
 
 
 def loop_cut(words: Column, most: int) -> Column:
@@ -249,11 +289,12 @@ def markers(reports: DataFrame, tx: str, ts: str, words: str | None = None, squa
     g = reports.withColumn("grid", F.explode("grids"))
     has = lambda t: F.array_contains("types", t)
     kind = F.when(has("medevac"), "casualty").when(has("check_fire"), "check_fire").when(has("fire_mission"), "fire_mission").when(F.col("contact"), "enemy").when(F.col("sender").isNotNull(), "friendly").otherwise("note")
+    conf = number_confidence(F.col("grid"), F.col(words)) if words else F.lit(None).cast("double")
+    g = g.withColumns({"_kind": kind, "_conf": conf, "_at": grid_to_latlon(F.col("grid"), square)})
+    kind, conf, at = F.col("_kind"), F.col("_conf"), F.col("_at")
     label = (F.when(kind == "casualty", F.concat(F.lit("CASEVAC "), F.coalesce(F.col("casualties").cast("string"), F.lit("?")), F.lit(" urgent"))).when(kind == "check_fire", "CHECK FIRE")
              .when(kind == "fire_mission", "Fire mission").when(kind == "enemy", F.trim(F.concat(F.lit("Enemy "), F.coalesce("size", F.lit(""))))).when(kind == "friendly", F.col("sender")).otherwise("Position"))
-    conf = number_confidence(F.col("grid"), F.col(words)) if words else F.lit(None).cast("double")
     sure = F.coalesce(conf >= CONFIRMED, F.lit(True))
-    at = grid_to_latlon(F.col("grid"), square)
     return g.select(F.col(tx), F.col(ts), "grid", kind.alias("kind"), F.when(sure, label).otherwise(F.concat(F.lit("UNCONFIRMED "), label)).alias("label"), "sender",
                     at["lat"].alias("lat"), at["lon"].alias("lon"), at["half"].alias("half_m"), conf.alias("confidence"), sure.alias("confirmed"))
 
@@ -261,18 +302,20 @@ def markers(reports: DataFrame, tx: str, ts: str, words: str | None = None, squa
 def enrich(df: DataFrame, fields: list[str], text: str) -> DataFrame:
     """Keeps a proposed field only if it is grounded in the text and no rule contradicts it: adds
     `kept` and `dropped` (sorted names). `df` holds the fields and the columns of `with_extraction`."""
-    sign = lambda c: callsign_at(radio_words(F.col(c)), F.lit(0))["sign"]
+    sign = lambda c: bound(radio_words(F.col(c)), lambda w: callsign_at(w, F.lit(0))["sign"])
     conflict = {
-        "sender_said": F.col("sender").isNotNull() & sign("sender_said").isNotNull() & (sign("sender_said") != F.col("sender")),
-        "receiver_said": F.col("receiver").isNotNull() & sign("receiver_said").isNotNull() & (sign("receiver_said") != F.col("receiver")),
+        "sender_said": sign("sender_said") != F.col("sender"),  # unknown where either is
+        "receiver_said": sign("receiver_said") != F.col("receiver"),
         "grid_digits": (F.size("grids") > 0) & ~F.array_contains("grids", F.regexp_replace(normalise_numerals(F.col("grid_digits")), "[^0-9]", "")),
         "direction_said": ~F.lower(F.trim("direction_said")).isin(DIRECTIONS),
         "enemy_size": ~F.col("contact"), "enemy_activity": ~F.col("contact"),
     }
     filled = lambda c: F.col(c).isNotNull() & (F.col(c).cast("string") != "")
-    ok = {c: F.coalesce(filled(c) & grounded(F.col(c), F.col(text)) & ~F.coalesce(conflict.get(c, F.lit(False)), F.lit(False)), F.lit(False)) for c in fields}
-    pick = lambda want: F.array_sort(F.array_compact(F.array(*[F.when(ok[c] if want else ~ok[c], c) for c in fields])))
-    return df.withColumn("kept", pick(True)).withColumn("dropped", pick(False))
+    forms = F.struct(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("low"), "norm")
+    ok = {c: F.coalesce(filled(c) & _in_forms(F.col(c), F.col("_forms")) & ~F.coalesce(conflict.get(c, F.lit(False)), F.lit(False)), F.lit(False)) for c in fields}
+    judged = df.withColumn("_forms", forms).withColumn("_ok", F.struct(*[ok[c].alias(f"f{i}") for i, c in enumerate(fields)]))
+    pick = lambda want: F.array_sort(F.array_compact(F.array(*[F.when(F.col(f"_ok.f{i}") == want, c) for i, c in enumerate(fields)])))
+    return judged.withColumn("kept", pick(True)).withColumn("dropped", pick(False)).drop("_forms", "_ok")
 
 
 def snapshot(marks: DataFrame, transmissions: DataFrame, ts: str, last: int = 200, kind: str | None = None) -> DataFrame:
