@@ -108,17 +108,18 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
     idf2 = {w: math.log((1 + n) / (1 + df.get(w, 0)) + 1) ** 2 for w in vocab}
     other = math.log(2 + n) ** 2
     weight = F.create_map(*[F.lit(x) for w in vocab for x in (w, idf2[w])])
-    add = lambda ws: F.aggregate(ws, F.lit(0.0), lambda s, w: s + weight[w])
+    add = lambda known: F.aggregate(known, F.lit(0.0), lambda s, k: s + k["x"])
 
     def parse(unit):
         ws = _words(unit)
-        return F.struct(F.size(ws).alias("n"), F.array_intersect(ws, F.array(*map(F.lit, vocab))).alias("known"))
+        known = F.array_intersect(ws, F.array(*map(F.lit, vocab)))
+        return F.struct(F.size(ws).alias("n"), F.transform(known, lambda w: F.struct(w.alias("w"), weight[w].alias("x"))).alias("known"))
 
     def normed(x):
         return F.struct(x["known"].alias("known"), F.sqrt(add(x["known"]) + (x["n"] - F.size(x["known"])) * other).alias("norm"))
 
     def best_unit(ws):
-        dot = lambda x: add(F.array_intersect(x["known"], F.array(*map(F.lit, ws)))) / x["norm"]
+        dot = lambda x: add(F.filter(x["known"], lambda k: k["w"].isin(ws))) / x["norm"]
         return F.coalesce(F.array_max(F.transform("_l", dot)), F.lit(0.0)) / math.sqrt(sum(idf2[w] for w in ws))
 
     text = F.coalesce("text", F.lit(""))
@@ -126,22 +127,23 @@ def scan_licences(files: DataFrame, templates=TEMPLATES + HEADERS, min_cosine: f
     # Only units with a key word can match, so no other text is cut up.
     key = r"(?i)(?<![a-z0-9])(?:" + "|".join(key_words(terms, idf2, min_cosine)) + r")(?![a-z0-9])"
     parsed = F.transform(F.transform(F.filter(units, lambda u: u.rlike(key)), parse), normed)
-    parsed = F.when(text.rlike(key), parsed).otherwise(F.array().cast("array<struct<known:array<string>,norm:double>>"))
+    parsed = F.when(text.rlike(key), parsed).otherwise(F.array().cast("array<struct<known:array<struct<w:string,x:double>>,norm:double>>"))
     ids = sorted({i for i, _ in [*templates, *texts]})
     tag = F.regexp_replace(F.lower(F.regexp_extract("text", SPDX, 1)), r"(-only|-or-later|\.)$", "")
     tag = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i in ids for x in (i.lower(), i)]), tag), F.lit(None).cast("string"))
     cand = files.withColumn("_l", parsed)
     per = [F.struct(best_unit(ws).alias("cosine"), F.lit(-k).alias("k"), F.lit(i).alias("id")) for k, ((i, _), ws) in enumerate(zip(templates, terms))]
     licence_file = F.col("path").rlike(LICENCE_FILE)
-    own = cand.select("file_id", "path", F.greatest(*per).alias("b"), tag.alias("tag"), F.when(licence_file, F.sha2(F.encode("text", "UTF-8"), 256)).alias("h"))
+    # Scores are written, and so are the matches below: several joins read them, and none reads the texts again.
+    own = materialise(cand.select("file_id", "path", F.greatest(*per).alias("b"), tag.alias("tag"), F.when(licence_file, F.sha2(F.encode("text", "UTF-8"), 256)).alias("h")), "scores")
     full = own.where("h is not null")
     counts = full.groupBy("h").agg(F.count(F.lit(1)).alias("_m"))
     full = skew_join(full, counts.join(whole_texts(files, texts), "h", "left"), ["h"], "_m", "file_id", n_files).drop("_m")
     own = full.unionByName(own.where("h is null").withColumn("whole", F.lit(None).cast("struct<cosine:double,id:string>")))
     better = F.coalesce(F.col("whole.cosine") > F.col("b.cosine"), F.lit(False))
     best = F.when(F.col("tag").isNotNull(), F.struct(F.lit(1.0).alias("cosine"), F.col("tag").alias("id"))).when(better, F.col("whole")).otherwise(F.struct("b.cosine", "b.id"))
-    own = own.select("file_id", "path", best.alias("b")).select(
-        "file_id", "path", F.round("b.cosine", 6).alias("cosine"), F.when(F.col("b.cosine") >= min_cosine, F.col("b.id")).alias("own"))
+    own = materialise(own.select("file_id", "path", best.alias("b")).select(
+        "file_id", "path", F.round("b.cosine", 6).alias("cosine"), F.when(F.col("b.cosine") >= min_cosine, F.col("b.id")).alias("own")), "matches")
     home = F.regexp_replace("path", r"/?[^/]*$", "")
     dirs = own.where(F.col("path").rlike(LICENCE_FILE) & F.col("own").isNotNull()).withColumn("dir", home).groupBy("dir").agg(
         F.min(F.struct(-F.col("cosine"), "own")).alias("m")).select("dir", F.col("m.own").alias("dir_licence"))

@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
+from sparrowmill.llm import license_scan
 from sparrowmill.operators import radio
 
 LONG = "Bravo two six, this is alpha one, contact left, grade wun two tree fower, " + "go to the rally point, " * 4000 + "over"
@@ -59,3 +60,11 @@ def test_enrichment_reads_the_normalised_text_once(spark, quick):
 def test_places_by_a_plan_of_bounded_size(spark):
     df = spark.range(1).select(radio.grid_to_latlon(F.lpad(F.col("id").cast("string"), 4, "0")).alias("p"))
     assert _plan(df.select("p.lat", "p.lon")).count("SIN(") < 30
+
+
+def test_licence_scan_reads_the_texts_once_for_all_its_joins(spark):
+    files = spark.createDataFrame([(1, "/a/LICENSE", "MIT License"), (2, "/a/b/x.txt", "plain words"), (3, "/c/y.txt", "Released under the MIT License."), (4, None, None)], "file_id int, path string, text string")
+    out = license_scan.scan_licences(files)
+    assert {r.file_id: (r.own, r.licence, r.inherited_from) for r in out.collect()} == {1: ("MIT", "MIT", None), 2: (None, "MIT", "/a"), 3: ("MIT", "MIT", None), 4: (None, None, None)}
+    plan = _plan(out)
+    assert "Scan ExistingRDD" not in plan and plan.count("Exchange") <= 16
