@@ -4,7 +4,8 @@ Where a string ends depends on where it began, so a group seems to need one task
 range of rows everything behind the first fresh start depends on that start alone. Each range
 sums up, for every place at which the string that comes in can end, how full the string is that
 goes out. The few summaries of a group are followed from range to range, which tells each range
-what comes in, and all ranges are then cut at once.
+what comes in, and all ranges are then cut at once. A group in one range needs no summary, and the
+cut takes the groups of a partition one after the other, so that many small groups cost no call each.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,27 +99,36 @@ def strings(df: DataFrame, keys: list[str], clip: str, size: str, order: Column,
             res.insert(i, k, [pdf[k].iloc[0]] * len(res))
         return res
 
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_o", "_c"])
-        used, string = int(pdf["used"].iloc[0]), int(pdf["begun"].iloc[0]) - 1
-        ids, at = [], []
-        for z in pdf["_z"].tolist():
-            if used == FRESH or (rule.most is not None and used + rule.gap + z > rule.most):
-                string, start = string + 1, 0
-            else:
-                start = used + (rule.gap if rule.most is not None else 0)
-            ids.append(string)
-            at.append(start)
-            used = start + z + (rule.gap if rule.reach is not None else 0)
-            if rule.reach is not None and used >= rule.reach:
-                used = FRESH
-        return pdf[[*keys]].assign(string=ids, clip=pdf["_c"], size=pdf["_z"], at=at)
-
-    sums = t.groupBy(*keys, "_part").applyInPandas(summed, f"{group}, _part int, before array<bigint>, out array<bigint>, n array<bigint>, total bigint")
+    def cut(batches):
+        """Rows come group by group in their order; `_r` is 1 where a group or a range begins."""
+        used, string = FRESH, -1
+        for batch in batches:
+            ids, at = [], []
+            for r, z, into, begun in zip(*(batch.column(c).to_pylist() for c in ("_r", "_z", "used", "begun"))):
+                if r == 1:
+                    used, string = into, begun - 1
+                if used == FRESH or (rule.most is not None and used + rule.gap + z > rule.most):
+                    string, start = string + 1, 0
+                else:
+                    start = used + (rule.gap if rule.most is not None else 0)
+                ids.append(string)
+                at.append(start)
+                used = start + z + (rule.gap if rule.reach is not None else 0)
+                if rule.reach is not None and used >= rule.reach:
+                    used = FRESH
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(ids, "int64"), batch.column("_c"), batch.column("_z"), pa.array(at, "int64")], names=[*keys, "string", "clip", "size", "at"])
+
+    # Only a group that lies in several ranges is summed up: fewer than there are ranges, so they are broadcast.
+    wide = t.groupBy(*keys).agg(F.min("_part").alias("_p0"), F.max("_part").alias("_p1")).where("_p0 < _p1").drop("_p0", "_p1")
+    pieces = t.join(F.broadcast(wide), [t[k].eqNullSafe(wide[k]) for k in keys], "left_semi")
+    sums = pieces.groupBy(*keys, "_part").applyInPandas(summed, f"{group}, _part int, before array<bigint>, out array<bigint>, n array<bigint>, total bigint")
     into = sums.groupBy(*keys).applyInPandas(followed, f"{group}, _part int, used bigint, begun bigint")  # a row per range
     same = [t[k].eqNullSafe(into[k]) for k in keys]
-    met = t.join(into, [t["_part"] == into["_part"], *same]).select(*[t[k] for k in keys], t["_part"], "_c", "_z", "_o", "used", "begun")
-    out = met.groupBy(*keys, "_part").applyInPandas(cut, f"{group}, string bigint, clip {kinds['_c']}, size bigint, at bigint")
+    met = t.join(F.broadcast(into), [t["_part"] == into["_part"], *same], "left").select(
+        *[t[k] for k in keys], t["_part"], "_c", "_z", "_o", F.coalesce("used", F.lit(FRESH).cast("long")).alias("used"), F.coalesce("begun", F.lit(0).cast("long")).alias("begun"))
+    place = Window.partitionBy(*keys, "_part").orderBy("_o", "_c")
+    ordered = met.withColumn("_r", F.row_number().over(place)).sortWithinPartitions(*keys, "_part", "_o", "_c").drop("_part", "_o")
+    out = ordered.mapInArrow(cut, f"{group}, string bigint, clip {kinds['_c']}, size bigint, at bigint")
     return out.withColumnRenamed("clip", clip).withColumnRenamed("size", size)
 
 

@@ -2,6 +2,7 @@
 
 import bisect
 import random
+import time
 
 import numpy as np
 import pytest
@@ -217,3 +218,18 @@ def test_even_limit_takes_both_ends(spark):
     got = [r.id for r in spans.limit_even(spark.range(1000), 4, "id").orderBy("id").collect()]
     assert got == [0, 333, 666, 999]
     assert bisect.bisect(got, 500) == 2 and spans.limit_even(spark.range(0), 4, "id").count() == 0
+
+
+def test_many_small_groups_cost_no_call_each(spark):
+    """20,000 groups of five clips, keys beyond 2**53 and a null key among them."""
+    key = F.when(F.col("id") % 20_000 == 7, F.lit(None)).otherwise(F.col("id") % 20_000 + 2**60)
+    df = spark.range(100_000).select(key.alias("g"), F.col("id").alias("clip"), (F.pmod(F.xxhash64("id"), F.lit(70)) + 1).cast("int").alias("size")).cache()
+    rows = df.collect()
+    start = time.time()
+    got = {r.clip: (r.g, r.string, r["at"]) for r in packing.strings(df, ["g"], "clip", "size", F.col("clip"), packing.Rule(5, most=100)).collect()}
+    assert time.time() - start < 30
+    groups = {}
+    for r in sorted(rows, key=lambda r: r.clip):
+        groups.setdefault(r.g, []).append(r)
+    want = {r.clip: (g, *place) for g, mine in groups.items() for r, place in zip(mine, _packed([r.size for r in mine], 100, 5))}
+    assert got == want
