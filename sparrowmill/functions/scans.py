@@ -19,6 +19,11 @@ def ranged(df: DataFrame, *order: str) -> DataFrame:
     return materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
 
 
+def ranged_in(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The same in n ranges, however small they are: for tasks that hold a range in memory."""
+    return materialise(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranged")
+
+
 def scan(df: DataFrame, key: str, order: list[str], sums: dict[str, Column] | None = None, lag: dict[str, Column] | None = None,
          lead: dict[str, Column] | None = None, last: dict[str, Column] | None = None) -> DataFrame:
     """Adds columns over the rows of a key in ascending `order` (nulls first): running `sums` up

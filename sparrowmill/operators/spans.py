@@ -8,21 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.keyed import keyed_u
-from sparrowmill.functions.scans import ranged, scan
+from sparrowmill.functions.scans import ranged, ranged_in, scan
 from sparrowmill.functions.shared import materialise
 
 
+#: Starts and ends in a range of intervals.
+MARKS = 400_000
+
+
 def overlap_join(spans: DataFrame, frames: DataFrame, key: str) -> DataFrame:
     """Spans (key, a, b) with frames (key, c, d) that overlap, touching ends apart.
 
     Starts and ends are dealt over ranges of (key, time). An interval goes to each range that it
     crosses, however long it is, and a pair is found in the range of its later start, by a sweep
-    over sorted starts. Times are numbers; rows with a null never overlap."""
+    over sorted starts. Ranges hold a bounded number of starts and ends, so there are more of them
+    in larger tables. Times are numbers; rows with a null never overlap."""
     s, f = (materialise(d.withColumn(n, F.monotonically_increasing_id()), "side") for d, n in ((spans, "_s"), (frames, "_f")))
     ends = [d.select(F.col(key).alias("_k"), F.lit(side).alias("_side"), F.col(n).alias("_id"), F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"))
             for d, side, n, lo, hi in ((s, 0, "_s", "a", "b"), (f, 1, "_f", "c", "d"))]
     both = ends[0].unionByName(ends[1]).where("_k is not null and _lo <= _hi")
-    marks = ranged(both.select("_k", "_side", "_id", "_lo", "_hi", F.explode(F.array("_lo", "_hi")).alias("_t")), "_k", "_t")
+    times = both.select("_k", "_side", "_id", "_lo", "_hi", F.explode(F.array("_lo", "_hi")).alias("_t"))
+    n = -(-2 * (s.count() + f.count()) // MARKS)
+    marks = ranged(times, "_k", "_t") if n < 2 else ranged_in(times, n, "_k", "_t")
     crossed = marks.groupBy("_k", "_side", "_id", "_lo", "_hi").agg(F.min("_part").alias("_p0"), F.max("_part").alias("_p1"))
     pieces = crossed.withColumn("_part", F.explode(F.sequence("_p0", "_p1")))
 

@@ -233,3 +233,15 @@ def test_many_small_groups_cost_no_call_each(spark):
         groups.setdefault(r.g, []).append(r)
     want = {r.clip: (g, *place) for g, mine in groups.items() for r, place in zip(mine, _packed([r.size for r in mine], 100, 5))}
     assert got == want
+
+
+def test_ranges_of_overlaps_grow_in_number_not_in_size(spark, monkeypatch):
+    """4,000 marks, 500 a range: by its default the session would put them all in four ranges or fewer."""
+    seen, deal = [], scans.materialise
+    monkeypatch.setattr(scans, "materialise", lambda df, tag: seen.append(deal(df, tag)) or seen[-1])
+    monkeypatch.setattr(spans, "MARKS", 500, raising=False)
+    s = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("s"), F.col("id").alias("a"), (F.col("id") + 15).alias("b"))
+    f = s.withColumnsRenamed({"s": "f", "a": "c", "b": "d"})
+    assert spans.overlap_join(s, f, "k").count() == 1000 + 2 * 990
+    sizes = [r["count"] for r in seen[0].groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
