@@ -31,53 +31,104 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, salts, shared_dir, skew_join, utf8
-from .scan import columns, mix, powers, runs
+from .scan import columns, powers, runs
 
 LENGTH, GRAM = 100, 32
 #: Bytes of the different pieces of one minimiser that are compared in one task, and of a bucket of minimisers.
 LIMIT, BUCKET_BYTES = 4 << 20, 1 << 20
 #: Texts that a worker remembers while it drops copies.
 MEMO = 200_000
+#: Bytes of texts that are hashed together.
+RUN_BYTES = 1 << 16
+_WORD, _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+class Run:
+    """Texts that are hashed together, as calls on short ones cost more than their bytes."""
+
+    def __init__(self, texts: list[bytes]):
+        size = np.array([len(t) for t in texts])
+        self.data, self.begin, self.n = b"".join(texts), np.cumsum(np.r_[0, size]), np.maximum(0, size - LENGTH + 1)
+
+    @functools.cached_property
+    def grams(self) -> np.ndarray:
+        """Hash of each 32-byte string, made of those of its four words of 8 bytes."""
+        h = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,)) * _WORD
+        h ^= h >> np.uint64(32)
+        for k in (8, 16):
+            low = h[:-k] * _WORD
+            low += h[k:]
+            h = low
+        h ^= h >> np.uint64(32)
+        h *= _GRAM
+        h ^= h >> np.uint64(29)
+        return h
+
+    @functools.cached_property
+    def pieces(self):
+        """First window, number of windows and minimiser of each piece, and the first piece of each text."""
+        if not self.n.any():
+            return (np.empty(0, "int64"),) * 3 + (np.zeros(len(self.n) + 1, "int64"),)
+        grams, k, span = self.grams, 1, LENGTH - GRAM + 1
+        while 2 * k <= span:
+            grams, k = np.minimum(grams[:-k], grams[k:]), 2 * k
+        most = len(self.data) - LENGTH + 1
+        least = np.minimum(grams[:most], grams[span - k:span - k + most])
+        begin, end = self.begin[:-1], self.begin[:-1] + self.n
+        inside = np.zeros(most + 1, "int8")
+        inside[begin[self.n > 0]] = 1
+        inside[end[self.n > 0]] = -1
+        edge = np.r_[True, least[1:] != least[:-1]]
+        edge[begin[self.n > 0]] = True
+        edge &= np.cumsum(inside[:-1], dtype="int8").view(bool)
+        first = np.flatnonzero(edge)
+        cut = np.searchsorted(first, self.begin)
+        own = np.diff(cut)
+        return first - np.repeat(begin, own), np.minimum(np.r_[first[1:], most], np.repeat(end, own)) - first, least[first].view("int64"), cut
+
+    @functools.cached_property
+    def twice(self) -> np.ndarray:
+        """Texts in which a 32-byte string that starts at a multiple of 64 may come again. Every window
+        holds such a string, so in other texts none repeats."""
+        out = np.zeros(len(self.n), bool)
+        if self.n.any():
+            known, high = np.zeros(1 << 16, bool), (self.grams >> np.uint64(48)).astype("uint16")
+            known[high[::64]] = True
+            at = np.flatnonzero(known[high])
+            text = np.searchsorted(self.begin, at, "right") - 1
+            key = self.grams[at] + text.astype("uint64") * _WORD
+            by = np.argsort(key)
+            out[text[by[1:][key[by[1:]] == key[by[:-1]]]]] = True
+        return out & (self.n > 1)
+
+
 class Windows:
     """A document's 100-byte windows: `whole` (hash of each), `first`, `count` and `v` (first
-    window, number of windows and minimiser of each piece), made when they are asked for."""
+    window, number of windows and minimiser of each piece), made when they are asked for, the
+    latter for all texts of a run."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, run: Run | None = None, number: int = 0):
         self.data, self.n = data, max(0, len(data) - LENGTH + 1)
+        self.run, self.number = run or Run([data]), number
 
     @functools.cached_property
-    def _sums(self) -> np.ndarray:
-        up, _ = powers(len(self.data) + 1)
+    def whole(self) -> np.ndarray:
+        if not self.n:
+            return np.empty(0, "uint64")
+        up, down = powers(len(self.data) + 1)
         sums = np.empty(len(self.data) + 1, "uint64")
         sums[0] = 0
         np.cumsum((np.frombuffer(self.data, "uint8") + np.uint64(1)) * up[:-1], out=sums[1:])
-        return sums
-
-    def _hashes(self, size: int) -> np.ndarray:
-        _, down = powers(len(self.data) + 1)
-        return (self._sums[size:] - self._sums[:-size]) * down[:len(self.data) - size + 1]
-
-    @functools.cached_property
-    def whole(self) -> np.ndarray:
-        return self._hashes(LENGTH) if self.n else np.empty(0, "uint64")
+        return (sums[LENGTH:] - sums[:-LENGTH]) * down[:self.n]
 
     @functools.cached_property
     def _runs(self):
-        if not self.n:
-            return (np.empty(0, "int64"),) * 3
-        low = mix(self._hashes(GRAM))
-        grams, k, span = low, 1, LENGTH - GRAM + 1
-        while 2 * k <= span:
-            grams, k = np.minimum(grams[:-k], grams[k:]), 2 * k
-        least = np.minimum(grams[:self.n], grams[span - k:span - k + self.n])
-        first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        return first, np.diff(np.r_[first, self.n]), least[first].view("int64")
+        *cols, cut = self.run.pieces
+        return [c[cut[self.number]:cut[self.number + 1]] for c in cols]
 
     first = property(lambda self: self._runs[0])
     count = property(lambda self: self._runs[1])
@@ -88,21 +139,19 @@ class Windows:
 
     def later_inside(self) -> np.ndarray:
         """Windows that start earlier in the document too: found by hash, then compared byte by byte."""
-        later, ordered = np.zeros(self.n, bool), np.sort(self.whole)
-        if not (ordered[1:] == ordered[:-1]).any():
+        later = np.zeros(self.n, bool)
+        if not self.run.twice[self.number]:
             return later
-        _, first, back = np.unique(self.whole, return_index=True, return_inverse=True)
-        at = np.flatnonzero(first[back] != np.arange(len(back)))
-        if len(at):
-            data, from_ = np.frombuffer(self.data, "uint8"), first[back[at]]
-            cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(from_) != 1), True])
-            for a, b in zip(cut[:-1], cut[1:]):  # a run of windows with a run of sources
-                same = data[at[a]:at[b - 1] + LENGTH] == data[from_[a]:from_[b - 1] + LENGTH]
-                if same.all():
-                    later[at[a]:at[b - 1] + 1] = True
-                else:
-                    bad = np.r_[0, np.cumsum(~same)]
-                    later[at[a:b]] = bad[LENGTH:] == bad[:-LENGTH]
+        order = np.argsort(self.whole)
+        head = np.flatnonzero(np.r_[True, np.diff(self.whole[order]) != 0])
+        from_ = np.repeat(np.minimum.reduceat(order, head), np.diff(np.r_[head, self.n]))
+        more = order != from_
+        at, from_, words = order[more], from_[more], np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,)).copy()
+        for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+            same = words[at + k] == words[from_ + k]
+            if not same.all():
+                at, from_ = at[same], from_[same]
+        later[at] = True
         return later
 
 
@@ -110,15 +159,20 @@ def shard_transform(strings: list[bytes]) -> np.ndarray:
     """Burrows-Wheeler transform of strings with one terminator each (0; byte b is b + 1,
     UTF-8 has no 255). Row i below len(strings) is the terminator of string i.
 
-    Suffixes are ranked by their first byte and then by twice as many bytes a round; only those
-    that still share their rank are sorted again."""
+    Suffixes are ranked by their first four bytes and then by twice as many bytes a round; only
+    those that still share their rank are sorted again."""
     m = len(strings)
     raw = np.frombuffer(b"\xff".join(strings) + b"\xff", "uint8")
     text = raw + np.uint8(1)  # the mark between strings wraps to 0
-    n, k = len(text), 1
-    order = np.argsort(text, kind="stable")  # equal terminators stay in the order of their strings
-    cut = np.r_[True, text[order][1:] != text[order][:-1]]
-    cut[:m] = True
+    n, k = len(text), 4
+    key, on, ahead = np.zeros(n, "uint64"), np.ones(n, "uint8"), np.r_[text, np.zeros(k, "uint8")]
+    for j in range(k):  # what follows a terminator does not count
+        on &= ahead[j:j + n] != 0
+        key <<= np.uint64(8)
+        key |= ahead[j:j + n] * on
+    key = np.sort(key << np.uint64(32) | np.arange(n, dtype="uint64"))  # equal terminators stay in the order of their strings
+    order, key = (key & np.uint64(0xFFFFFFFF)).astype("int64"), key >> np.uint64(32)
+    cut = np.r_[True, key[1:] != key[:-1]] | (key & np.uint64(0xFF) == 0)
     rank = np.empty(n + 1, "int64")
     rank[order] = np.maximum.accumulate(np.where(cut, np.arange(n), 0))
     rank[n] = -1
@@ -139,9 +193,10 @@ def shard_transform(strings: list[bytes]) -> np.ndarray:
     return text[place - 1]
 
 
-def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows (counted through the shards, one after another) of the suffixes that share a
-    prefix of `depth` with another one, in merged order, and their blocks.
+    prefix of `depth` with another one, in merged order, and their blocks. With `start`, of
+    the suffixes alone that are `depth` bytes longer than those of the rows `start`.
 
     Each round reads the symbols under the present interleave and deals the rows before
     them by symbol, stably, which makes the interleave right for one more byte; a row starts
@@ -150,7 +205,8 @@ def merge_transforms(shards: list[np.ndarray], depth: int = LENGTH) -> tuple[np.
     flat = np.concatenate(shards)
     back = np.concatenate([_before(s) for s in shards]) + np.repeat(np.cumsum([0, *map(len, shards[:-1])]), [len(s) for s in shards])
     back = back.astype("int32")  # a bucket has far fewer bytes
-    rows, block = np.arange(len(flat), dtype="int32"), np.zeros(len(flat), "int32")
+    rows = np.arange(len(flat), dtype="int32") if start is None else start.astype("int32")
+    block = np.zeros(len(rows), "int32")
     for _ in range(depth):
         symbol = flat[rows]
         order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0):]
@@ -185,7 +241,6 @@ def places(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     """Windows of a bucket that also start in an earlier document: text, piece, offsets."""
     shards = [np.frombuffer(b, "uint8") for b in pdf["bwt"]]
-    at, block = merge_transforms(shards)
     string, dist, base = [], [], 0
     for s in shards:
         a, d = places(s)
@@ -196,6 +251,8 @@ def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     string, dist = np.concatenate(string), np.concatenate(dist)
     size = np.zeros(base, "int64")
     np.maximum.at(size, string, dist)
+    # A window ends where 100 bytes come before: the refinement goes from there to its first byte.
+    at, block = merge_transforms(shards, LENGTH, np.flatnonzero(dist <= size[string] - LENGTH))
     s, offs = string[at], (size[string] - dist)[at]
     least = np.full(block.max(initial=0) + 1, np.iinfo("int64").max)
     np.minimum.at(least, block, ord_[s])
@@ -250,8 +307,15 @@ def _each(batch: pa.RecordBatch):
     """(row number, windows) of a batch of compressed texts."""
     unpack = zstandard.ZstdDecompressor()
     z = batch.column("z")
+    texts, size = [], 0
     for i in range(len(batch)):
-        yield i, Windows(unpack.decompress(z[i].as_py()))
+        texts.append(unpack.decompress(z[i].as_py()))
+        size += len(texts[-1])
+        if size > RUN_BYTES or i + 1 == len(batch):
+            run = Run(texts)
+            for k, t in enumerate(texts):
+                yield i + 1 - len(texts) + k, Windows(t, run, k)
+            texts, size = [], 0
 
 
 def _minimisers(with_text: bool):

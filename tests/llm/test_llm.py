@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,46 @@ def test_merged_transforms():
     assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
 
 
+def passages(*sizes):
+    own = random.Random(11)
+    return [" ".join(own.choices(WORDS, k=n)).encode() for n in sizes]
+
+
+def test_only_ends_of_windows_are_refined():
+    texts = passages(40, 40, 40)
+    shards = [[texts[0] + b"x" * 20, texts[1]], [b"yz" + texts[0], texts[2] + texts[1][30:]]]
+    bwts = [suffix_dedup.shard_transform(s) for s in shards]
+    where, size, base = [], [], 0
+    for s, b in zip(shards, bwts):
+        where += [(base + int(t), len(s[int(t)]) - int(d)) for t, d in zip(*suffix_dedup.places(b))]
+        size += [len(x) for x in s]
+        base += len(s)
+    start = np.array([i for i, (t, o) in enumerate(where) if o >= 100])
+    assert len(start) == sum(n - 99 for n in size)
+    rows, block = suffix_dedup.merge_transforms(bwts, 100, start)
+    got, want = {}, {}
+    for r, k in zip(rows, block):
+        got.setdefault(int(k), set()).add(where[r])
+    for i, x in enumerate(x for s in shards for x in s):
+        for o in range(len(x) - 99):
+            want.setdefault(x[o:o + 100], set()).add((i, o))
+    want = [x for x in want.values() if len(x) > 1]
+    assert want and sorted(map(sorted, got.values())) == sorted(map(sorted, want))
+
+
+def test_windows_of_a_run_equal_those_of_a_text_alone():
+    block, *others = passages(30, 60, 80)
+    texts = [b"", b"a" * 99, b"a" * 100, b"a" * 101, b"ab" * 300, block, block + b"-" + block, others[0], bytes(range(32, 127)) * 3, b"q" * 31, "\u00e9".encode() * 120, others[1]]
+    run = suffix_dedup.Run(texts)
+    for k, t in enumerate(texts):
+        w, alone = suffix_dedup.Windows(t, run, k), suffix_dedup.Windows(t)
+        assert all((a == b).all() for a, b in zip((w.first, w.count, w.v), (alone.first, alone.count, alone.v))) and w.count.sum() == max(0, len(t) - 99)
+        all_ = [t[i:i + 100] for i in range(len(t) - 99)]
+        later = [x in all_[:i] for i, x in enumerate(all_)]
+        assert w.later_inside().tolist() == alone.later_inside().tolist() == later
+        assert any(later) or "whole" not in alone.__dict__, "texts without a repeat are not sorted"
+
+
 def test_decontaminate(spark, docs, empty):
     bench = spark.createDataFrame([(1, " ".join(BASE.split()[:20])), (2, "one"), (3, None), (4, ""), (1, "idiot")], "item_id bigint, text string")
     got = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
